@@ -88,5 +88,4 @@ def normalize(text: ColumnOrName, stop_words: Iterable[str] = rules.STOP_WORDS)
 
 def cleaned_words(text: ColumnOrName) -> Column:
     """Words of a cleaned text; an empty text has none."""
-    text = as_column(text)
-    return F.filter(F.split(text, r"\s+"), lambda word: word != "")
+    return F.array_remove(F.split(as_column(text), r"\s+"), "")

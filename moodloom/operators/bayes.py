@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moodloom.functions import text
-from moodloom.operators.lookup import hot_keys, lookup
+from moodloom.operators.lookup import lookup
 from moodloom.sources.readers import TEXT
 from moodloom.sources.staging import stage
 
@@ -33,7 +33,6 @@ class WordBayes:
     classes: list[str]
     priors: list[float]
     words: DataFrame
-    hot_words: DataFrame
 
 
 def class_sizes(train: DataFrame, class_column: str) -> list[tuple[str, int]]:
@@ -77,7 +76,6 @@ def fit_word_bayes(train: DataFrame, class_column: str, text_column: str = TEXT)
 
     totals = weighed.agg(
         F.count(F.lit(1)).alias("words"),
-        F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"),
         *[F.coalesce(F.sum(f"s{k}"), F.lit(0.0)).alias(f"s{k}") for k in range(len(sizes))],
     ).first()
     log_prob = F.array(
@@ -90,7 +88,6 @@ def fit_word_bayes(train: DataFrame, class_column: str, text_column: str = TEXT)
         classes=[name for name, _ in sizes],
         priors=[log(rows + 1) - log(texts + len(sizes)) for _, rows in sizes],
         words=weighed.select("word", "tokens", "idf", log_prob.alias("log_prob")),
-        hot_words=hot_keys(weighed, "word", "tokens", totals["tokens"]),
     )
 
 
@@ -122,11 +119,11 @@ def predict(
     tokens = df.select(*keys, F.explode(text.cleaned_words(text_column)).alias("word"))
     known = lookup(
         tokens,
-        model.words,
+        model.words.drop("tokens"),
         "word",
         "inner",
         row_bytes=64 + 16 * len(columns),
-        hot=model.hot_words,
+        counts=model.words.select("word", F.col("tokens").alias("facts")),
     )
     terms = known.select(
         *keys, *[(F.col("idf") * F.col("log_prob")[k]).alias(c) for k, c in enumerate(columns)]

@@ -41,7 +41,9 @@ def term_frequency(df: DataFrame, id_column: str, text_column: str = TEXT) -> Da
         F.sequence(F.lit(1), F.size("words")),
         lambda i: ~F.get("words", i - 1).eqNullSafe(F.get("words", i)),
     )
-    runs = words.where(F.size("words") > 0).withColumn("ends", last_of_run)
+    # A condition in the column, not a filter: Catalyst would push a filter below the cleaning
+    # and clean every text twice.
+    runs = words.withColumn("ends", F.when(F.size("words") > 0, last_of_run))
 
     def run(end: Column, position: Column) -> Column:
         start = F.coalesce(F.get("ends", position - 1), F.lit(0))

@@ -19,9 +19,9 @@ def measured_bytes(table: DataFrame, key: str, row_bytes: int) -> int:
     return table.agg(size.alias("size")).first()["size"]
 
 
-def hot_keys(counts: DataFrame, key: str, count: str, total: int) -> DataFrame:
+def hot_keys(counts: DataFrame, key: str, total: int) -> DataFrame:
     """Keys that hold at least one in ``HOT_KEYS`` of ``total`` rows, written once."""
-    return stage(counts.where(F.col(count) * HOT_KEYS >= total).select(key), "hot-keys")
+    return stage(counts.where(F.col("facts") * HOT_KEYS >= total).select(key), "hot-keys")
 
 
 def lookup(
@@ -30,21 +30,25 @@ def lookup(
     key: str,
     how: str,
     row_bytes: int = 64,
-    hot: DataFrame | None = None,
+    counts: DataFrame | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Inner or left join of ``facts`` to ``table`` on the string column ``key``.
 
     The table's size is measured, so pass a written one. A small table is broadcast. Beyond that the
     rows of hot keys meet a broadcast of those keys alone, at most ``HOT_KEYS`` of them, and
-    only the other rows are shuffled. ``hot`` spares the count of the keys where it is known.
+    only the other rows are shuffled. Where the rows per key are known, ``counts`` (the key and
+    ``facts``) spares the pass that counts them.
     """
     if measured_bytes(table, key, row_bytes) <= broadcast_bytes:
         return facts.join(F.broadcast(table), key, how)
     keyed = facts.where(F.col(key).isNotNull())
-    if hot is None:
+    if counts is None:
         counts = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("facts"))
-        hot = hot_keys(counts, key, "facts", keyed.count())
+        total = keyed.count()
+    else:
+        total = counts.agg(F.sum("facts").alias("facts")).first()["facts"]
+    hot = hot_keys(counts, key, total)
     hot_rows = table.join(F.broadcast(hot), key, "left_semi")
     of_hot = keyed.join(F.broadcast(hot), key, "left_semi")
     of_other = keyed.join(F.broadcast(hot), key, "left_anti")

@@ -168,8 +168,9 @@ def sentiment_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labeled_corpus_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labeled = labeled_corpus(spark, sf_dir)
-    return labeled.select(TEXT, rounded("sentiment_score"), "sentiment_category")
+    """The score is a float; it is widened here without another rounding."""
+    score = F.col("sentiment_score").cast("double").alias("sentiment_score")
+    return labeled_corpus(spark, sf_dir).select(TEXT, score, "sentiment_category")
 
 
 def sentiment_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,10 +203,12 @@ def hashed_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hashed_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dense = hashed_buckets(spark, sf_dir).select(
-        "doc_id", F.posexplode("buckets").alias("bucket", "tf")
+    """The filled buckets of the sparse vectors."""
+    numbered = F.transform(
+        "buckets", lambda tf, bucket: F.struct(bucket.alias("bucket"), tf.alias("tf"))
     )
-    return dense.where("tf > 0")
+    filled = F.filter(numbered, lambda entry: entry["tf"] > 0)
+    return hashed_buckets(spark, sf_dir).select("doc_id", F.inline(filled))
 
 
 def hashed_tf_totals(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,10 +18,13 @@ from moodloom.operators.classifier import train_and_evaluate
 from moodloom.operators.cleaning import clean_tweets
 from moodloom.operators.explore import cleaning_funnel, sentiment_distribution, top_keywords
 from moodloom.operators.labeling import label_sentiment
-from moodloom.sources.readers import TEXT, merge_sources, read_text
+from moodloom.sources.readers import TEXT, input_bytes, merge_sources, read_text
 from moodloom.sources.sinks import metric_lines, preview, write_labeled
 from moodloom.sources.staging import stage
 
+# Input per shuffle partition: small enough to aggregate in memory next to other tasks.
+PARTITION_BYTES = 128 * 1024 * 1024
+
 
 def parser() -> argparse.ArgumentParser:
     job = argparse.ArgumentParser(description="Sentiment of a text collection, on Spark.")
@@ -64,8 +67,17 @@ def read_sources(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     return merge_sources(*frames)
 
 
+def size_shuffles(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Enough shuffle partitions for the input; AQE merges them where they come out small."""
+    paths = [*args.input, *(path for _, path, _ in args.source)]
+    wanted = input_bytes(spark, paths) // PARTITION_BYTES + 1
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", wanted)
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, float]:
     """The job on an open session; returns the metrics, empty without ``--train``."""
+    size_shuffles(spark, args)
     raw = read_sources(spark, args)
     if args.funnel:
         preview(cleaning_funnel(raw, TEXT))

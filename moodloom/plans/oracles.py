@@ -177,7 +177,7 @@ ORACLES: dict[str, str] = {
     "sentiment_bucket": f"""with {SCORED_DOCS}
         select doc_id, {category('score')} as sentiment_category from scored""",
     "labeled_corpus": f"""with {LABELED}
-        select tweets, round(score, 6) as sentiment_score, sentiment_category from labeled""",
+        select tweets, score::float::double as sentiment_score, sentiment_category from labeled""",
     "sentiment_distribution": f"""with {LABELED}
         select sentiment_category, count(*) as count from labeled group by sentiment_category""",
     "word_counts": f"""with {CORPUS}

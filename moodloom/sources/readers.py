@@ -49,6 +49,12 @@ def select_text(df: DataFrame, column: str = "text") -> DataFrame:
     return df.select(F.col(column).cast("string").alias(TEXT))
 
 
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Size of the input files; their content is not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()["bytes"]
+
+
 def spread(source: DataFrame) -> DataFrame:
     """Deal the rows of a scan out to all cores if it has fewer partitions than there are cores.
 
