@@ -21,8 +21,8 @@ SPLIT_SEED = 42
 # the class a-zA-Z0-9; spelled with ranges the same class runs about ten times slower.
 NON_ALNUM = r"[^\p{Alnum}\s]"
 
-# Runs of anything but ASCII letters and digits: what separates words in cleaned text.
-WORD_GAP = r"\P{Alnum}+"
+# A run of ASCII letters and digits: a word of cleaned text.
+WORD = r"\p{Alnum}+"
 
 # Whitespace as Python's str.split() sees it: Unicode spaces and four separator controls.
 ANY_SPACE = r"(?U)[\s\x1c-\x1f]+"

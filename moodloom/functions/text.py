@@ -76,13 +76,13 @@ def remove_stopwords(
 
 
 def normalize(text: ColumnOrName, stop_words: Iterable[str] = rules.STOP_WORDS) -> Column:
-    """SCL-4, SCL-5 and UDF-1 in one split.
+    """SCL-4, SCL-5 and UDF-1 in one pass over the characters.
 
     After SCL-5 only ASCII letters, digits and whitespace are left, so the words are the runs
     of letters and digits in the lower-case text.
     """
-    dropped = [*stop_words, ""]
-    words = F.split(lowercase(text), rules.WORD_GAP)
+    dropped = list(stop_words)
+    words = F.regexp_extract_all(lowercase(text), F.lit(rules.WORD), 0)
     return F.array_join(F.filter(words, lambda word: ~word.isin(dropped)), " ")
 
 

@@ -32,11 +32,16 @@ SOFT_THRESHOLD = 0.1
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    return readers.spread(spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
-def noisy_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """For work on every text: a table in one piece is dealt out to all cores first."""
+    return readers.spread(table(spark, sf_dir, name, *columns))
+
+
+def noisy_texts(spark: SparkSession, sf_dir: str, read: Callable = spread_table) -> DataFrame:
+    documents = read(spark, sf_dir, "documents", "doc_id", "text")
     user = F.format_string("RT @user%d: ", F.col("doc_id") % 7)
     retweet = F.concat(user, "text")
     linked = F.concat(retweet, F.lit(" https://t.co/"), F.col("doc_id").cast("string"))
@@ -46,7 +51,7 @@ def noisy_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cleaned_documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Documents cleaned one by one, so that they keep their id."""
-    documents = table(spark, sf_dir, "documents", "doc_id", "text", *columns)
+    documents = spread_table(spark, sf_dir, "documents", "doc_id", "text", *columns)
     cleaned = text.normalize(text.original_text("text")).alias(TEXT)
     return documents.select("doc_id", *columns, cleaned)
 
@@ -104,7 +109,7 @@ def on_noisy(step: Callable[[str], Column]) -> Query:
 
 
 def drop_null_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.drop_null_text(noisy_texts(spark, sf_dir))
+    return cleaning.drop_null_text(noisy_texts(spark, sf_dir, table))
 
 
 def dedup_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,7 +122,7 @@ def dedup_retweets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def remove_stopwords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    documents = spread_table(spark, sf_dir, "documents", "doc_id", "text")
     return documents.select("doc_id", text.remove_stopwords("text").alias(TEXT))
 
 
@@ -187,7 +192,8 @@ def label_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = features.tokenize(table(spark, sf_dir, "documents", "doc_id", "text"), "text")
+    documents = spread_table(spark, sf_dir, "documents", "doc_id", "text")
+    tokens = features.tokenize(documents, "text")
     return tokens.select(
         "doc_id", F.size("words").cast("long").alias("n_words"), F.array_join("words", "|").alias("words")
     )

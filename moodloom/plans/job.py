@@ -22,8 +22,10 @@ from moodloom.sources.readers import TEXT, input_bytes, merge_sources, read_text
 from moodloom.sources.sinks import metric_lines, preview, write_labeled
 from moodloom.sources.staging import stage
 
-# Input per shuffle partition: small enough to aggregate in memory next to other tasks.
+# Input per partition: small enough to aggregate in memory next to other tasks.
 PARTITION_BYTES = 128 * 1024 * 1024
+# Beyond this many partitions they grow instead, because a shuffle has one block per pair of tasks.
+MAX_PARTITIONS = 50_000
 
 
 def parser() -> argparse.ArgumentParser:
@@ -69,10 +71,12 @@ def read_sources(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 def size_shuffles(spark: SparkSession, args: argparse.Namespace) -> None:
     """Enough shuffle partitions for the input; AQE merges them where they come out small."""
-    paths = [*args.input, *(path for _, path, _ in args.source)]
-    wanted = input_bytes(spark, paths) // PARTITION_BYTES + 1
+    size = input_bytes(spark, [*args.input, *(path for _, path, _ in args.source)])
+    wanted = min(size // PARTITION_BYTES + 1, MAX_PARTITIONS)
     if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set("spark.sql.shuffle.partitions", wanted)
+    if size > MAX_PARTITIONS * PARTITION_BYTES:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size // MAX_PARTITIONS)
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, float]:

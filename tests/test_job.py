@@ -45,6 +45,24 @@ def test_lexicon_and_thresholds(spark, inputs, capsys):
     assert {r[0]: r[1] for r in found} == {"Negative": 24, "Neutral": 96}
 
 
+@pytest.mark.parametrize(
+    ("size", "partitions", "split"),
+    [(10, 8, None), (1024**4, 8193, None), (100 * 1024**4, 50_000, 100 * 1024**4 // 50_000)],
+)
+def test_shuffles_follow_the_input(spark, monkeypatch, size, partitions, split):
+    names = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
+    before = [spark.conf.get(name) for name in names]
+    monkeypatch.setattr(job, "input_bytes", lambda *_: size)
+    try:
+        spark.conf.set(names[0], 8)
+        job.size_shuffles(spark, job.parser().parse_args(["--input", "x"]))
+        assert int(spark.conf.get(names[0])) == partitions
+        assert spark.conf.get(names[1]) == (str(split) if split else before[1])
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.set(name, value)
+
+
 def test_no_source_is_an_error():
     with pytest.raises(SystemExit):
         job.main(["--train"])
