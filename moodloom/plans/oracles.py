@@ -1,7 +1,8 @@
 r"""SQL for DuckDB with the results of the registered queries.
 
 Java's ``\s`` is space, tab, line feed, vertical tab, form feed and carriage return; DuckDB's lacks
-the vertical tab, so the class is written out.
+the vertical tab, so the class is written out. ``+ 0.0`` turns the -0.0 of DuckDB's ``round`` into the
+0.0 that Spark's gives.
 """
 
 from __future__ import annotations
@@ -112,7 +113,7 @@ hits as (
           then -0.5 else 1.0 end) as mean
     from placed join lexicon using (word) left join intense on intense.word = before
     group by doc_id)
-select doc_id, round(coalesce(mean, 0.0), 6) as sentiment_score
+select doc_id, round(coalesce(mean, 0.0), 6) + 0.0 as sentiment_score
 from docs left join hits using (doc_id)"""
 
 TOKENS = f"""{DOCS},
@@ -171,7 +172,7 @@ ORACLES: dict[str, str] = {
         union all select 'distinct_text', count(*) from once
         union all select 'distinct_original', count(*) from originals""",
     "lexicon_polarity": f"""with {SCORED_DOCS}
-        select doc_id, round(score, 6) as sentiment_score from scored""",
+        select doc_id, round(score, 6) + 0.0 as sentiment_score from scored""",
     "modified_polarity": MODIFIED,
     "joined_polarity": MODIFIED,
     "sentiment_bucket": f"""with {SCORED_DOCS}
