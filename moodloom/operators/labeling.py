@@ -12,8 +12,10 @@ from moodloom.operators.lookup import lookup
 from moodloom.sources.readers import TEXT
 from moodloom.sources.staging import stage
 
-# Lexicons up to this many words become literals of the plan; larger ones are joined.
+# Lexicons up to this many words and different values become literals of the plan; larger ones
+# are joined. Words of one value share a hash-set test, so a row pays for values, not for words.
 INLINE_WORDS = 5_000
+INLINE_VALUES = 200
 
 SCORE = "sentiment_score"
 CATEGORY = "sentiment_category"
@@ -48,20 +50,25 @@ def add_polarity(
             negators,
         )
     if isinstance(lexicon, Mapping):
-        if len(lexicon) <= inline_words:
+        if fits_inline(lexicon, {}, inline_words):
             return score_inline(df, text_column, lexicon, {}, negators)
         lexicon = df.sparkSession.createDataFrame(list(lexicon.items()), "word string, polarity double")
     words = merged_lexicon(lexicon)
     if words.count() > inline_words:
         return score_by_join(df, text_column, words, negators)
     rows = words.collect()
-    return score_inline(
-        df,
-        text_column,
-        {r["word"]: r["polarity"] for r in rows if r["polarity"] is not None},
-        {r["word"]: r["intensity"] for r in rows if r["intensity"] is not None},
-        negators,
-    )
+    polarities = {r["word"]: r["polarity"] for r in rows if r["polarity"] is not None}
+    intensities = {r["word"]: r["intensity"] for r in rows if r["intensity"] is not None}
+    if not fits_inline(polarities, intensities, inline_words):
+        return score_by_join(df, text_column, words, negators)
+    return score_inline(df, text_column, polarities, intensities, negators)
+
+
+def fits_inline(
+    polarities: Mapping[str, float], intensities: Mapping[str, float], inline_words: int
+) -> bool:
+    values = max(len(set(side.values())) for side in (polarities, intensities))
+    return len(polarities) + len(intensities) <= inline_words and values <= INLINE_VALUES
 
 
 def score_inline(

@@ -92,7 +92,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, float]:
         negative_threshold=args.negative_threshold,
     )
     # Written once in a columnar form; every report, sink and fit below reads that.
-    labeled = stage(labeled, "labeled")
+    if args.output and args.output_format == "parquet":
+        write_labeled(labeled, args.output, "parquet")
+        labeled = spark.read.schema(labeled.schema).parquet(args.output)
+    else:
+        labeled = stage(labeled, "labeled")
     if args.schema:
         labeled.printSchema()
     preview(sentiment_distribution(labeled))
@@ -100,8 +104,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, float]:
         preview(labeled, args.preview)
     if args.keywords:
         preview(top_keywords(labeled, k=args.keywords), args.keywords)
-    if args.output:
-        write_labeled(labeled, args.output, args.output_format)
+    if args.output and args.output_format == "csv":
+        write_labeled(labeled, args.output)
     if not args.train:
         return {}
     model, metrics = train_and_evaluate(labeled, num_features=args.num_features, staged=True)

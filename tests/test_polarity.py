@@ -58,6 +58,20 @@ def test_join_keeps_equal_rows_and_other_columns(spark, texts):
     assert joined.count() == 4 and joined.where("sentiment_score = 0.7").count() == 2
 
 
+@pytest.mark.parametrize("values", [5, 300])
+def test_mapping_of_any_variety(texts, values):
+    lexicon = {f"w{i}": (i % values - values / 2) / values for i in range(1_000)}
+    df = labeling.add_polarity(texts(["w7 w299", "w7", "x"], "tweets"), "tweets", lexicon, ())
+    expected = {
+        "w7 w299": pytest.approx((lexicon["w7"] + lexicon["w299"]) / 2),
+        "w7": pytest.approx(lexicon["w7"]),
+        "x": 0.0,
+    }
+    assert scores(df) == expected
+    inline = "Join" not in physical_plan(df)
+    assert inline == (values <= labeling.INLINE_VALUES)
+
+
 def test_senses_are_averaged(spark, texts):
     senses = spark.createDataFrame([("fine", 0.2), ("fine", 0.6)], "word string, polarity double")
     found = labeling.add_polarity(texts(["fine"], "tweets"), "tweets", senses, ())
