@@ -93,7 +93,8 @@ def score_by_join(
 ) -> DataFrame:
     """Score through joins of the words to a lexicon of any size.
 
-    Texts travel as their SHA-256; equal texts share a score, so they need not be told apart.
+    Texts travel as their SHA-256; equal texts share a score, so they need not be told apart. ``df``
+    is written once, as several passes read it.
     """
     negators = list(negators)
     lexicon = stage(lexicon, "lexicon")
@@ -101,7 +102,8 @@ def score_by_join(
     intensities = lexicon.where(F.col("intensity").isNotNull()).select(
         F.col("word").alias("before"), "intensity"
     )
-    keyed = df.withColumn("_text_id", F.sha2(text_column, 256))
+    text_id = F.unhex(F.sha2(text_column, 256))
+    keyed = stage(df.withColumn("_text_id", text_id), "keyed")
 
     def neighbours(word: Column, position: Column) -> Column:
         return F.struct(

@@ -33,9 +33,10 @@ def lookup(
     counts: DataFrame | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Inner or left join of ``facts`` to ``table`` on the string column ``key``.
+    """Inner or left join of ``facts`` to ``table`` on the string or binary column ``key``.
 
-    The table's size is measured, so pass a written one. A small table is broadcast. Beyond that the
+    The table's size is measured, so pass a written one; ``facts`` may be read up to three times.
+    A small table is broadcast. Beyond that the
     rows of hot keys meet a broadcast of those keys alone, at most ``HOT_KEYS`` of them, and
     only the other rows are shuffled. Where the rows per key are known, ``counts`` (the key and
     ``facts``) spares the pass that counts them.
@@ -44,10 +45,8 @@ def lookup(
         return facts.join(F.broadcast(table), key, how)
     keyed = facts.where(F.col(key).isNotNull())
     if counts is None:
-        counts = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("facts"))
-        total = keyed.count()
-    else:
-        total = counts.agg(F.sum("facts").alias("facts")).first()["facts"]
+        counts = stage(keyed.groupBy(key).agg(F.count(F.lit(1)).alias("facts")), "counts")
+    total = counts.agg(F.coalesce(F.sum("facts"), F.lit(0)).alias("facts")).first()["facts"]
     hot = hot_keys(counts, key, total)
     hot_rows = table.join(F.broadcast(hot), key, "left_semi")
     of_hot = keyed.join(F.broadcast(hot), key, "left_semi")
