@@ -17,6 +17,10 @@ from moodloom.functions import rules
 
 NEGATION = -0.5
 
+# Scores are rounded to this many digits: the order in which words are added up must not decide
+# on which side of a threshold a text falls.
+SCORE_DIGITS = 12
+
 # The default lexicon, (polarity, words) and (intensity, words).
 DEFAULT_POLARITIES = (
     (1.0, "awesome excellent perfect best wonderful outstanding"),
@@ -98,7 +102,8 @@ def mean_contribution(values: str) -> Column:
     """Mean of the array column named ``values``; 0 if it is empty, null if it is null."""
     total = F.aggregate(F.col(values), F.lit(0.0), lambda acc, value: acc + value)
     hits = F.size(values)
-    return F.when(hits > 0, total / hits).when(hits == 0, F.lit(0.0))
+    mean = F.round(total / hits, SCORE_DIGITS)
+    return F.when(hits > 0, mean).when(hits == 0, F.lit(0.0))
 
 
 def sentiment_category(

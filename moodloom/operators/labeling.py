@@ -122,7 +122,8 @@ def score_by_join(
     boost = F.col("intensity")
     negated = polarity.is_negated(F.col("before"), F.col("before_that"), boost, negators)
     value = polarity.contribution(F.col("polarity"), boost, negated)
-    scores = boosted.groupBy("_text_id").agg(F.avg(value).alias(SCORE))
+    mean = F.round(F.avg(value), polarity.SCORE_DIGITS)
+    scores = boosted.groupBy("_text_id").agg(mean.alias(SCORE))
     scored = lookup(keyed, stage(scores, "scores"), "_text_id", "left")
     no_hit = F.when(F.col(text_column).isNotNull(), F.lit(0.0))
     return scored.select(*df.columns, F.coalesce(SCORE, no_hit).alias(SCORE))

@@ -85,7 +85,7 @@ DOCS = f"""docs as (
 def scored(source: str, row_id: str) -> str:
     return f"""lexicon as (select * from {pairs(LEXICON, 'word, polarity')}),
 hits as (
-    select {row_id}, avg(polarity) as mean
+    select {row_id}, round(avg(polarity), 12) as mean
     from (select {row_id}, unnest({words('tweets')}) as word from {source})
     join lexicon using (word) group by {row_id}),
 scored as (
@@ -106,11 +106,11 @@ placed as (
     select *, lag(word, 1) over (partition by doc_id order by pos) as before,
            lag(word, 2) over (partition by doc_id order by pos) as before_that from tokens),
 hits as (
-    select doc_id, avg(
+    select doc_id, round(avg(
         greatest(-1.0, least(1.0, polarity * coalesce(intensity, 1.0)))
         * case when before in ({quoted(NEGATORS)})
                  or (intensity is not null and before_that in ({quoted(NEGATORS)}))
-          then -0.5 else 1.0 end) as mean
+          then -0.5 else 1.0 end), 12) as mean
     from placed join lexicon using (word) left join intense on intense.word = before
     group by doc_id)
 select doc_id, round(coalesce(mean, 0.0), 6) + 0.0 as sentiment_score
@@ -178,7 +178,8 @@ ORACLES: dict[str, str] = {
     "sentiment_bucket": f"""with {SCORED_DOCS}
         select doc_id, {category('score')} as sentiment_category from scored""",
     "labeled_corpus": f"""with {LABELED}
-        select tweets, score::float::double as sentiment_score, sentiment_category from labeled""",
+        select tweets, round(score::float::double, 6) + 0.0 as sentiment_score, sentiment_category
+        from labeled""",
     "sentiment_distribution": f"""with {LABELED}
         select sentiment_category, count(*) as count from labeled group by sentiment_category""",
     "word_counts": f"""with {CORPUS}

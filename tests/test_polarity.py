@@ -1,3 +1,5 @@
+from itertools import permutations
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,6 +74,18 @@ def test_mapping_of_any_variety(texts, values):
     assert inline == (values <= labeling.INLINE_VALUES)
 
 
+@pytest.mark.parametrize("inline_words", [5_000, 0])
+def test_word_order_does_not_decide_the_class(spark, texts, inline_words):
+    """The mean is -0.5 whatever the order; added up in floating point it is so in some orders only."""
+    table = spark.createDataFrame(
+        [("p", -0.7), ("q", -0.9), ("r", 0.1)], "word string, polarity double"
+    )
+    df = texts([" ".join(o) for o in permutations("pqr")], "tweets")
+    scored = labeling.add_polarity(df, "tweets", table, (), inline_words)
+    category = polarity.sentiment_category("sentiment_score")
+    assert {tuple(r) for r in scored.select("sentiment_score", category).collect()} == {(-0.5, "Neutral")}
+
+
 def test_senses_are_averaged(spark, texts):
     senses = spark.createDataFrame([("fine", 0.2), ("fine", 0.6)], "word string, polarity double")
     found = labeling.add_polarity(texts(["fine"], "tweets"), "tweets", senses, ())
