@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodloom.llm import decontaminate, licenses, packing, quality, token_counts, token_files
+from moodloom.llm import (
+    decontaminate,
+    licenses,
+    packing,
+    quality,
+    simhash,
+    suffixes,
+    token_counts,
+    token_files,
+    toxicity,
+)
 from moodloom.llm.common import read_table
 from moodloom.sources.staging import staging_path
 
@@ -35,12 +45,25 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.cut_documents(read_table(spark, sf_dir, "documents"), TOKENIZER, end_id=0)
     digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.pack_pieces(digests)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    model = toxicity.train_toxicity(documents, read_table(spark, sf_dir, "labels"))
+    scored = toxicity.score_toxicity(documents, model)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = quality.build_ledger(read_table(spark, sf_dir, "documents"))
     judged = quality.apply_policy(ledger, quality.POLICIES[-1])
@@ -52,12 +75,26 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_license_scan": op2_license_scan,
     "op3_token_files": op3_token_files,
     "op4_decontamination": op4_decontamination,
+    "op5_simhash": op5_simhash,
     "op6_packing": op6_packing,
+    "op7_toxicity": op7_toxicity,
     "op8_quality_rules": op8_quality_rules,
     "op9_token_counts": op9_token_counts,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 ORACLES: dict[str, str] = {}

@@ -68,7 +68,7 @@ def bit_planes(prints: np.ndarray) -> np.ndarray:
     words = -(-len(prints) // 64)
     padded = np.concatenate([prints, np.repeat(prints[-1:], words * 64 - len(prints))])
     bits = np.unpackbits(padded.view("u1").reshape(-1, 8), axis=1, bitorder="little")
-    return np.packbits(bits.T, axis=1, bitorder="little").view("<u8").copy()
+    return np.ascontiguousarray(np.packbits(bits.T, axis=1, bitorder="little")).view("<u8")
 
 
 def close_pairs(queries: np.ndarray, prints: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
