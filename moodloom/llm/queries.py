@@ -12,6 +12,7 @@ from moodloom.llm import (
     decontaminate,
     licenses,
     packing,
+    passages,
     quality,
     simhash,
     suffixes,
@@ -26,6 +27,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(read_table(spark, sf_dir, "documents"))
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "line", "license_id", "n_common", F.round("dice", 9).alias("dice"))
@@ -87,6 +92,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_passages": op1_passages,
     "op2_license_scan": op2_license_scan,
     "op3_token_files": op3_token_files,
     "op4_decontamination": op4_decontamination,

@@ -1,14 +1,17 @@
 """Operator 5: near duplicates by SimHash, compared in bit-sliced blocks.
 
-Different fingerprints are gathered by bands: with ``RADIUS`` differing bits, one of ``RADIUS + 1`` bands is
-equal, so each linked pair meets in a band. Inside a band the fingerprints are held as bit planes: word w
-of plane b holds bit b of 64 fingerprints. One pass over the planes adds up the distances of a
+Different fingerprints are gathered by bands of their bits. Inside the buckets of a band they are held as bit
+planes: word w of plane b holds bit b of 64 fingerprints. One pass over the planes adds up the distances of a
 fingerprint to 64 others at once in carry-save counters, and drops the blocks that are all beyond the radius.
+
+With 64 bits and a small radius, the ``radius + 1`` bands of ``EXACT`` lose no pair: one of them is equal. Texts that share
+four fifths of their shingles differ in about a seventh of the bits, which no such bands reach; ``WIDE`` takes 256 bits for them,
+whose distance is a sharper estimate, and 21 bands of 12 bits, of which such a pair shares one with 96 in 100.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import xxhash
@@ -18,83 +21,144 @@ from pyspark.sql import functions as F
 from moodloom.llm.common import if_small, map_arrow, slices, texts_of
 from moodloom.sources.staging import stage
 
-BITS = 64
 RADIUS = 2
 SHINGLE = 3
 SEED = 42
-# Fingerprints compared at once, each with each, and planes between two looks at the counters.
-BLOCK = 2_048
-LOOK = 8
+# Fingerprints compared in one go, and planes between two looks at the counters.
+BLOCK = 16_384
+LOOK = 16
 # A band value with more fingerprints than this is divided by bands of the remaining bits.
 LARGE_BUCKET = 4_096
+# Odd factors that make further hashes of a hash, for fingerprints of more than 64 bits.
+FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+
+
+@dataclass(frozen=True)
+class Scheme:
+    """``words`` of 64 bits, linked at ``radius`` differing bits or fewer, gathered by ``bands`` of ``band_bits``."""
+
+    words: int
+    radius: int
+    bands: int
+    band_bits: int
+    exact: bool
+
+    def band(self, i: int) -> list[int]:
+        if self.exact:  # all bits, in as many bands as must leave one equal
+            return [b for b in range(64 * self.words) if b * self.bands // (64 * self.words) == i]
+        return list(range(i * self.band_bits, (i + 1) * self.band_bits))
+
 
+EXACT = Scheme(1, RADIUS, RADIUS + 1, 0, True)
+# Similarity 0.8 over shingles is an angle of 27 degrees, so 39 of 256 bits; 48 leaves room for the estimate's error.
+WIDE = Scheme(4, 48, 21, 12, False)
 
-def fingerprint(text: str, size: int = SHINGLE, seed: int = SEED) -> int:
-    """A bit is set if it is set in over half of the hashes of the word shingles; no words: 0."""
+
+def shingle_hashes(text: str, size: int, seed: int) -> np.ndarray:
+    """XXH64 of each word shingle; fewer words than ``size`` are one shingle."""
     words = text.encode().lower().split()  # bytes: A-Z only, and ASCII white space
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), "i8", len(words)) + 1)
     n = max(len(words) - size + 1, 1)
     starts = [0, *ends[: n - 1].tolist()]
     stops = (ends[min(size, len(words)) - 1 :] - 1).tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], seed) for a, b in zip(starts, stops)], "<u8")
-    counts = np.zeros(BITS, "i8")
-    for first in range(0, n, 1 << 15):
+    return np.array([digest(joined[a:b], seed) for a, b in zip(starts, stops)], "<u8")
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The 64 bits that are set in over half of the hashes; none: 0."""
+    counts = np.zeros(64, "i8")
+    for first in range(0, len(hashes), 1 << 15):
         part = hashes[first : first + (1 << 15)].view("u1").reshape(-1, 8)
         counts += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype="i8")
-    return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
+    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
+
+
+def fingerprint(text: str, size: int = SHINGLE, seed: int = SEED, words: int = 1) -> list[int]:
+    """``words`` times 64 bits, each set if it is set in over half of the hashes of the word shingles."""
+    hashes = shingle_hashes(text, size, seed)
+    out = [majority(hashes)]
+    for factor in FACTORS[: words - 1]:
+        mixed = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(factor)
+        out.append(majority(mixed ^ (mixed >> np.uint64(32))))
+    return out
 
 
 def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def add_fingerprints(docs: DataFrame, size: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a long) of each row with ``doc_id`` and ``text``."""
+def columns_of(words: int) -> list[str]:
+    return ["fp", "fp1", "fp2", "fp3"][:words]
+
+
+def add_fingerprints(docs: DataFrame, size: int = SHINGLE, seed: int = SEED, words: int = 1) -> DataFrame:
+    """``doc_id`` and the bits as longs ``fp``, ``fp1`` ... of each row with ``doc_id`` and ``text``."""
+    names = columns_of(words)
 
     def work(batches):
         for batch in slices(batches, "text"):
-            prints = [signed(fingerprint(text, size, seed)) for text in batch.column("text").to_pylist()]
-            yield {"doc_id": batch.column("doc_id"), "fp": prints}
+            prints = [fingerprint(text, size, seed, words) for text in batch.column("text").to_pylist()]
+            yield {"doc_id": batch.column("doc_id")} | {n: [signed(p[i]) for p in prints] for i, n in enumerate(names)}
 
-    return map_arrow(docs, work, "doc_id long, fp long")
+    return map_arrow(docs, work, "doc_id long, " + ", ".join(f"{n} long" for n in names))
 
 
 def bit_planes(prints: np.ndarray) -> np.ndarray:
     """``planes[b, w]``: bit b of the fingerprints 64 w to 64 w + 63; the last word is filled with the last one."""
-    words = -(-len(prints) // 64)
-    padded = np.concatenate([prints, np.repeat(prints[-1:], words * 64 - len(prints))])
-    bits = np.unpackbits(padded.view("u1").reshape(-1, 8), axis=1, bitorder="little")
+    blocks = -(-len(prints) // 64)
+    padded = np.concatenate([prints, np.repeat(prints[-1:], blocks * 64 - len(prints), axis=0)])
+    bits = np.unpackbits(padded.view("u1").reshape(len(padded), -1), axis=1, bitorder="little")
     return np.ascontiguousarray(np.packbits(bits.T, axis=1, bitorder="little")).view("<u8")
 
 
-def close_pairs(queries: np.ndarray, prints: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """Places (query, print) at distance ``radius`` or less, 64 prints in each machine word.
+def beyond(counters: list[np.ndarray], over: np.ndarray, radius: int) -> np.ndarray:
+    """The lanes whose counter is greater than ``radius``, compared from the highest bit plane down."""
+    more, equal = over.copy(), ~over
+    for k in range(len(counters) - 1, -1, -1):
+        if radius >> k & 1:
+            equal &= counters[k]
+        else:
+            more |= equal & counters[k]
+            equal &= ~counters[k]
+    return more
+
+
+def close_pairs(prints: np.ndarray, bucket: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) of fingerprints of one bucket at ``radius`` or fewer differing bits.
 
-    ``level[k]`` marks the lanes with more than k differences so far, a saturating carry-save counter.
+    ``prints`` has a row per fingerprint and a column per 64 bits; ``bucket`` numbers the buckets in order, so a bucket is a
+    run of rows. A row meets the blocks of 64 rows that its bucket reaches, from its own block on.
     """
     planes = bit_planes(prints)
-    rows, blocks = (x.ravel() for x in np.indices((len(queries), planes.shape[1])))
-    level = np.zeros((radius + 1, len(rows)), "u8")
-    for bit in range(BITS):
-        ones = (queries[rows] >> np.uint64(bit)) & np.uint64(1)
+    last = np.searchsorted(bucket, bucket, side="right") - 1
+    own = np.arange(len(prints)) // 64
+    reach = last // 64 - own + 1
+    rows = np.repeat(np.arange(len(prints)), reach)
+    blocks = own[rows] + np.arange(len(rows)) - np.repeat(np.cumsum(reach) - reach, reach)
+    counters = [np.zeros(len(rows), "u8") for _ in range(radius.bit_length())]
+    over = np.zeros(len(rows), "u8")
+    for bit in range(len(planes)):
+        ones = (prints[rows, bit // 64] >> np.uint64(bit % 64)) & np.uint64(1)
         carry = planes[bit, blocks] ^ (np.uint64(0) - ones)
-        for k in range(radius + 1):
-            level[k], carry = level[k] | carry, level[k] & carry
+        for k in range(len(counters)):
+            counters[k], carry = counters[k] ^ carry, counters[k] & carry
+        over |= carry
         if bit % LOOK == LOOK - 1:
-            live = level[radius] != ~np.uint64(0)
+            live = beyond(counters, over, radius) != ~np.uint64(0)
             if not live.all():
-                rows, blocks, level = rows[live], blocks[live], level[:, live]
+                rows, blocks, over = rows[live], blocks[live], over[live]
+                counters = [c[live] for c in counters]
                 if not len(rows):
                     break
-    near = np.unpackbits((~level[radius]).astype("<u8").view("u1").reshape(-1, 8), axis=1, bitorder="little")
-    at, lane = np.nonzero(near)
-    place = blocks[at] * 64 + lane
-    inside = place < len(prints)
-    return rows[at][inside], place[inside]
+    near = (~beyond(counters, over, radius)).astype("<u8").view("u1").reshape(-1, 8)
+    at, lane = np.nonzero(np.unpackbits(near, axis=1, bitorder="little"))
+    i, j = rows[at], blocks[at] * 64 + lane
+    inside = (j > i) & (j <= last[i])
+    return i[inside], j[inside]
 
 
 def forest(n: int, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,90 +175,71 @@ def forest(n: int, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.
             return places, root[places]
 
 
-def linked(prints: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Edges that join what is linked among ``prints`` (sorted, different), block against block."""
-    for i in range(0, len(prints), BLOCK):
-        for j in range(i, len(prints), BLOCK):
-            left, right = close_pairs(prints[i : i + BLOCK], prints[j : j + BLOCK], radius)
-            both = np.concatenate([prints[i : i + BLOCK], prints[j : j + BLOCK]]) if j > i else prints[i : i + BLOCK]
-            shift = min(BLOCK, len(prints) - i) if j > i else 0
-            places, roots = forest(len(both), left, right + shift)
-            yield both[places], both[roots]
+def bits_key(bits: list[int], names: list[str]):
+    """The values of some bits of a fingerprint as one long; contiguous bits of a word are taken at once."""
+    key, taken = F.lit(0).cast("long"), 0
+    while bits:
+        run = 1
+        while run < len(bits) and bits[run] == bits[0] + run and bits[run] // 64 == bits[0] // 64:
+            run += 1
+        part = F.shiftrightunsigned(names[bits[0] // 64], bits[0] % 64).bitwiseAND(F.lit((1 << run) - 1))
+        key = key.bitwiseOR(F.shiftleft(part, taken))
+        bits, taken = bits[run:], taken + run
+    return key
 
 
-def bands(bits: list[int], count: int) -> list[list[int]]:
-    return [bits[i * len(bits) // count : (i + 1) * len(bits) // count] for i in range(count)]
-
-
-def band_key(band: list[int]):
-    """The bits of a contiguous band of ``fp``."""
-    return F.shiftrightunsigned("fp", band[0]).bitwiseAND(F.lit((1 << len(band)) - 1))
+def near_edges(prints: DataFrame, scheme: Scheme = EXACT) -> DataFrame:
+    """``a, b``: edges of ``node`` whose components are those of all pairs that meet in a band and are close.
 
+    ``prints`` has a ``node`` for each different fingerprint and its bits. A large bucket of an exact scheme is
+    divided by bands of the other bits, one of which linked pairs share too.
+    """
+    names, bucket = columns_of(scheme.words), ["band", "key", "sub", "sub_key"]
+    all_bits = range(64 * scheme.words)
 
-def near_edges(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``a, b``: edges whose components are those of all pairs of ``fp`` within ``radius`` bits.
+    def keys(df, kind, bands):
+        made = F.array(*[F.struct(F.lit(i).alias(kind[0]), bits_key(bits, names).alias(kind[1])) for i, bits in bands])
+        return df.select("*", F.explode(made).alias("k")).select(*df.columns, "k.*")
 
-    ``prints`` holds each fingerprint once. Buckets of a large band value are divided again by bands of the other bits:
-    linked pairs still meet, as their differing bits leave one of those bands equal too.
-    """
-    pieces = bands(list(range(BITS)), radius + 1)
-    keyed = prints.select(
-        "fp", F.explode(F.array(*[F.struct(F.lit(i).alias("band"), band_key(p).alias("key")) for i, p in enumerate(pieces)])).alias("k")
-    ).select("fp", "k.*", F.lit(0).alias("sub"), F.lit(0).cast("long").alias("sub_key"))
+    keyed = keys(prints, ("band", "key"), [(i, scheme.band(i)) for i in range(scheme.bands)])
     sizes = keyed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    sizes = stage(sizes, "buckets")
-    shared = keyed.join(if_small(sizes, 64), ["band", "key"])
-    divided = []
-    for i, piece in enumerate(pieces):
-        rest = bands([b for b in range(BITS) if b not in piece], radius + 1)
-        # A band of the remaining bits may lie on both sides of the piece: its key is made bit by bit.
-        keys = [
-            sum(F.shiftrightunsigned("fp", b).bitwiseAND(F.lit(1)) * (1 << k) for k, b in enumerate(part)) for part in rest
-        ]
-        sub = F.explode(F.array(*[F.struct(F.lit(j + 1).alias("sub"), k.cast("long").alias("sub_key")) for j, k in enumerate(keys)]))
-        large = shared.where((F.col("band") == i) & (F.col("n") > LARGE_BUCKET)).drop("sub", "sub_key")
-        divided.append(large.select("fp", "band", "key", sub.alias("s")).select("fp", "band", "key", "s.*"))
-    ready = shared.where(F.col("n") <= LARGE_BUCKET).drop("n").select("fp", "band", "key", "sub", "sub_key")
-    for part in divided:
-        ready = ready.unionByName(part)
-    bucket = ["band", "key", "sub", "sub_key"]
-    sorted_rows = ready.repartition(*bucket).sortWithinPartitions(*bucket, "fp")
+    shared = keyed.join(if_small(stage(sizes, "buckets"), 64), ["band", "key"])
+    limit = F.lit(LARGE_BUCKET if scheme.exact else (1 << 62))
+    whole = [F.lit(0).alias("sub"), F.lit(0).cast("long").alias("sub_key")]
+    ready = shared.where(F.col("n") <= limit).drop("n").select("*", *whole)
+    for i in range(scheme.bands if scheme.exact else 0):
+        rest = [b for b in all_bits if b not in scheme.band(i)]
+        count = scheme.radius + 1
+        parts = [(j + 1, rest[j * len(rest) // count : (j + 1) * len(rest) // count]) for j in range(count)]
+        large = shared.where((F.col("band") == i) & (F.col("n") > limit)).drop("n")
+        ready = ready.unionByName(keys(large, ("sub", "sub_key"), parts))
+    in_order = ready.repartition(*bucket).sortWithinPartitions(*bucket, "node")
 
     def work(batches):
-        """Whole buckets are gathered until a block is full: pairs across them are true links too."""
-        waiting: list[np.ndarray] = []
-        held, open_bucket, last = 0, [], None
+        held: list[np.ndarray] = []  # the rows since the last end of a bucket, and whole buckets before them
 
-        def edges(prints):
-            for a, b in linked(np.unique(np.concatenate(prints)), radius):
-                yield {"a": a.view("i8"), "b": b.view("i8")}
+        def edges(rows):
+            """Of a run of rows; a bucket beyond ``BLOCK`` rows is compared as a whole."""
+            keys, prints = rows[:, 1:5], np.ascontiguousarray(rows[:, 5:]).view("u8")
+            number = np.cumsum(np.concatenate([[0], (keys[1:] != keys[:-1]).any(axis=1)]))
+            places, roots = forest(len(rows), *close_pairs(prints, number, scheme.radius))
+            return {"a": rows[places, 0], "b": rows[roots, 0]}
 
         for batch in batches:
-            columns = [np.asarray(batch.column(name)) for name in bucket]
-            prints = np.asarray(batch.column("fp")).view("u8")
-            changed = np.zeros(len(prints), bool)
-            for column in columns:
-                changed[1:] |= column[1:] != column[:-1]
-            first = tuple(column[0] for column in columns)
-            changed[0] = first != last
-            last = tuple(column[-1] for column in columns)
-            cuts = [*np.flatnonzero(changed).tolist(), len(prints)]
-            open_bucket.append(prints[: cuts[0]])
-            for start, stop in zip(cuts, cuts[1:]):
-                done = np.concatenate(open_bucket)
-                if held + len(done) > BLOCK and held:
-                    yield from edges(waiting)
-                    waiting, held = [], 0
-                if len(done) > 1:
-                    waiting.append(done)
-                    held += len(done)
-                open_bucket = [prints[start:stop]]
-        if open_bucket:
-            waiting.append(np.concatenate(open_bucket))
-        if sum(map(len, waiting)):
-            yield from edges(waiting)
-
-    return map_arrow(sorted_rows, work, "a long, b long")
+            held.append(np.stack([np.asarray(batch.column(c)).astype("i8") for c in ("node", *bucket, *names)], axis=1))
+            if sum(map(len, held)) < BLOCK:
+                continue
+            rows = np.concatenate(held)
+            changes = np.flatnonzero((rows[1:, 1:5] != rows[:-1, 1:5]).any(axis=1)) + 1
+            if len(changes):
+                yield edges(rows[: changes[-1]])
+                held = [rows[changes[-1] :]]
+            else:
+                held = [rows]
+        if held:
+            yield edges(np.concatenate(held))
+
+    return map_arrow(in_order, work, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -223,32 +268,32 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(
     docs: DataFrame,
-    radius: int = RADIUS,
+    scheme: Scheme = EXACT,
     size: int = SHINGLE,
     seed: int = SEED,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """``doc_id, fp, component_id`` of each row: the smallest id that links of ``radius`` bits lead to.
+    """``doc_id``, its bits (``fp`` ...) and ``component_id``, the smallest id that links lead to, for each row.
 
     Null, empty and wordless texts have fingerprint 0 and are linked like any other. Rows without an id keep a null id;
     they link others but never name a component unless all of it lacks ids. Repeated rows each keep their row.
     """
-    prints = stage(add_fingerprints(texts_of(docs, id_column, text_column), size, seed), "fingerprints")
-    different = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows")), "different")
-    roots = components(near_edges(different.select("fp"), radius))
-    rooted = different.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", "rows", F.coalesce("root", "fp").alias("root")
-    )
+    names = columns_of(scheme.words)
+    prints = stage(add_fingerprints(texts_of(docs, id_column, text_column), size, seed, scheme.words), "fingerprints")
+    groups = prints.groupBy(*names).agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"))
+    different = stage(groups.withColumn("node", F.monotonically_increasing_id()), "different")
+    roots = components(near_edges(different.select("node", *names), scheme))
+    rooted = different.join(if_small(roots, 32), "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = stage(rooted, "rooted")
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_print = stage(rooted.join(named, "root").select("fp", "rows", "component_id"), "named")
-    small = if_small(of_print, 64)
-    total = of_print.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).first()["n"]
-    # Fingerprints with one in 1,000 rows or more, a thousand at most, meet their rows by broadcast; the rest by shuffle.
-    hot = of_print.where(F.col("rows") * 1_000 >= total)
+    of_print = stage(rooted.join(named, "root").select(*names, "rows", "component_id"), "named")
+    small = if_small(of_print, 32 + 8 * len(names))
     if small is not of_print:
-        return prints.join(small.drop("rows"), "fp").select("doc_id", "fp", "component_id")
-    of_hot = prints.join(F.broadcast(hot.drop("rows")), "fp")
-    others = prints.join(F.broadcast(hot.select("fp")), "fp", "left_anti").join(of_print.drop("rows"), "fp")
-    return of_hot.unionByName(others).select("doc_id", "fp", "component_id")
+        return prints.join(small.drop("rows"), names).select("doc_id", *names, "component_id")
+    # Fingerprints with one in 1,000 rows or more, a thousand at most, meet their rows by broadcast; the rest by shuffle.
+    total = of_print.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).first()["n"]
+    hot = F.broadcast(of_print.where(F.col("rows") * 1_000 >= total).drop("rows"))
+    of_hot = prints.join(hot, names)
+    others = prints.join(hot, names, "left_anti").join(of_print.drop("rows"), names)
+    return of_hot.unionByName(others).select("doc_id", *names, "component_id")

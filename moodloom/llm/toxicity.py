@@ -8,9 +8,11 @@ ratios of the n-grams present sets the weights.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -159,11 +161,15 @@ def score_toxicity(docs: DataFrame, model: Model, id_column: str = "doc_id", tex
     n-grams of two spaces. Repeated rows and null ids stay; other columns are ignored.
     """
 
-    def work(batches):
-        for batch in slices(batches, "text"):
-            scores = [model.score(text) for text in batch.column("text").to_pylist()]
-            yield {"doc_id": batch.column("doc_id"), "score": scores}
-
     texts = texts_of(docs, id_column, text_column)
-    scored = map_arrow(texts, work, f"doc_id {dict(texts.dtypes)['doc_id']}, score double")
+    scored = texts.select("doc_id", toxicity_score(model)("text").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def toxicity_score(model: Model) -> Callable[[str | Column], Column]:
+    """A column function: the score of a text column, null texts as empty ones."""
+
+    def score(texts: pd.Series) -> pd.Series:
+        return pd.Series([model.score(text or "") for text in texts], dtype="float64")
+
+    return F.pandas_udf(score, "double")
