@@ -7,6 +7,7 @@ A text is a row of symbols (bytes or words). A seed is a run of ``k`` symbols wh
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -20,13 +21,16 @@ BASE = 0x9E3779B97F4A7C15  # odd, so that its powers can be divided by
 PLACE_BITS = 24
 NO_ID = (1 << 63) - 1
 
+# Symbols hashed in one go.
+STRETCH = 1 << 20
+
 _powers: dict[str, np.ndarray] = {}
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of the base and of its inverse, modulo 2 to the 64th."""
     if len(_powers.get("up", ())) < n:
-        size = max(1 << 21, 1 << n.bit_length())
+        size = 1 << n.bit_length()
         for name, factor in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
             steps = np.full(size, factor, "u8")
             steps[0] = 1
@@ -42,16 +46,16 @@ def prefix_sums(symbols: np.ndarray) -> np.ndarray:
 
 
 def window_hashes(symbols: np.ndarray, k: int) -> np.ndarray:
-    """A mixed 64-bit hash of each run of ``k`` symbols."""
-    n = len(symbols) - k + 1
-    if n <= 0:
-        return np.zeros(0, "u8")
-    sums = prefix_sums(symbols)
-    h = (sums[k:] - sums[:-k]) * powers(len(symbols))[1][:n]
-    h ^= h >> np.uint64(32)
-    h *= np.uint64(0xD6E8FEB86659FD93)
-    h ^= h >> np.uint64(32)
-    return h
+    """A mixed 64-bit hash of each run of ``k`` symbols; long texts are hashed stretch by stretch."""
+    out = np.zeros(max(len(symbols) - k + 1, 0), "u8")
+    for start in range(0, len(out), STRETCH):
+        part = symbols[start : start + STRETCH + k - 1]
+        sums = prefix_sums(part)
+        h = (sums[k:] - sums[:-k]) * powers(len(part))[1][: len(part) - k + 1]
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0xD6E8FEB86659FD93)
+        out[start : start + STRETCH] = h ^ (h >> np.uint64(32))
+    return out
 
 
 def minimizer_places(hashes: np.ndarray, w: int) -> np.ndarray:
@@ -79,17 +83,52 @@ def order_of(id_column: str | Column) -> Column:
     return F.coalesce(F.col(id_column) if isinstance(id_column, str) else id_column, F.lit(NO_ID)).cast("long")
 
 
-def different_texts(texts: DataFrame) -> DataFrame:
-    """``text_id, owner, uid`` of each different text: its smallest id, and a number that rises with it."""
-    owners = texts.groupBy(text_key().alias("text_id")).agg(F.min(order_of("doc_id")).alias("owner"))
-    ordered = owners.repartitionByRange("owner").sortWithinPartitions("owner", "text_id")
-    return stage(ordered.withColumn("uid", F.monotonically_increasing_id()), "texts")
+def repeated_texts(texts: DataFrame) -> DataFrame:
+    """``text_id, owner`` of the texts that occur under several ids: the smallest of them."""
+    owners = texts.groupBy(text_key().alias("text_id")).agg(
+        F.min(order_of("doc_id")).alias("owner"), F.max(order_of("doc_id")).alias("last")
+    )
+    return stage(owners.where("owner < last").select("text_id", "owner"), "copies")
+
+
+def shared_ids(texts: DataFrame) -> DataFrame:
+    """``id, text_id, number`` of the rows whose id several texts have; numbers are negative."""
+    pairs = texts.select(order_of("doc_id").alias("id"), text_key().alias("text_id"))
+    several = pairs.groupBy("id").agg(F.min("text_id").alias("least"), F.max("text_id").alias("most")).where("least < most")
+    several = stage(several.select("id"), "shared-ids")
+    rows = pairs.join(if_small(several, 16), "id").distinct()
+    return stage(rows.withColumn("number", -1 - F.monotonically_increasing_id()), "numbers")
 
 
-def one_of_each(texts: DataFrame, known: DataFrame) -> DataFrame:
-    """``uid, owner, text``: the row with the smallest id of each text (again if that row is repeated)."""
-    keyed = texts.select(order_of("doc_id").alias("id"), text_key().alias("text_id"), "text")
-    return keyed.join(if_small(known, 96), "text_id").where("id = owner").select("uid", "owner", "text")
+@dataclass(frozen=True)
+class Texts:
+    """``rows``: ``doc_id, id, text_id, uid, owner, text``, where ``owner`` is the smallest id of the text.
+
+    ``uid`` tells texts apart and is the id itself, unless different texts share an id: those have numbers below 0, so
+    they count as earlier than all others where only ``uid`` decides. ``copies`` are the texts under several ids.
+    """
+
+    rows: DataFrame
+    copies: DataFrame
+
+    @property
+    def units(self) -> DataFrame:
+        """``uid, owner, text`` of each text once, under its smallest id; a repeated row comes again."""
+        return self.rows.where("id = owner").select("uid", "owner", "text")
+
+
+def numbered(texts: DataFrame) -> Texts:
+    """Texts with their owners. Only what repeats is joined, so the texts themselves are seldom shuffled."""
+    copies, numbers = repeated_texts(texts), shared_ids(texts)
+    rows = texts.select("doc_id", order_of("doc_id").alias("id"), text_key().alias("text_id"), "text")
+    rows = rows.join(if_small(copies, 96), "text_id", "left")
+    if numbers.isEmpty():
+        uid = F.col("id")
+    else:
+        rows = rows.join(if_small(numbers, 96), ["id", "text_id"], "left")
+        uid = F.coalesce("number", "id")
+    owner = F.coalesce("owner", "id").alias("owner")
+    return Texts(rows.select("doc_id", "id", "text_id", uid.alias("uid"), owner, "text"), copies)
 
 
 def shared_seeds(units: DataFrame, symbols_of: Callable[[str], np.ndarray], k: int, w: int, parts: int) -> DataFrame:

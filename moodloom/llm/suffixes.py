@@ -15,12 +15,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodloom.llm.common import if_small, map_arrow, slices, text_key, texts_of
+from moodloom.llm.common import if_small, map_arrow, slices, texts_of
 from moodloom.llm.seeds import (
-    different_texts,
     minimizer_places,
-    one_of_each,
-    order_of,
+    numbered,
     parts_for,
     powers,
     prefix_sums,
@@ -32,8 +30,8 @@ from moodloom.sources.staging import stage
 LENGTH = 50
 K = 20
 # Text bytes per part of the seed exchange, and stretches per part of the suffix sort.
-SEED_PART_BYTES = 48 * 1024 * 1024
-STRETCHES_PER_PART = 160_000
+SEED_PART_BYTES = 24 * 1024 * 1024
+STRETCHES_PER_PART = 48_000
 
 
 def bytes_of(text: str) -> np.ndarray:
@@ -148,13 +146,30 @@ def least_owners(data: np.ndarray, at: np.ndarray, owner: np.ndarray, length: in
     return least
 
 
+def pack_places(batches):
+    """The places of each text in one compressed list of differences, about a byte each."""
+    compress = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        packed = []
+        for parts in batch.column("places").to_pylist():
+            places = np.unique(np.frombuffer(b"".join(parts), "u4"))
+            packed.append(compress(np.diff(places, prepend=np.uint32(0)).astype("u4").view("u1").reshape(-1, 4).T.tobytes()))
+        yield {"uid": batch.column("uid"), "places": packed}
+
+
+def unpacked(packed: bytes) -> np.ndarray:
+    steps = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), "u1").reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(steps.T).view("u4").ravel(), dtype="i8")
+
+
 def repeated_spans(units: DataFrame, total: int, length: int) -> DataFrame:
     """``uid, spans``: packed (start, end) pairs (u4) of bytes of a unit that repeat one with a smaller owner, unmerged."""
     w = length - K + 1
     seeds = stage(shared_seeds(units, bytes_of, K, w, parts_for(total, SEED_PART_BYTES)), "seeds")
     parts = parts_for(seeds.agg(F.coalesce(F.sum(F.octet_length("places")), F.lit(0))).first()[0] // 4, STRETCHES_PER_PART)
-    places = stage(seeds.groupBy("uid").agg(F.collect_list("places").alias("places")), "places")
-    small = if_small(places, F.aggregate("places", F.lit(32), lambda n, p: n + F.octet_length(p) + 16))
+    lists = seeds.groupBy("uid").agg(F.collect_list("places").alias("places"))
+    places = stage(map_arrow(lists, pack_places, "uid long, places binary"), "places")
+    small = if_small(places, F.octet_length("places") + 32)
     columns = "part int, uids binary, owners binary, counts binary, firsts binary, sizes binary, data binary"
 
     def cut(batches):
@@ -167,7 +182,7 @@ def repeated_spans(units: DataFrame, total: int, length: int) -> DataFrame:
                 first = starts_of(chosen[1:] != chosen[:-1])
                 last = np.append(first[1:], len(chosen)) - 1
                 wanted = np.zeros(len(found), bool)
-                wanted[np.frombuffer(b"".join(packed), "u4")] = True
+                wanted[unpacked(packed)] = True
                 keep = wanted[chosen[first]]
                 first, last = first[keep], last[keep]
                 key = (found[chosen[first]] >> np.uint64(32)) % np.uint64(parts)
@@ -279,16 +294,12 @@ def remove_repeats(
     if not 32 <= length <= 200:
         raise ValueError("length must be between 32 and 200")
     texts = texts_of(docs, id_column, text_column)
-    known = different_texts(texts)
-    long_enough = texts.where(F.octet_length("text") >= length)
     total = texts.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
-    found = repeated_spans(one_of_each(long_enough, known), total, length)
+    known = numbered(texts)
+    found = repeated_spans(known.units.where(F.octet_length("text") >= length), total, length)
     spans = stage(found.groupBy("uid").agg(F.collect_list("spans").alias("spans")), "spans")
     size = F.aggregate("spans", F.lit(32), lambda n, p: n + F.octet_length(p) + 16)
-    judged = stage(known.join(if_small(spans, size), "uid", "left").select("text_id", "owner", "spans"), "judged")
-    keyed = texts.select("doc_id", order_of("doc_id").alias("id"), text_key().alias("text_id"), "text")
-    bytes_each = F.aggregate(F.coalesce("spans", F.array().cast("array<binary>")), F.lit(96), lambda n, p: n + F.octet_length(p) + 16)
-    rows = keyed.join(if_small(judged, bytes_each), "text_id").select("doc_id", "id", "owner", "text", "spans")
+    rows = known.rows.join(if_small(spans, size), "uid", "left").select("doc_id", "id", "owner", "text", "spans")
     kind = dict(texts.dtypes)["doc_id"]
 
     def cut(batches):
