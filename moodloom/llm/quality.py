@@ -87,7 +87,7 @@ def repeated_places(entries: str) -> Column:
 
 def covered_words(places: str) -> Column:
     """Words in the three-word windows that begin at ``places``."""
-    second, third = (F.transform(places, lambda p, k=k: p + k) for k in (1, 2))
+    second, third = F.transform(places, lambda p: p + 1), F.transform(places, lambda p: p + 2)
     return F.size(F.array_union(F.array_union(places, second), third))
 
 
