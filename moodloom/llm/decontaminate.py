@@ -16,8 +16,8 @@ from moodloom.sources.staging import stage
 
 WINDOW = 10
 SHINGLE = 3
-# Everything ASCII that is no digit or letter.
-GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# Everything ASCII that is no digit or letter; these classes are tests of one table, ranges are not.
+GAP = r"[\p{ASCII}&&\P{Alnum}]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -110,7 +110,7 @@ def decontaminate(
     found = stage(
         spans.alias("l").join(items.alias("r"), same).select("l.doc_id", "l.text_id", "spans", covered, "items"), "found"
     )
-    n_words = F.regexp_count("text", F.lit(GAP.replace("[", "[^", 1))).cast("long")
+    n_words = F.size(F.array_remove(F.split("text", GAP), "")).cast("long")
     base = texts.select("doc_id", text_key().alias("text_id"), n_words.alias("n_words"))
     found = if_small(found, 24 * F.size("spans") + 40 * F.size("items") + 128)
     joined = base.alias("l").join(found.alias("r"), same, "left")
@@ -130,8 +130,9 @@ def decontaminate(
 def window_hits(words: DataFrame, windows: DataFrame, shingles: DataFrame, sizes: list[int]) -> DataFrame:
     """``doc_id, text_id, first, window_id, window_size``: each place where a document holds a window."""
     wanted = stage(shingles.select("hash").distinct(), "hashes")
-    all_hashes = F.explode(F.concat(*[shingle_hashes("words", size) for size in sizes])).alias("hash")
-    counts = words.select(all_hashes).join(if_small(wanted, 64), "hash").groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
+    # The lists are made first: a generator over a plain column runs in one piece with the join.
+    hashes = words.select(F.concat(*[shingle_hashes("words", size) for size in sizes]).alias("hashes"))
+    counts = hashes.select(F.explode("hashes").alias("hash")).join(if_small(wanted, 64), "hash").groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
     counts = stage(counts, "frequencies")
     # A window with a shingle that no document holds drops out; of the others the rarest shingle is kept.
     ranked = shingles.join(if_small(counts, 64), "hash", "left")
@@ -144,9 +145,8 @@ def window_hits(words: DataFrame, windows: DataFrame, shingles: DataFrame, sizes
     small = if_small(prefixes, F.octet_length(F.concat_ws(" ", "window_words")) + 16 * F.size("window_words") + 256)
     placed = []
     for size in sizes:
-        each = words.select(
-            "doc_id", "text_id", "words", F.posexplode(shingle_hashes("words", size)).alias("place", "hash")
-        )
+        lists = words.select("doc_id", "text_id", "words", shingle_hashes("words", size).alias("hashes"))
+        each = lists.select("doc_id", "text_id", "words", F.posexplode("hashes").alias("place", "hash"))
         first = F.col("place") - F.col("offset")
         of_size = small.where(F.col("shingle_size") == size) if len(sizes) > 1 else small
         same_words = F.slice("words", F.greatest(first, F.lit(0)) + 1, F.col("window_size")) == F.col("window_words")
