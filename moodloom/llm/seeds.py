@@ -21,6 +21,8 @@ BASE = 0x9E3779B97F4A7C15  # odd, so that its powers can be divided by
 PLACE_BITS = 24
 NO_ID = (1 << 63) - 1
 
+# Seeds that a task gathers before it deals them out.
+SEEDS_AT_ONCE = 500_000
 # Symbols hashed in one go.
 STRETCH = 1 << 20
 
@@ -132,48 +134,51 @@ def numbered(texts: DataFrame) -> Texts:
 
 
 def shared_seeds(units: DataFrame, symbols_of: Callable[[str], np.ndarray], k: int, w: int, parts: int) -> DataFrame:
-    """Seeds that two different texts hold, each with its first place in the smallest ``uid``.
+    """``uid, place, first_uid, first_place``: seeds that two different texts hold, each with its first place in the smallest ``uid``.
 
-    One row per text and part: ``uid`` and the packed arrays ``places`` (u4), ``first_uids`` (i8) and ``first_places``
-    (u4). Seeds are dealt out by hash in packed arrays, about ten bytes each; a repeated unit is harmless.
+    The seeds are dealt out by hash in packed arrays of about ten bytes each; a repeated unit is harmless.
     """
 
     def deal(batches):
-        for batch in slices(batches, "text"):
-            uids, hashes, rows, places = [], [], [], []
-            for uid, text in zip(batch.column("uid").to_pylist(), batch.column("text").to_pylist()):
-                found = window_hashes(symbols_of(text), k)
-                chosen = minimizer_places(found, w)
-                if len(chosen):
-                    chosen = chosen[np.concatenate([[True], chosen[1:] != chosen[:-1]])]
-                    hashes.append(found[chosen])
-                    places.append(chosen)
-                    rows.append(np.full(len(chosen), len(uids), "u4"))
-                    uids.append(uid)
-            if not uids:
-                continue
-            hash_of, place, row = np.concatenate(hashes), np.concatenate(places).astype("u4"), np.concatenate(rows)
+        uids, found, held = [], [], 0
+
+        def packed():
+            hash_of, place = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+            row = np.repeat(np.arange(len(uids)), [len(f[0]) for f in found])
             part = (hash_of >> np.uint64(32)) % np.uint64(parts)
             order = np.argsort(part, kind="stable")
             cuts = np.searchsorted(part[order], np.arange(parts + 1, dtype="u8"))
             all_uids = np.array(uids, "i8")
             out = {"part": [], "uids": [], "counts": [], "hashes": [], "low": [], "high": []}
-            for p in range(parts):
+            for p in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
                 here = order[cuts[p] : cuts[p + 1]]
-                if len(here):
-                    used, counts = np.unique(row[here], return_counts=True)
-                    values = (
-                        p, all_uids[used].tobytes(), counts.astype("u4").tobytes(), hash_of[here].astype("u4").tobytes(),
-                        place[here].astype("u2").tobytes(), (place[here] >> 16).astype("u2").tobytes(),
-                    )
-                    for key, value in zip(out, values):
-                        out[key].append(value)
-            yield out
+                used, counts = np.unique(row[here], return_counts=True)
+                values = (
+                    p, all_uids[used].tobytes(), counts.astype("u4").tobytes(), hash_of[here].astype("u4").tobytes(),
+                    place[here].astype("u2").tobytes(), (place[here] >> 16).astype("u2").tobytes(),
+                )
+                for key, value in zip(out, values):
+                    out[key].append(value)
+            return out
+
+        for batch in slices(batches, "text"):
+            for uid, text in zip(batch.column("uid").to_pylist(), batch.column("text").to_pylist()):
+                hashes = window_hashes(symbols_of(text), k)
+                chosen = minimizer_places(hashes, w)
+                if len(chosen):
+                    chosen = chosen[np.concatenate([[True], chosen[1:] != chosen[:-1]])]
+                    uids.append(uid)
+                    found.append((hashes[chosen], chosen.astype("u4")))
+                    held += len(chosen)
+            if held >= SEEDS_AT_ONCE:
+                yield packed()
+                uids, found, held = [], [], 0
+        if found:
+            yield packed()
 
     dealt = map_arrow(
         units.select("uid", "text"), deal, "part int, uids binary, counts binary, hashes binary, low binary, high binary"
     )
-    kind = pa.schema([("uid", pa.int64()), ("places", pa.binary()), ("first_uids", pa.binary()), ("first_places", pa.binary())])
 
     def match(table: pa.Table) -> pa.Table:
         def joined(name: str, dtype: str) -> np.ndarray:
@@ -187,19 +192,11 @@ def shared_seeds(units: DataFrame, symbols_of: Callable[[str], np.ndarray], k: i
         starts = np.flatnonzero(np.concatenate([[True], hash_of[1:] != hash_of[:-1]]))
         sizes = np.diff(np.append(starts, len(hash_of)))
         shared = uid[starts] != uid[starts + sizes - 1]
-        first = np.repeat(starts[shared], sizes[shared])
-        mine = np.flatnonzero(np.repeat(shared, sizes))
-        by_uid = np.argsort(uid[mine], kind="stable")
-        first, mine = first[by_uid], mine[by_uid]
-        owner, place_of, first_uid, first_place = uid[mine], place[mine], uid[first], place[first]
-        cuts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, "i8")
-        ends = np.append(cuts[1:], len(owner))
-        pack = lambda values: [values[a:b].tobytes() for a, b in zip(cuts, ends)]
-        return pa.Table.from_arrays(
-            [pa.array(owner[cuts]), *(pa.array(pack(v), pa.binary()) for v in (place_of, first_uid, first_place))], schema=kind
-        )
-
-    return dealt.groupBy("part").applyInArrow(match, "uid long, places binary, first_uids binary, first_places binary")
+        first, mine = np.repeat(starts[shared], sizes[shared]), np.repeat(shared, sizes)
+        columns = {"uid": uid[mine], "place": place[mine].astype("i8"), "first_uid": uid[first], "first_place": place[first].astype("i8")}
+        return pa.table(columns)
+
+    return dealt.groupBy("part").applyInArrow(match, "uid long, place long, first_uid long, first_place long")
 
 
 def parts_for(total: int, per_part: int) -> int:

@@ -30,8 +30,14 @@ from moodloom.sources.staging import stage
 LENGTH = 50
 K = 20
 # Text bytes per part of the seed exchange, and stretches per part of the suffix sort.
-SEED_PART_BYTES = 24 * 1024 * 1024
-STRETCHES_PER_PART = 48_000
+SEED_PART_BYTES = 8 * 1024 * 1024
+STRETCHES_PER_PART = 12_000
+# Stretches whose seeds are judged in one go; the stretches of one seed stay together.
+JUDGED_AT_ONCE = 8_000
+# Suffixes whose groups are sorted in one go; a larger group alone.
+SORTED_AT_ONCE = 100_000
+# Stretches that a task gathers before it deals them out.
+STRETCHES_AT_ONCE = 100_000
 
 
 def bytes_of(text: str) -> np.ndarray:
@@ -68,7 +74,16 @@ class Suffixes:
         return np.where(tied, or_equal, self.data[a + last] < self.data[b + last])
 
     def merge_sort(self, at: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """Sort each group of places: group i is ``at[start[i] : start[i] + size[i]]``; all groups at once."""
+        """Sort each group of places: group i is ``at[start[i] : start[i] + size[i]]``, many groups at once."""
+        out = at.copy()
+        batch = (np.cumsum(size) - 1) // SORTED_AT_ONCE
+        for few in np.split(np.arange(len(size)), np.flatnonzero(np.diff(batch)) + 1):
+            if len(few):
+                low, high = start[few[0]], start[few[-1]] + size[few[-1]]
+                out[low:high] = self.merged(at[low:high], start[few] - low, size[few])
+        return out
+
+    def merged(self, at: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
         at, width = at.copy(), 1
         while True:
             wide = size > width
@@ -146,15 +161,42 @@ def least_owners(data: np.ndarray, at: np.ndarray, owner: np.ndarray, length: in
     return least
 
 
+def least_of_places(data: np.ndarray, size: np.ndarray, owner: np.ndarray, length: int) -> np.ndarray:
+    """For each place of each stretch the smallest owner of its string; the stretches lie one after the other."""
+    begin = np.cumsum(size) - size
+    # Equal stretches are judged once, with the smallest owner among them.
+    whole = Suffixes(data, length).hashes(begin, size)
+    order = np.lexsort((owner, size, whole))
+    same = (whole[order][1:] == whole[order][:-1]) & (size[order][1:] == size[order][:-1])
+    for k in range(int(size.max())):
+        at = np.flatnonzero(same)
+        a, b = order[at], order[at + 1]
+        inside = k < size[a]
+        same[at[inside][data[begin[a[inside]] + k] != data[begin[b[inside]] + k]]] = False
+    heads = starts_of(~same)
+    class_of = np.empty(len(order), "i8")
+    class_of[order] = np.cumsum(np.concatenate([[1], ~same])) - 1
+    chosen = order[heads]
+    spots = size[chosen] - length + 1
+    offset = np.cumsum(spots) - spots
+    at = np.repeat(begin[chosen] - offset, spots) + np.arange(spots.sum())
+    owners = np.minimum.reduceat(owner[order], heads)
+    least = least_owners(data, at, np.repeat(owners, spots), length)
+    mine = size - length + 1
+    k = np.arange(mine.sum()) - np.repeat(np.cumsum(mine) - mine, mine)
+    return least[np.repeat(offset[class_of], mine) + k]
+
+
 def pack_places(batches):
     """The places of each text in one compressed list of differences, about a byte each."""
     compress = zstandard.ZstdCompressor(level=3).compress
     for batch in batches:
-        packed = []
-        for parts in batch.column("places").to_pylist():
-            places = np.unique(np.frombuffer(b"".join(parts), "u4"))
-            packed.append(compress(np.diff(places, prepend=np.uint32(0)).astype("u4").view("u1").reshape(-1, 4).T.tobytes()))
-        yield {"uid": batch.column("uid"), "places": packed}
+        packed, counts = [], []
+        for row in batch.column("places"):
+            places = np.unique(np.asarray(row.values)).astype("u4")
+            packed.append(compress(np.diff(places, prepend=np.uint32(0)).view("u1").reshape(-1, 4).T.tobytes()))
+            counts.append(len(places))
+        yield {"uid": batch.column("uid"), "n": counts, "places": packed}
 
 
 def unpacked(packed: bytes) -> np.ndarray:
@@ -165,52 +207,67 @@ def unpacked(packed: bytes) -> np.ndarray:
 def repeated_spans(units: DataFrame, total: int, length: int) -> DataFrame:
     """``uid, spans``: packed (start, end) pairs (u4) of bytes of a unit that repeat one with a smaller owner, unmerged."""
     w = length - K + 1
-    seeds = stage(shared_seeds(units, bytes_of, K, w, parts_for(total, SEED_PART_BYTES)), "seeds")
-    parts = parts_for(seeds.agg(F.coalesce(F.sum(F.octet_length("places")), F.lit(0))).first()[0] // 4, STRETCHES_PER_PART)
-    lists = seeds.groupBy("uid").agg(F.collect_list("places").alias("places"))
-    places = stage(map_arrow(lists, pack_places, "uid long, places binary"), "places")
-    small = if_small(places, F.octet_length("places") + 32)
-    columns = "part int, uids binary, owners binary, counts binary, firsts binary, sizes binary, data binary"
+    seeds = shared_seeds(units, bytes_of, K, w, parts_for(total, SEED_PART_BYTES)).select("uid", "place")
+    lists = seeds.groupBy("uid").agg(F.collect_list("place").alias("places"))
+    places = stage(map_arrow(lists, pack_places, "uid long, n long, places binary"), "places")
+    parts = parts_for(places.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], STRETCHES_PER_PART)
+    small = if_small(places.drop("n"), F.octet_length("places") + 32)
+    columns = (
+        "part int, uids binary, owners binary, counts binary, firsts binary, which binary, seeds binary, sizes binary, "
+        "data binary"
+    )
 
     def cut(batches):
-        for batch in slices(batches, "text"):
-            rows = []
-            for uid, owner, text, packed in zip(*(batch.column(c).to_pylist() for c in ("uid", "owner", "text", "places"))):
-                data = bytes_of(text)
-                found = window_hashes(data, K)
-                chosen = minimizer_places(found, w)
-                first = starts_of(chosen[1:] != chosen[:-1])
-                last = np.append(first[1:], len(chosen)) - 1
-                wanted = np.zeros(len(found), bool)
-                wanted[unpacked(packed)] = True
-                keep = wanted[chosen[first]]
-                first, last = first[keep], last[keep]
-                key = (found[chosen[first]] >> np.uint64(32)) % np.uint64(parts)
-                rows.append((uid, owner, data, first, last + length, key))
-            if not rows:
-                continue
+        rows, held = [], 0
+
+        def dealt_out():
             row = np.repeat(np.arange(len(rows)), [len(r[3]) for r in rows])
-            first, end, key = (np.concatenate([r[i] for r in rows]) for i in (3, 4, 5))
+            first, end, seed = (np.concatenate([r[i] for r in rows]) for i in (3, 4, 5))
+            key = (seed >> np.uint64(32)) % np.uint64(parts)
             order = np.argsort(key, kind="stable")
             cuts = np.searchsorted(key[order], np.arange(parts + 1, dtype="u8"))
             out = {name.split()[0]: [] for name in columns.split(", ")}
             compress = zstandard.ZstdCompressor(level=1).compress
-            for p in range(parts):
+            for p in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
                 here = order[cuts[p] : cuts[p + 1]]
-                if not len(here):
-                    continue
                 used, counts = np.unique(row[here], return_counts=True)
-                stretches = b"".join(
-                    rows[r][2][a:b].tobytes() for r, a, b in zip(row[here].tolist(), first[here].tolist(), end[here].tolist())
-                )
+                # Equal stretches of a task travel once.
+                different: dict[bytes, int] = {}
+                which = [
+                    different.setdefault(rows[r][2][a:b].tobytes(), len(different))
+                    for r, a, b in zip(row[here].tolist(), first[here].tolist(), end[here].tolist())
+                ]
+                heads = here[np.unique(which, return_index=True)[1]]
                 values = (
                     p, np.array([rows[r][0] for r in used], "i8").tobytes(), np.array([rows[r][1] for r in used], "i8").tobytes(),
-                    counts.astype("u4").tobytes(), first[here].astype("u4").tobytes(),
-                    (end - first)[here].astype("u1").tobytes(), compress(stretches),
+                    counts.astype("u4").tobytes(), first[here].astype("u4").tobytes(), np.array(which, "u4").tobytes(),
+                    seed[heads].astype("u2").tobytes(), (end - first)[heads].astype("u1").tobytes(),
+                    compress(b"".join(different)),
                 )
                 for name, value in zip(out, values):
                     out[name].append(value)
-            yield out
+            return out
+
+        for batch in slices(batches, "text"):
+            for uid, owner, text, packed in zip(*(batch.column(c).to_pylist() for c in ("uid", "owner", "text", "places"))):
+                data = bytes_of(text)
+                found = window_hashes(data, K)
+                chosen = minimizer_places(found, w)
+                first = starts_of(chosen[1:] != chosen[:-1])
+                last = np.append(first[1:], len(chosen)) - 1
+                wanted = np.zeros(len(found), bool)
+                wanted[unpacked(packed)] = True
+                keep = wanted[chosen[first]]
+                first, last = first[keep], last[keep]
+                key = found[chosen[first]]
+                if len(first):
+                    rows.append((uid, owner, data, first, last + length, key))
+                    held += len(first)
+            if held >= STRETCHES_AT_ONCE:
+                yield dealt_out()
+                rows, held = [], 0
+        if rows:
+            yield dealt_out()
 
     with_places = units.join(small, "uid").select("uid", "owner", "text", "places")
     dealt = map_arrow(with_places, cut, columns)
@@ -222,45 +279,48 @@ def repeated_spans(units: DataFrame, total: int, length: int) -> DataFrame:
 
         expand = zstandard.ZstdDecompressor().decompress
         data = np.frombuffer(b"".join(map(expand, table.column("data").to_pylist())), "u1")
-        counts, first, size = joined("counts", "u4"), joined("firsts", "u4").astype("i8"), joined("sizes", "u1").astype("i8")
+        counts, first = joined("counts", "u4"), joined("firsts", "u4").astype("i8")
         uid, owner = np.repeat(joined("uids", "i8"), counts), np.repeat(joined("owners", "i8"), counts)
-        begin = np.cumsum(size) - size
-        # Equal stretches are judged once, with the smallest owner among them.
-        hasher = Suffixes(data, length)
-        whole = hasher.hashes(begin, size)
-        order = np.lexsort((owner, size, whole))
-        same = (whole[order][1:] == whole[order][:-1]) & (size[order][1:] == size[order][:-1])
-        if same.any():
-            a, b = order[:-1][same], order[1:][same]
-            for k in range(int(size.max())):
-                inside = k < size[a]
-                same[np.flatnonzero(same)] &= (data[begin[a] + np.minimum(k, size[a] - 1)] == data[begin[b] + np.minimum(k, size[a] - 1)]) | ~inside
-                if not same.any():
-                    break
-                a, b = order[:-1][same], order[1:][same]
-        heads = starts_of(~same)
-        class_of = np.empty(len(order), "i8")
-        class_of[order] = np.cumsum(np.concatenate([[1], ~same])) - 1
-        chosen = order[heads]
-        spots = size[chosen] - length + 1
-        offset = np.cumsum(spots) - spots
-        at = np.repeat(begin[chosen], spots) + np.arange(spots.sum()) - np.repeat(offset, spots)
-        owners = np.minimum.reduceat(owner[order], heads) if len(order) else owner
-        least = least_owners(data, at, np.repeat(owners, spots), length)
-        # Back to all stretches: a place repeats if its string has a smaller owner.
-        mine = size - length + 1
-        stretch = np.repeat(np.arange(len(size)), mine)
-        k = np.arange(mine.sum()) - np.repeat(np.cumsum(mine) - mine, mine)
-        hit = least[offset[class_of[stretch]] + k] < owner[stretch]
-        stretch, place = stretch[hit], (first[stretch] + k)[hit]
-        by_text = np.lexsort((place, uid[stretch]))
-        texts, place = uid[stretch][by_text], place[by_text]
-        if not len(texts):
+        seed, size = joined("seeds", "u2"), joined("sizes", "u1").astype("i8")
+        each = np.array([len(x) for x in table.column("sizes").to_pylist()])
+        here = np.array([len(x) // 4 for x in table.column("which").to_pylist()])
+        which = joined("which", "u4").astype("i8") + np.repeat(np.cumsum(each) - each, here)
+        least_owner = np.full(len(size), np.iinfo("i8").max)
+        np.minimum.at(least_owner, which, owner)
+        # Seeds are handled a few at a time; all stretches of a seed have the same 16 bits of its hash.
+        begin, order = np.cumsum(size) - size, np.argsort(seed, kind="stable")
+        runs = starts_of(np.diff(seed[order].astype("i4")) != 0)
+        lots = np.append(runs[1:], len(order)) // JUDGED_AT_ONCE
+        by_stretch = np.argsort(which, kind="stable")
+        uses = np.bincount(which, minlength=len(size))
+        use_of = np.cumsum(uses) - uses
+        texts, places, ends = [], [], []
+        for lot in np.split(order, runs[1:][np.diff(lots) > 0]):
+            length_of = size[lot]
+            source = np.repeat(begin[lot] - (np.cumsum(length_of) - length_of), length_of) + np.arange(length_of.sum())
+            least = least_of_places(data[source], length_of, least_owner[lot], length)
+            spots = length_of - length + 1
+            offset = np.cumsum(spots) - spots
+            user = by_stretch[np.repeat(use_of[lot], uses[lot]) + np.arange(uses[lot].sum()) - np.repeat(np.cumsum(uses[lot]) - uses[lot], uses[lot])]
+            place_in_lot = np.repeat(np.arange(len(lot)), uses[lot])
+            for i in range(0, len(user), JUDGED_AT_ONCE):
+                users, number = user[i : i + JUDGED_AT_ONCE], place_in_lot[i : i + JUDGED_AT_ONCE]
+                mine = spots[number]
+                row = np.repeat(np.arange(len(users)), mine)
+                k = np.arange(mine.sum()) - np.repeat(np.cumsum(mine) - mine, mine)
+                hit = least[offset[number][row] + k] < owner[users][row]
+                row, k = row[hit], k[hit]
+                if len(row):  # neighbouring places become one span
+                    opens = starts_of((row[1:] != row[:-1]) | (k[1:] != k[:-1] + 1))
+                    closes = np.append(opens[1:], len(row)) - 1
+                    texts.append(uid[users][row[opens]])
+                    places.append(first[users][row[opens]] + k[opens])
+                    ends.append(first[users][row[closes]] + k[closes] + length)
+        if not texts:
             return pa.Table.from_arrays([pa.array([], pa.int64()), pa.array([], pa.binary())], schema=kind)
-        fresh = starts_of((texts[1:] != texts[:-1]) | (place[1:] > place[:-1] + length))
-        stop = np.append(fresh[1:], len(place)) - 1
-        pairs = np.stack([place[fresh], place[stop] + length], axis=1).astype("u4")
-        names = texts[fresh]
+        names, pairs = np.concatenate(texts), np.stack([np.concatenate(places), np.concatenate(ends)], axis=1).astype("u4")
+        order = np.argsort(names, kind="stable")
+        names, pairs = names[order], pairs[order]
         cuts = starts_of(names[1:] != names[:-1])
         ends = np.append(cuts[1:], len(names))
         return pa.Table.from_arrays(
@@ -281,6 +341,12 @@ def merged(packed: list[bytes]) -> np.ndarray:
     return np.stack([pairs[first, 0], reach[np.append(first[1:], len(pairs)) - 1]], axis=1)
 
 
+def merge_spans(batches):
+    for batch in batches:
+        spans = [merged(packed).astype("u4").tobytes() for packed in batch.column("spans").to_pylist()]
+        yield {"uid": batch.column("uid"), "spans": spans}
+
+
 def remove_repeats(
     docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -297,9 +363,9 @@ def remove_repeats(
     total = texts.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
     known = numbered(texts)
     found = repeated_spans(known.units.where(F.octet_length("text") >= length), total, length)
-    spans = stage(found.groupBy("uid").agg(F.collect_list("spans").alias("spans")), "spans")
-    size = F.aggregate("spans", F.lit(32), lambda n, p: n + F.octet_length(p) + 16)
-    rows = known.rows.join(if_small(spans, size), "uid", "left").select("doc_id", "id", "owner", "text", "spans")
+    lists = found.groupBy("uid").agg(F.collect_list("spans").alias("spans"))
+    spans = stage(map_arrow(lists, merge_spans, "uid long, spans binary"), "spans")
+    rows = known.rows.join(if_small(spans, F.octet_length("spans") + 32), "uid", "left").select("doc_id", "id", "owner", "text", "spans")
     kind = dict(texts.dtypes)["doc_id"]
 
     def cut(batches):
@@ -311,7 +377,7 @@ def remove_repeats(
                 if order > owner and len(data) >= length:
                     gone = [(0, len(data))]
                 else:
-                    gone = merged(packed).tolist() if packed else []
+                    gone = np.frombuffer(packed or b"", "u4").reshape(-1, 2).tolist()
                 ends = [0, *(end for _, end in gone)]
                 out["kept"].append(b"".join(data[a:b] for a, b in zip(ends, [*(start for start, _ in gone), len(data)])))
                 out["n_bytes"].append(len(data))
