@@ -42,5 +42,6 @@ def preview(df: DataFrame, rows: int = 20, truncate: bool = True) -> None:
 
 
 def metric_lines(metrics: Mapping[str, float]) -> list[str]:
-    """SNK-4: one line per metric, four decimals."""
-    return [f"{name}: {value:.4f}" for name, value in metrics.items()]
+    """SNK-4: one line per metric, four decimals; a metric of no rows is ``nan``."""
+    shown = {name: float("nan") if value is None else value for name, value in metrics.items()}
+    return [f"{name}: {value:.4f}" for name, value in shown.items()]

@@ -17,7 +17,6 @@ from moodloom.operators.classifier import score_texts
 from moodloom.operators.cleaning import drop_null_text
 from moodloom.operators.labeling import label_sentiment
 from moodloom.sources.readers import TEXT, select_text
-from moodloom.sources.staging import staging_path
 
 
 def score_stream(
@@ -40,9 +39,9 @@ def score_stream(
 def write_stream(scored: DataFrame, path: str, checkpoint: str | None = None) -> StreamingQuery:
     """Append to a Parquet table, each row once, until the arrived texts are used up.
 
-    Name the ``checkpoint`` folder to go on where an earlier run stopped.
+    A later call goes on where the last one stopped: the ``checkpoint`` lies beside the data unless named.
     """
-    checkpoint = checkpoint or staging_path(scored.sparkSession, "stream")
+    checkpoint = checkpoint or f"{path.rstrip('/')}/_checkpoint"
     return (
         scored.writeStream.format("parquet")
         .option("path", path)
