@@ -6,7 +6,8 @@ fingerprint to 64 others at once in carry-save counters, and drops the blocks th
 
 With 64 bits and a small radius, the ``radius + 1`` bands of ``EXACT`` lose no pair: one of them is equal. Texts that share
 four fifths of their shingles differ in about a seventh of the bits, which no such bands reach; ``WIDE`` takes 256 bits for them,
-whose distance is a sharper estimate, and 21 bands of 12 bits, of which such a pair shares one with 96 in 100.
+whose distance is a sharper estimate, and 42 bands of 12 bits, one of which nearly all such pairs share (a band of 12 with 14 in 100). There the
+distance only proposes: with ``similarity`` the shingles of the linked texts are compared.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodloom.llm.common import if_small, map_arrow, slices, texts_of
+from moodloom.llm.common import if_small, map_arrow, slices, text_key, texts_of
 from moodloom.sources.staging import stage
 
 RADIUS = 2
@@ -46,12 +47,15 @@ class Scheme:
     def band(self, i: int) -> list[int]:
         if self.exact:  # all bits, in as many bands as must leave one equal
             return [b for b in range(64 * self.words) if b * self.bands // (64 * self.words) == i]
-        return list(range(i * self.band_bits, (i + 1) * self.band_bits))
+        across = 64 * self.words // self.band_bits
+        if i < across:  # neighbouring bits
+            return list(range(i * self.band_bits, (i + 1) * self.band_bits))
+        return [i - across + k * across for k in range(self.band_bits)]  # each bit once more, beside others
 
 
 EXACT = Scheme(1, RADIUS, RADIUS + 1, 0, True)
-# Similarity 0.8 over shingles is an angle of 27 degrees, so 39 of 256 bits; 48 leaves room for the estimate's error.
-WIDE = Scheme(4, 48, 21, 12, False)
+# Similarity 0.8 over shingles is an angle of 27 degrees, so 39 of 256 bits, give or take 6; 56 is three such errors above.
+WIDE = Scheme(4, 56, 42, 12, False)
 
 
 def shingle_hashes(text: str, size: int, seed: int) -> np.ndarray:
@@ -96,15 +100,16 @@ def columns_of(words: int) -> list[str]:
 
 
 def add_fingerprints(docs: DataFrame, size: int = SHINGLE, seed: int = SEED, words: int = 1) -> DataFrame:
-    """``doc_id`` and the bits as longs ``fp``, ``fp1`` ... of each row with ``doc_id`` and ``text``."""
+    """``doc_id``, ``text_key`` and the bits as longs ``fp``, ``fp1`` ... of each row with ``doc_id`` and ``text``."""
     names = columns_of(words)
+    docs = docs.withColumn("text_key", text_key())
 
     def work(batches):
         for batch in slices(batches, "text"):
             prints = [fingerprint(text, size, seed, words) for text in batch.column("text").to_pylist()]
-            yield {"doc_id": batch.column("doc_id")} | {n: [signed(p[i]) for p in prints] for i, n in enumerate(names)}
+            yield {c: batch.column(c) for c in ("doc_id", "text_key")} | {n: [signed(p[i]) for p in prints] for i, n in enumerate(names)}
 
-    return map_arrow(docs, work, "doc_id long, " + ", ".join(f"{n} long" for n in names))
+    return map_arrow(docs, work, "doc_id long, text_key string, " + ", ".join(f"{n} long" for n in names))
 
 
 def bit_planes(prints: np.ndarray) -> np.ndarray:
@@ -175,6 +180,23 @@ def forest(n: int, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.
             return places, root[places]
 
 
+def shortest_tree(n: int, left: np.ndarray, right: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Places of the links, n - 1 at most, that join all that the links join, shorter ones first (Boruvka's rounds)."""
+    order = np.lexsort((right, left, length))
+    left, right, root, chosen = left[order], right[order], np.arange(n), np.zeros(len(order), bool)
+    while True:
+        open_links = np.flatnonzero(root[left] != root[right])
+        if not len(open_links):
+            return order[chosen]
+        best = np.full(n, len(order))
+        np.minimum.at(best, root[left[open_links]], open_links)
+        np.minimum.at(best, root[right[open_links]], open_links)
+        chosen[best[best < len(order)]] = True
+        places, roots = forest(n, left[chosen], right[chosen])
+        root = np.arange(n)
+        root[places] = roots
+
+
 def bits_key(bits: list[int], names: list[str]):
     """The values of some bits of a fingerprint as one long; contiguous bits of a word are taken at once."""
     key, taken = F.lit(0).cast("long"), 0
@@ -188,9 +210,10 @@ def bits_key(bits: list[int], names: list[str]):
     return key
 
 
-def near_edges(prints: DataFrame, scheme: Scheme = EXACT) -> DataFrame:
+def near_edges(prints: DataFrame, scheme: Scheme = EXACT, real: bool = False) -> DataFrame:
     """``a, b``: edges of ``node`` whose components are those of all pairs that meet in a band and are close.
 
+    With ``real`` each edge is itself a close pair, and of those of a bucket the closest that join it.
     ``prints`` has a ``node`` for each different fingerprint and its bits. A large bucket of an exact scheme is
     divided by bands of the other bits, one of which linked pairs share too.
     """
@@ -222,7 +245,13 @@ def near_edges(prints: DataFrame, scheme: Scheme = EXACT) -> DataFrame:
             """Of a run of rows; a bucket beyond ``BLOCK`` rows is compared as a whole."""
             keys, prints = rows[:, 1:5], np.ascontiguousarray(rows[:, 5:]).view("u8")
             number = np.cumsum(np.concatenate([[0], (keys[1:] != keys[:-1]).any(axis=1)]))
-            places, roots = forest(len(rows), *close_pairs(prints, number, scheme.radius))
+            left, right = close_pairs(prints, number, scheme.radius)
+            if real:
+                length = np.bitwise_count(prints[left] ^ prints[right]).sum(axis=1, dtype="i8")
+                taken = shortest_tree(len(rows), left, right, length)
+                low, high = np.sort([rows[left[taken], 0], rows[right[taken], 0]], axis=0)
+                return {"a": low, "b": high}
+            places, roots = forest(len(rows), left, right)
             return {"a": rows[places, 0], "b": rows[roots, 0]}
 
         for batch in batches:
@@ -266,6 +295,35 @@ def components(edges: DataFrame) -> DataFrame:
         before = state
 
 
+def shingle_sets(docs: DataFrame, size: int, seed: int) -> DataFrame:
+    """``a, b, first`` and the sorted different ``hashes`` of the word shingles of each row's ``text``."""
+
+    def work(batches):
+        for batch in slices(batches, "text"):
+            sets = [np.unique(shingle_hashes(text, size, seed)).view("<i8") for text in batch.column("text").to_pylist()]
+            yield {c: batch.column(c) for c in ("a", "b", "first")} | {"hashes": sets}
+
+    return map_arrow(docs, work, "a long, b long, first boolean, hashes array<long>")
+
+
+def similar_edges(edges: DataFrame, different: DataFrame, texts: DataFrame, size: int, seed: int, similarity: float) -> DataFrame:
+    """The edges whose texts share ``similarity`` or more of their different shingles (Jaccard).
+
+    A text goes to its edges, and the two texts of an edge meet by the edge, so a node with many edges makes no hot group.
+    """
+    both = F.array(F.struct(F.col("a").alias("node"), F.lit(True).alias("first")), F.struct(F.col("b").alias("node"), F.lit(False).alias("first")))
+    ends = edges.distinct().select("a", "b", F.explode(both).alias("end")).select("a", "b", "end.*")
+    ends = stage(ends.join(different.select("node", "sample.*"), "node").drop("node"), "edge-ends")
+    keyed = texts.withColumn("text_key", text_key()).withColumnRenamed("doc_id", "id")
+    same = F.col("text_key").eqNullSafe(F.col("key")) & F.col("id").eqNullSafe(F.col("doc_id"))
+    found = keyed.join(if_small(ends.withColumnRenamed("text_key", "key"), 64), same).select("a", "b", "first", "text")
+    sets = shingle_sets(found, size, seed).groupBy("a", "b").agg(
+        F.max(F.when(F.col("first"), F.col("hashes"))).alias("x"), F.max(F.when(~F.col("first"), F.col("hashes"))).alias("y")
+    )
+    shared = F.size(F.array_intersect("x", "y"))
+    return sets.where(shared >= similarity * (F.size("x") + F.size("y") - shared)).select("a", "b")
+
+
 def near_duplicates(
     docs: DataFrame,
     scheme: Scheme = EXACT,
@@ -273,18 +331,28 @@ def near_duplicates(
     seed: int = SEED,
     id_column: str = "doc_id",
     text_column: str = "text",
+    similarity: float | None = None,
 ) -> DataFrame:
     """``doc_id``, its bits (``fp`` ...) and ``component_id``, the smallest id that links lead to, for each row.
 
+    With ``similarity`` a link between different fingerprints holds only if their texts share so much of their shingles. Of
+    the close pairs of a bucket those in its shortest tree are compared, not all.
+
     Null, empty and wordless texts have fingerprint 0 and are linked like any other. Rows without an id keep a null id;
     they link others but never name a component unless all of it lacks ids. Repeated rows each keep their row.
     """
     names = columns_of(scheme.words)
-    prints = stage(add_fingerprints(texts_of(docs, id_column, text_column), size, seed, scheme.words), "fingerprints")
-    groups = prints.groupBy(*names).agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"))
+    texts = texts_of(docs, id_column, text_column)
+    prints = stage(add_fingerprints(texts, size, seed, scheme.words), "fingerprints")
+    groups = prints.groupBy(*names).agg(
+        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"), F.min(F.struct("doc_id", "text_key")).alias("sample")
+    )
     different = stage(groups.withColumn("node", F.monotonically_increasing_id()), "different")
-    roots = components(near_edges(different.select("node", *names), scheme))
-    rooted = different.join(if_small(roots, 32), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    edges = near_edges(different.select("node", *names), scheme, similarity is not None)
+    if similarity is not None:
+        edges = similar_edges(edges, different, texts, size, seed, similarity)
+    roots = components(edges)
+    rooted = different.drop("sample").join(if_small(roots, 32), "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = stage(rooted, "rooted")
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of_print = stage(rooted.join(named, "root").select(*names, "rows", "component_id"), "named")

@@ -231,6 +231,81 @@ def test_bit_sliced_distances():
         assert set(zip(i.tolist(), j.tolist())) == want
 
 
+def test_shortest_tree():
+    rng = np.random.default_rng(3)
+    left, right = rng.integers(0, 60, (2, 80))
+    length = rng.integers(1, 6, 80)
+    taken = simhash.shortest_tree(60, left, right, length)
+    group = list(range(60))
+    total = 0
+    for k in np.argsort(length, kind="stable"):
+        a, b = group[left[k]], group[right[k]]
+        if a != b:
+            total += length[k]
+            group = [a if g == b else g for g in group]
+    assert length[taken].sum() == total and len(taken) == 60 - len(set(group))
+
+
+def shingle_set(text, size=5):
+    parts = re.sub("[A-Z]", lambda m: m[0].lower(), text or "").split()
+    return {tuple(parts[i : i + size]) for i in range(max(len(parts) - size + 1, 1))} if parts else set()
+
+
+def classes_of(texts, similarity=0.8):
+    """The first place of each text's class, by all pairs."""
+    sets, group = [shingle_set(text) for text in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            both = sets[i] | sets[j]
+            if not both or len(sets[i] & sets[j]) >= similarity * len(both):
+                low, high = sorted((group[i], group[j]))
+                group = [low if g == high else g for g in group]
+    return group
+
+
+def test_similar_texts(spark, nothing):
+    rng = random.Random(8)
+    texts = ["", None, " ", "one two", "ONE two", "one two three four five six"]
+    for _ in range(12):
+        base = [f"w{rng.randrange(3000)}" for _ in range(rng.randint(60, 300))]
+        texts.append(" ".join(base))
+        for share in (0.005, 0.01, 0.03, 0.05, 0.08):
+            texts.append(" ".join(rng.choice(["new", "other"]) if rng.random() < share else w for w in base))
+    rows = [(i, text) for i, text in enumerate(texts)]
+    docs = spark.createDataFrame([*rows, (None, texts[6]), (None, "alone"), rows[7]], "doc_id long, text string").withColumn("key", F.lit("k"))
+    result = simhash.near_duplicates(docs, simhash.WIDE, 5, similarity=0.8).collect()
+    assert len(result) == len(texts) + 3
+    got = {r.doc_id: r.component_id for r in result if r.doc_id is not None}
+    assert [got[i] for i in range(len(texts))] == classes_of(texts)
+    assert sorted(str(r.component_id) for r in result if r.doc_id is None) == ["6", "None"]
+    assert simhash.near_duplicates(nothing, simhash.WIDE, 5, similarity=0.8).count() == 0
+
+
+def test_pipeline(spark):
+    import corpus_pipeline as cp
+
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    odd = spark.createDataFrame([(None, None), (9_000_001, None), (9_000_002, "")], "doc_id long, text string")
+    docs = docs.unionByName(odd, allowMissingColumns=True).select(*docs.columns)
+    columns = docs.columns
+    for name, step in cp.STAGES:
+        before = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+        docs = cp.stage(step(spark, docs, folder), name)
+        if name == "packing":
+            tokens = docs.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("all"))
+            assert tokens.where("n <> all").count() == 0 and tokens.count() == len(before)
+            continue
+        assert docs.columns == columns
+        after = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+        assert set(after) <= set(before)
+        if name == "near_duplicates":
+            ids = sorted(i for i in before if i is not None)
+            kept = {ids[g] for g in classes_of([before[i] for i in ids])}
+            assert {i for i in after if i is not None} == kept
+    assert docs.count() > 100
+
+
 def test_suffixes(tables, nothing):
     docs, _, rows, _ = tables
     order = lambda d: seeds.NO_ID if d is None else d
