@@ -21,6 +21,7 @@ from moodloom.llm import (
     toxicity,
 )
 from moodloom.llm.common import read_table
+from moodloom.llm.oracles import ORACLES as ORACLES  # read by __spark_entry__
 from moodloom.sources.staging import staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,4 +104,3 @@ QUERIES: dict[str, Query] = {
     "op9_token_counts": op9_token_counts,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
-ORACLES: dict[str, str] = {}
