@@ -33,4 +33,36 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM doc LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
 """
 
-ORACLES: dict[str, str] = {"op4_decontamination": DECONTAMINATION}
+QUALITY = r"""
+WITH doc AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), line AS (
+    SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+    FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM doc)
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r
+), place AS (
+    SELECT r, w, unnest(range(1, len(w) - 1)) AS s FROM doc WHERE len(w) >= 3
+), counted AS (
+    SELECT r, s, count(*) OVER (PARTITION BY r, words) AS n
+    FROM (SELECT r, s, array_to_string(w[s:s + 2], ' ') AS words FROM place)
+), repeated AS (
+    SELECT r, count(DISTINCT p) AS n_repeat_words
+    FROM (SELECT r, unnest([s, s + 1, s + 2]) AS p FROM counted WHERE n > 1) GROUP BY r
+), measured AS (
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+        CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+        coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines
+    FROM doc LEFT JOIN line USING (r) LEFT JOIN repeated USING (r)
+), judged AS (
+    SELECT *, CAST(
+        CAST(n_words < 50 AS INT) + 2 * CAST(100 * n_repeat_words > 50 * n_words AS INT)
+        + 4 * CAST(10 * n_symbols > n_words AS INT) + 8 * CAST(2 * n_dup_lines > n_lines AS INT)
+        + 16 * CAST(word_chars < 2 * n_words AS INT) + 32 * CAST(word_chars > 30 * n_words AS INT) AS BIGINT) AS failures
+    FROM measured
+)
+SELECT *, failures & 3 <> 0 AS base_failed, failures = 0 AS kept FROM judged
+"""
+
+ORACLES: dict[str, str] = {"op4_decontamination": DECONTAMINATION, "op8_quality_rules": QUALITY}
