@@ -33,11 +33,11 @@ def apply(texts):
         (text.strip_non_alnum, "a-b_c \u00e9 \U0001f600!\tz", "a b c" + 5 * " " + "\tz"),
         (text.original_text, "http://u RT @a: x", " RT @a: x"),
         (text.original_text, "\nRT @a: x", " RT @a: x"),
-        (text.clean_text, "RT @WHO: Stay safe", "stay safe"),
-        (text.clean_text, "Vaccine rollout update https://t.co/abc123", "vaccine rollout update "),
-        (text.clean_text, "first line\nsecond line", "first line second line"),
-        (text.remove_stopwords, "the who is monitoring the outbreak", "who monitoring outbreak"),
-        (text.remove_stopwords, "The WHO IS here", "WHO here"),
+        (text.clean_text, "RT @bakery_7: Fresh Rye", "fresh rye"),
+        (text.clean_text, "Timetable http://rail.example/x?y=1 Page", "timetable  page"),
+        (text.clean_text, "Left\n\nRight", "left  right"),
+        (text.remove_stopwords, "a crane lifts the beam and a pipe", "crane lifts beam pipe"),
+        (text.remove_stopwords, "THE Tide and The moon", "Tide moon"),
         (text.remove_stopwords, "", ""),
         (text.remove_stopwords, " a\u00a0b the\x1cc ", "b c"),
     ],
@@ -62,17 +62,17 @@ def test_null_stays_null(texts, step):
 
 
 def test_cleaned_words(apply):
-    assert apply(text.split_words, "COVID-19 cases") == ["covid-19", "cases"]
+    assert apply(text.split_words, "Boeing-747 Lands") == ["boeing-747", "lands"]
     words = lambda c: text.split_words(text.clean_text(c))
-    assert apply(words, "COVID-19 cases RISING!") == ["covid", "19", "cases", "rising", ""]
+    assert apply(words, "Boeing-747 Lands?") == ["boeing", "747", "lands", ""]
     assert apply(text.cleaned_words, "") == []
     assert apply(text.cleaned_words, "a  b ") == ["a", "b"]
 
 
 def test_full_chain(apply):
-    raw = "RT @WHO: New COVID-19 guidance!\nDetails: https://t.co/xyz"
+    raw = "RT @port: The ferry is late;\nsee http://harbour.example/7"
     chain = lambda c: text.remove_stopwords(text.clean_text(c))
-    assert apply(chain, raw) == "new covid 19 guidance details"
+    assert apply(chain, raw) == "ferry late see"
 
 
 def test_own_stop_words(texts):
