@@ -375,6 +375,24 @@ def test_fuzzy_passage(spark):
     assert 0.8 <= only.similarity < 1
 
 
+def test_passages_with_other_words_between(spark):
+    rng = random.Random(10)
+    prose = lambda n: [f"v{rng.randrange(50_000)}" for _ in range(n)]
+    rows, expected = [], set()
+    for i, (n, between) in enumerate(((60, 100), (60, 200), (500, 1500))):
+        one, two = prose(n), prose(n)
+        for k in range(2):
+            rows.append((2 * i + k, prose(20) + one + prose(between) + two + prose(20)))
+        expected |= {(2 * i + 1, 2 * i, 20, n), (2 * i + 1, 2 * i, 20 + n + between, n)}
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    assert set(found(passages.repeated_passages(docs), "doc_id", "other_doc_id", "start_word", "n_words")) == expected
+
+
+def test_best_runs():
+    blocks = [(0, 60, 0, 60, 60, 0), (70, 130, 70, 130, 60, 2), (400, 405, 430, 435, 5, 1), (900, 960, 950, 1010, 60, 3)]
+    assert passages.best_runs(np.array(blocks), 0.8) == [(0, 1), (2, 2), (3, 3)]
+
+
 def test_toxicity(spark, nothing):
     rng = random.Random(4)
     mild, harsh = [f"nice{i}" for i in range(200)], ["vilewort", "grimslur"]
