@@ -30,6 +30,9 @@ BLOCK = 16_384
 LOOK = 16
 # A band value with more fingerprints than this is divided by bands of the remaining bits.
 LARGE_BUCKET = 4_096
+BUCKET = ["band", "key", "sub", "sub_key"]
+# Each round of judged links takes so many times the forests of the round before.
+MORE_FORESTS = 4
 # Odd factors that make further hashes of a hash, for fingerprints of more than 64 bits.
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
@@ -210,14 +213,12 @@ def bits_key(bits: list[int], names: list[str]):
     return key
 
 
-def near_edges(prints: DataFrame, scheme: Scheme = EXACT, real: bool = False) -> DataFrame:
-    """``a, b``: edges of ``node`` whose components are those of all pairs that meet in a band and are close.
+def gathered(prints: DataFrame, scheme: Scheme = EXACT) -> DataFrame:
+    """The rows of ``prints`` (a ``node`` for each different fingerprint, and its bits) for each bucket they share with others.
 
-    With ``real`` each edge is itself a close pair, and of those of a bucket the closest that join it.
-    ``prints`` has a ``node`` for each different fingerprint and its bits. A large bucket of an exact scheme is
-    divided by bands of the other bits, one of which linked pairs share too.
+    A large bucket of an exact scheme is divided by bands of the other bits, one of which linked pairs share too.
     """
-    names, bucket = columns_of(scheme.words), ["band", "key", "sub", "sub_key"]
+    names = columns_of(scheme.words)
     all_bits = range(64 * scheme.words)
 
     def keys(df, kind, bands):
@@ -236,26 +237,62 @@ def near_edges(prints: DataFrame, scheme: Scheme = EXACT, real: bool = False) ->
         parts = [(j + 1, rest[j * len(rest) // count : (j + 1) * len(rest) // count]) for j in range(count)]
         large = shared.where((F.col("band") == i) & (F.col("n") > limit)).drop("n")
         ready = ready.unionByName(keys(large, ("sub", "sub_key"), parts))
-    in_order = ready.repartition(*bucket).sortWithinPartitions(*bucket, "node")
+    return ready
+
+
+def near_edges(ready: DataFrame, scheme: Scheme = EXACT, judged: DataFrame | None = None, forests: int = 1) -> DataFrame:
+    """``a, b``: edges of ``node`` whose components are those of all pairs that meet in a bucket of ``ready`` and are close.
+
+    With ``judged`` (``a, b, held`` and the bucket) each edge is itself a close pair that still needs a judgement, with its bucket: pairs
+    judged there, and those that held pairs join, are passed over. The shortest forest of the others is taken, then the
+    shortest of the rest, ``forests`` times.
+    """
+    names = columns_of(scheme.words)
+    real = judged is not None
+    rows = ready.select("node", *BUCKET, *names, F.lit(0).alias("kind"))
+    if real:
+        links = {"node": F.col("a"), names[0]: F.col("b"), names[1]: F.col("held").cast("long"), "kind": F.lit(1)}
+        links |= {n: F.lit(0).cast("long") for n in names[2:]}
+        rows = rows.unionByName(judged.select(*BUCKET, *[value.alias(n) for n, value in links.items()]))
+    in_order = rows.repartition(*BUCKET).sortWithinPartitions(*BUCKET, "kind", "node")
 
     def work(batches):
         held: list[np.ndarray] = []  # the rows since the last end of a bucket, and whole buckets before them
 
         def edges(rows):
             """Of a run of rows; a bucket beyond ``BLOCK`` rows is compared as a whole."""
-            keys, prints = rows[:, 1:5], np.ascontiguousarray(rows[:, 5:]).view("u8")
-            number = np.cumsum(np.concatenate([[0], (keys[1:] != keys[:-1]).any(axis=1)]))
+            number = np.cumsum(np.concatenate([[0], (rows[1:, 1:5] != rows[:-1, 1:5]).any(axis=1)]))
+            is_node = rows[:, -1] == 0
+            links, link_number = rows[~is_node], number[~is_node]
+            rows, number = rows[is_node], number[is_node]
+            prints = np.ascontiguousarray(rows[:, 5:-1]).view("u8")
             left, right = close_pairs(prints, number, scheme.radius)
-            if real:
-                length = np.bitwise_count(prints[left] ^ prints[right]).sum(axis=1, dtype="i8")
-                taken = shortest_tree(len(rows), left, right, length)
-                low, high = np.sort([rows[left[taken], 0], rows[right[taken], 0]], axis=0)
-                return {"a": low, "b": high}
-            places, roots = forest(len(rows), left, right)
-            return {"a": rows[places, 0], "b": rows[roots, 0]}
+            if not real:
+                places, roots = forest(len(rows), left, right)
+                return {"a": rows[places, 0], "b": rows[roots, 0]}
+            length = np.bitwise_count(prints[left] ^ prints[right]).sum(axis=1, dtype="i8")
+            nodes, compact = np.unique(rows[:, 0], return_inverse=True)
+            place_of = number * len(nodes) + compact
+            one, two = (np.searchsorted(place_of, link_number * len(nodes) + np.searchsorted(nodes, links[:, c])) for c in (0, 5))
+            good = links[:, 6] == 1
+            root = np.arange(len(rows))
+            places, roots = forest(len(rows), one[good], two[good])
+            root[places] = roots
+            known = np.minimum(one, two) * len(rows) + np.maximum(one, two)
+            wanted = (root[left] != root[right]) & ~np.isin(left * len(rows) + right, known)
+            left, right, length = left[wanted], right[wanted], length[wanted]
+            taken = np.zeros(len(left), bool)
+            for _ in range(forests):
+                rest = np.flatnonzero(~taken)
+                if not len(rest):
+                    break
+                taken[rest[shortest_tree(len(rows), root[left[rest]], root[right[rest]], length[rest])]] = True
+            left, right = left[taken], right[taken]
+            low, high = np.sort([rows[left, 0], rows[right, 0]], axis=0)
+            return {"a": low, "b": high} | {c: rows[left, i + 1] for i, c in enumerate(BUCKET)}
 
         for batch in batches:
-            held.append(np.stack([np.asarray(batch.column(c)).astype("i8") for c in ("node", *bucket, *names)], axis=1))
+            held.append(np.stack([np.asarray(batch.column(c)).astype("i8") for c in ("node", *BUCKET, *names, "kind")], axis=1))
             if sum(map(len, held)) < BLOCK:
                 continue
             rows = np.concatenate(held)
@@ -268,7 +305,7 @@ def near_edges(prints: DataFrame, scheme: Scheme = EXACT, real: bool = False) ->
         if held:
             yield edges(np.concatenate(held))
 
-    return map_arrow(in_order, work, "a long, b long")
+    return map_arrow(in_order, work, "a long, b long" + ", band int, key long, sub int, sub_key long" * real)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -306,13 +343,13 @@ def shingle_sets(docs: DataFrame, size: int, seed: int) -> DataFrame:
     return map_arrow(docs, work, "a long, b long, first boolean, hashes array<long>")
 
 
-def similar_edges(edges: DataFrame, different: DataFrame, texts: DataFrame, size: int, seed: int, similarity: float) -> DataFrame:
-    """The edges whose texts share ``similarity`` or more of their different shingles (Jaccard).
+def judged_edges(edges: DataFrame, different: DataFrame, texts: DataFrame, size: int, seed: int, similarity: float) -> DataFrame:
+    """``a, b, held``: whether the texts of an edge share ``similarity`` or more of their different shingles (Jaccard).
 
     A text goes to its edges, and the two texts of an edge meet by the edge, so a node with many edges makes no hot group.
     """
     both = F.array(F.struct(F.col("a").alias("node"), F.lit(True).alias("first")), F.struct(F.col("b").alias("node"), F.lit(False).alias("first")))
-    ends = edges.distinct().select("a", "b", F.explode(both).alias("end")).select("a", "b", "end.*")
+    ends = edges.select("a", "b", F.explode(both).alias("end")).select("a", "b", "end.*")
     ends = stage(ends.join(different.select("node", "sample.*"), "node").drop("node"), "edge-ends")
     keyed = texts.withColumn("text_key", text_key()).withColumnRenamed("doc_id", "id")
     same = F.col("text_key").eqNullSafe(F.col("key")) & F.col("id").eqNullSafe(F.col("doc_id"))
@@ -321,7 +358,37 @@ def similar_edges(edges: DataFrame, different: DataFrame, texts: DataFrame, size
         F.max(F.when(F.col("first"), F.col("hashes"))).alias("x"), F.max(F.when(~F.col("first"), F.col("hashes"))).alias("y")
     )
     shared = F.size(F.array_intersect("x", "y"))
-    return sets.where(shared >= similarity * (F.size("x") + F.size("y") - shared)).select("a", "b")
+    return sets.select("a", "b", (shared >= similarity * (F.size("x") + F.size("y") - shared)).alias("held"))
+
+
+def similar_edges(
+    prints: DataFrame, scheme: Scheme, different: DataFrame, texts: DataFrame, size: int, seed: int, similarity: float
+) -> DataFrame:
+    """``a, b``: edges whose components are those of all pairs that meet in a bucket, are close, and are similar by their texts.
+
+    Links are judged in rounds. A bucket is done when all links it asked for held: they join what its close pairs join. One with a
+    failed link asks again, for the shortest links between what its held links leave apart, ``MORE_FORESTS`` times as many
+    forests as before. Each pair is judged once.
+    """
+    ready = stage(gathered(prints, scheme), "gathered")
+    schema = "a long, b long, band int, key long, sub int, sub_key long, held boolean"
+    asked = ready.sparkSession.createDataFrame([], schema)  # by the buckets that are not done
+    known = asked.select("a", "b", "held")
+    forests = 1
+    while True:
+        new = stage(near_edges(ready, scheme, asked, forests), "proposed")
+        pairs = stage(new.select("a", "b").distinct().join(known.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+        held = stage(judged_edges(pairs, different, texts, size, seed, similarity).where("held"), "held")
+        known = known.unionByName(pairs.join(held, ["a", "b"], "left").select("a", "b", F.coalesce("held", F.lit(False)).alias("held")))
+        known = stage(known, "known")
+        asked = stage(asked.unionByName(new.join(known, ["a", "b"]).select(asked.columns)), "asked")
+        open_buckets = new.join(known.where("not held").select("a", "b"), ["a", "b"], "left_semi").select(*BUCKET).distinct()
+        open_buckets = stage(open_buckets, "open-buckets")
+        if open_buckets.isEmpty():
+            return known.where("held").select("a", "b")
+        small = if_small(open_buckets, 32)
+        ready, asked = ready.join(small, BUCKET, "left_semi"), asked.join(small, BUCKET, "left_semi")
+        forests *= MORE_FORESTS
 
 
 def near_duplicates(
@@ -335,8 +402,8 @@ def near_duplicates(
 ) -> DataFrame:
     """``doc_id``, its bits (``fp`` ...) and ``component_id``, the smallest id that links lead to, for each row.
 
-    With ``similarity`` a link between different fingerprints holds only if their texts share so much of their shingles. Of
-    the close pairs of a bucket those in its shortest tree are compared, not all.
+    With ``similarity`` a link between different fingerprints holds only if their texts share so much of their shingles. Close
+    pairs are compared until those that held join all that hold.
 
     Null, empty and wordless texts have fingerprint 0 and are linked like any other. Rows without an id keep a null id;
     they link others but never name a component unless all of it lacks ids. Repeated rows each keep their row.
@@ -348,9 +415,11 @@ def near_duplicates(
         F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"), F.min(F.struct("doc_id", "text_key")).alias("sample")
     )
     different = stage(groups.withColumn("node", F.monotonically_increasing_id()), "different")
-    edges = near_edges(different.select("node", *names), scheme, similarity is not None)
-    if similarity is not None:
-        edges = similar_edges(edges, different, texts, size, seed, similarity)
+    bits = different.select("node", *names)
+    if similarity is None:
+        edges = near_edges(gathered(bits, scheme), scheme)
+    else:
+        edges = similar_edges(bits, scheme, different, texts, size, seed, similarity)
     roots = components(edges)
     rooted = different.drop("sample").join(if_small(roots, 32), "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = stage(rooted, "rooted")

@@ -281,6 +281,36 @@ def test_similar_texts(spark, nothing):
     assert simhash.near_duplicates(nothing, simhash.WIDE, 5, similarity=0.8).count() == 0
 
 
+def variants(rng, bases, copies, n):
+    """Texts of ``n`` words that differ from their base in none to two words, so about half of the pairs are similar."""
+    out = []
+    for b in range(bases):
+        base = [f"b{b}w{rng.randrange(10_000)}" for _ in range(n)]
+        for _ in range(copies):
+            changed = list(base)
+            for k in rng.sample(range(n), rng.randrange(3)):
+                changed[k] = f"x{rng.randrange(10_000)}"
+            out.append(" ".join(changed))
+    return out
+
+
+def test_failed_links_hide_no_others(spark):
+    texts = variants(random.Random(12), 12, 14, 60)
+    scheme = simhash.Scheme(4, 56, 1, 1, False)  # two buckets
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = simhash.near_duplicates(docs, scheme, 5, similarity=0.8).collect()
+    prints = np.array([simhash.fingerprint(text, 5, words=4) for text in texts], "u8")
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            one, two = shingle_set(texts[i]), shingle_set(texts[j])
+            close = (prints[i, 0] ^ prints[j, 0]) & np.uint64(1) == 0 and np.bitwise_count(prints[i] ^ prints[j]).sum() <= 56
+            if close and len(one & two) >= 0.8 * len(one | two):
+                low, high = sorted((group[i], group[j]))
+                group = [low if g == high else g for g in group]
+    assert [r.component_id for r in sorted(got, key=lambda r: r.doc_id)] == group
+
+
 def test_pipeline(spark):
     import corpus_pipeline as cp
 
