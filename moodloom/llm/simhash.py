@@ -39,13 +39,17 @@ FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 @dataclass(frozen=True)
 class Scheme:
-    """``words`` of 64 bits, linked at ``radius`` differing bits or fewer, gathered by ``bands`` of ``band_bits``."""
+    """``words`` of 64 bits, linked at ``radius`` differing bits or fewer, gathered by ``bands`` of ``band_bits``.
+
+    With ``sets`` the bits are those of the different shingles, else a shingle counts as often as it occurs.
+    """
 
     words: int
     radius: int
     bands: int
     band_bits: int
     exact: bool
+    sets: bool = False
 
     def band(self, i: int) -> list[int]:
         if self.exact:  # all bits, in as many bands as must leave one equal
@@ -58,7 +62,7 @@ class Scheme:
 
 EXACT = Scheme(1, RADIUS, RADIUS + 1, 0, True)
 # Similarity 0.8 over shingles is an angle of 27 degrees, so 39 of 256 bits, give or take 6; 56 is three such errors above.
-WIDE = Scheme(4, 56, 42, 12, False)
+WIDE = Scheme(4, 56, 42, 12, False, True)
 
 
 def shingle_hashes(text: str, size: int, seed: int) -> np.ndarray:
@@ -84,9 +88,11 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprint(text: str, size: int = SHINGLE, seed: int = SEED, words: int = 1) -> list[int]:
-    """``words`` times 64 bits, each set if it is set in over half of the hashes of the word shingles."""
+def fingerprint(text: str, size: int = SHINGLE, seed: int = SEED, words: int = 1, sets: bool = False) -> list[int]:
+    """``words`` times 64 bits, each set if it is set in over half of the hashes of the word shingles (``sets``: of the different ones)."""
     hashes = shingle_hashes(text, size, seed)
+    if sets:
+        hashes = np.unique(hashes)
     out = [majority(hashes)]
     for factor in FACTORS[: words - 1]:
         mixed = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(factor)
@@ -102,14 +108,14 @@ def columns_of(words: int) -> list[str]:
     return ["fp", "fp1", "fp2", "fp3"][:words]
 
 
-def add_fingerprints(docs: DataFrame, size: int = SHINGLE, seed: int = SEED, words: int = 1) -> DataFrame:
+def add_fingerprints(docs: DataFrame, size: int = SHINGLE, seed: int = SEED, words: int = 1, sets: bool = False) -> DataFrame:
     """``doc_id``, ``text_key`` and the bits as longs ``fp``, ``fp1`` ... of each row with ``doc_id`` and ``text``."""
     names = columns_of(words)
     docs = docs.withColumn("text_key", text_key())
 
     def work(batches):
         for batch in slices(batches, "text"):
-            prints = [fingerprint(text, size, seed, words) for text in batch.column("text").to_pylist()]
+            prints = [fingerprint(text, size, seed, words, sets) for text in batch.column("text").to_pylist()]
             yield {c: batch.column(c) for c in ("doc_id", "text_key")} | {n: [signed(p[i]) for p in prints] for i, n in enumerate(names)}
 
     return map_arrow(docs, work, "doc_id long, text_key string, " + ", ".join(f"{n} long" for n in names))
@@ -410,7 +416,7 @@ def near_duplicates(
     """
     names = columns_of(scheme.words)
     texts = texts_of(docs, id_column, text_column)
-    prints = stage(add_fingerprints(texts, size, seed, scheme.words), "fingerprints")
+    prints = stage(add_fingerprints(texts, size, seed, scheme.words, scheme.sets), "fingerprints")
     groups = prints.groupBy(*names).agg(
         F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"), F.min(F.struct("doc_id", "text_key")).alias("sample")
     )

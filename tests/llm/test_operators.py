@@ -311,6 +311,17 @@ def test_failed_links_hide_no_others(spark):
     assert [r.component_id for r in sorted(got, key=lambda r: r.doc_id)] == group
 
 
+def test_repeated_blocks_are_near_duplicates(spark):
+    rng = random.Random(13)
+    rows = []
+    for i in range(6):
+        once, block = ([f"w{rng.randrange(90_000)}" for _ in range(n)] for n in (104, 54))
+        rows += [(2 * i, " ".join(once + block)), (2 * i + 1, " ".join(once + block * 10))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = simhash.near_duplicates(docs, simhash.WIDE, 5, similarity=0.8)
+    assert set(found(got, "doc_id", "component_id")) == {(i, i - i % 2) for i in range(12)}
+
+
 def test_pipeline(spark):
     import corpus_pipeline as cp
 
