@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodloom.llm.common import held, if_small, texts_of
+from moodloom.llm.common import held, if_small, text_key, texts_of
+from moodloom.sources.staging import stage
 
 THRESHOLD = 0.8
 
@@ -53,20 +54,28 @@ def normal_words(text: str | Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
-def bigrams(words: str) -> Column:
-    """64-bit hashes of the different bigrams of a word list; a single word counts as one."""
-    pairs = F.transform(
-        F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(1))),
+def pairs(words: str) -> Column:
+    """64-bit hashes of the bigrams of a word list, one for each word but the last."""
+    return F.transform(
+        F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))),
         lambda word, i: F.xxhash64(word, F.get(F.col(words), i + 1)),
     )
-    return F.array_distinct(pairs)
 
 
 def template_bigrams(templates: DataFrame) -> DataFrame:
-    """``license_id, license_size, bigram``: one row per template and bigram; templates without words vanish."""
+    """``license_id, bigrams``: the different ones, a single word counting as one; templates without words vanish."""
     words = templates.select("license_id", held(normal_words("text")).alias("words")).where(F.size("words") > 0)
-    lists = words.select("license_id", bigrams("words").alias("bigrams"))
-    return lists.select("license_id", F.size("bigrams").alias("license_size"), F.explode("bigrams").alias("bigram"))
+    single = F.size("words") == 1
+    of_words = F.when(single, F.transform("words", lambda word: F.xxhash64(word))).otherwise(F.array_distinct(pairs("words")))
+    return words.select("license_id", single.alias("single"), of_words.alias("bigrams")).distinct()
+
+
+def places_of(words: DataFrame, hashes: Column, known: DataFrame) -> DataFrame:
+    """``doc_id, text_id, place, hash`` and the template of each hash of a text that a template holds."""
+    each = words.select("doc_id", "text_id", F.posexplode(hashes).alias("place", "hash"))
+    keyed = known.select("license_id", F.size("bigrams").alias("license_size"), F.explode("bigrams").alias("bigram"))
+    small = if_small(keyed, F.octet_length("license_id") + 64)
+    return each.join(small, F.col("hash") == F.col("bigram")).drop("bigram")
 
 
 def scan_licenses(
@@ -76,33 +85,78 @@ def scan_licenses(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """``doc_id, line, license_id, n_common, dice`` for each line that matches a template.
-
-    A line of a text is compared, its number counted from 0. With A and B bigrams and C in common,
-    Dice is ``2C / (A + B)``. It reaches the threshold t only if A is between ``t / (2 - t)`` and ``(2 - t) / t`` times B: lines outside
-    these bounds of all templates are dropped before their bigrams are made, and a bigram meets a
-    template within the bounds only. Null, empty and wordless texts have no rows; a row that occurs twice with one id
-    counts once; other columns are ignored.
+    """``doc_id, line, license_id, n_common, dice`` for each place of a text that matches a template.
+
+    A place is a run of words, over line breaks too; ``line`` is that of its first word, counted from 0. With A bigrams in the run, B in the
+    template and C in common, Dice is ``2C / (A + B)``. It reaches the threshold t only if A is between ``t / (2 - t)`` and ``(2 - t) / t``
+    times B and C is at least ``t / (2 - t)`` times B: texts with fewer bigrams of a template are dropped. In the others the runs within the
+    bounds that begin and end with a bigram of the template, and whole lines, are compared; of runs that overlap the best
+    has a row, the first of equals. A template of one word is found wherever the word is. Null, empty and wordless texts have no
+    rows; a row that occurs twice with one id counts once; other columns are ignored.
     """
     spark = docs.sparkSession
     known = template_bigrams(templates if templates is not None else default_templates(spark))
-    ends = known.agg(F.min("license_size").alias("least"), F.max("license_size").alias("most")).first()
+    known = stage(known, "templates")
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
-    texts = texts_of(docs, id_column, text_column)
-    lines = texts.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
-    words = lines.select("doc_id", "line", held(normal_words("text")).alias("words"))
-    # A line of n words has n - 1 bigrams at most, repeated ones counted once.
-    words = words.where(F.size("words") - 1 >= F.floor(F.lit(low * (ends["least"] or 1))))
-    sized = words.select("doc_id", "line", held(bigrams("words")).alias("bigrams"))
-    size = F.size("bigrams")
-    sized = sized.where(size.between(low * (ends["least"] or 1), high * (ends["most"] or 0)))
-    exploded = sized.select("doc_id", "line", size.alias("line_size"), F.explode("bigrams").alias("bigram"))
-    within = F.col("line_size").between(low * F.col("license_size"), high * F.col("license_size"))
-    keyed = known.withColumnRenamed("bigram", "known_bigram")
-    small = if_small(keyed, F.octet_length("license_id") + 64)
-    matched = exploded.join(small, (F.col("bigram") == F.col("known_bigram")) & within)
-    common = matched.groupBy("doc_id", "line", "license_id", "line_size", "license_size").agg(
-        F.countDistinct("bigram").alias("n_common")
+    texts = texts_of(docs, id_column, text_column).withColumn("text_id", text_key())
+    words = texts.select("doc_id", "text_id", held(normal_words("text")).alias("words"))
+    of = ["doc_id", "text_id", "license_id"]
+    hits = places_of(words, pairs("words"), known.where("not single"))
+    need, most = F.ceil(low * F.col("license_size") - 1e-9), F.floor(high * F.col("license_size") + 1e-9).cast("int")
+    lists = hits.groupBy(*of, "license_size").agg(F.sort_array(F.collect_set(F.struct("place", "hash"))).alias("hits"))
+    lists = lists.where(F.size(F.array_distinct("hits.hash")) >= need)
+    lists = stage(lists.select(*of, "license_size", F.col("hits.place").alias("places")), "license-places")
+
+    wanted = lists.select(F.col("doc_id").alias("id"), F.col("text_id").alias("key")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_id") == F.col("key"))
+    by_line = texts.join(if_small(wanted, 64), same, "left_semi").select(
+        "doc_id", "text_id", held(F.transform(F.split("text", "\n"), normal_words)).alias("lines")
     )
-    dice = 2 * F.col("n_common") / (F.col("line_size") + F.col("license_size"))
-    return common.select("doc_id", "line", "license_id", "n_common", dice.alias("dice")).where(F.col("dice") >= threshold)
+    line_of = F.flatten(F.transform("lines", lambda line, i: F.array_repeat(i, F.size(line))))
+    # First and last bigram of the lines; those of one word have none.
+    begin = F.struct(F.lit(0).alias("n"), F.array().cast("array<struct<s:int,e:int>>").alias("runs"))
+
+    def next_line(so_far: Column, line: Column) -> Column:
+        run = F.struct(so_far["n"].alias("s"), (so_far["n"] + F.size(line) - 2).alias("e"))
+        runs = F.when(F.size(line) > 1, F.concat(so_far["runs"], F.array(run))).otherwise(so_far["runs"])
+        return F.struct((so_far["n"] + F.size(line)).alias("n"), runs.alias("runs"))
+
+    bodies = by_line.select(
+        "doc_id", "text_id", F.flatten("lines").alias("words"), line_of.alias("line_of"), F.aggregate("lines", begin, next_line)["runs"].alias("runs")
+    ).dropDuplicates(["doc_id", "text_id"])
+    bodies = stage(bodies.select("doc_id", "text_id", pairs("words").alias("hashes"), "line_of", "runs"), "license-texts")
+
+    # Runs of a template's size, and the lines beyond it.
+    def runs_from(place: Column, k: Column) -> Column:
+        ends = F.filter(F.slice("places", k + 1, most), lambda end: end < place + most)
+        made = F.transform(ends, lambda end: F.struct(place.alias("s"), end.alias("e")))
+        return F.when(F.size(ends) >= need, made).otherwise(F.slice(made, 1, 0))
+
+    longer = F.filter("runs", lambda run: run["e"] - run["s"] >= most)
+    runs = F.concat(F.flatten(F.transform("places", runs_from)), longer)
+    renamed = bodies.withColumnsRenamed({"doc_id": "id", "text_id": "key"})
+    listed = lists.join(if_small(renamed, 128 + 16 * F.size("line_of") + 8 * F.size("runs")), same)
+    listed = listed.join(F.broadcast(known.select("license_id", "bigrams")), "license_id")
+    run = listed.select(*of, "license_size", "hashes", "line_of", "bigrams", F.explode(runs).alias("run"))
+    taken = F.slice("hashes", F.col("run.s") + 1, F.col("run.e") - F.col("run.s") + 1)
+    n_common = F.size(F.array_intersect(taken, F.col("bigrams")))
+    sizes = run.select(*of, "license_size", "run", F.get("line_of", F.col("run.s")).alias("line"), held(F.struct(F.size(F.array_distinct(taken)).alias("n"), n_common.alias("c"))).alias("of_run"))
+    dice = 2 * F.col("of_run.c") / (F.col("of_run.n") + F.col("license_size"))
+    close = sizes.select(*of, F.struct((-dice).alias("less"), "run.s", "run.e", "line", F.col("of_run.c").alias("n_common")).alias("run"))
+    close = close.where(F.col("run.less") <= -threshold)
+    ranked = close.groupBy(*of).agg(F.sort_array(F.collect_set("run")).alias("runs"))
+
+    def add(so_far: Column, new: Column) -> Column:
+        over = F.exists(so_far, lambda old: (old["s"] <= new["e"] + 1) & (new["s"] <= old["e"] + 1))
+        return F.when(over, so_far).otherwise(F.concat(so_far, F.array(new)))
+
+    best = ranked.select("doc_id", "license_id", F.explode(F.aggregate("runs", F.slice("runs", 1, 0), add)).alias("run"))
+    result = best.select("doc_id", F.col("run.line").alias("line"), "license_id", F.col("run.n_common").cast("long").alias("n_common"), (-F.col("run.less")).alias("dice"))
+    singles = known.where("single")
+    if singles.isEmpty():
+        return result
+    lines = texts.distinct().select("doc_id", "text_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
+    each = lines.select("doc_id", "text_id", "line", F.explode(normal_words("text")).alias("word"))
+    of_word = singles.select("license_id", F.col("bigrams")[0].alias("hash"))
+    named = each.join(if_small(of_word, F.octet_length("license_id") + 64), F.xxhash64("word") == F.col("hash"))
+    return result.unionByName(named.select("doc_id", "line", "license_id", F.lit(1).cast("long").alias("n_common"), F.lit(1.0).alias("dice")))

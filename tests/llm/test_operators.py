@@ -133,6 +133,26 @@ def test_licenses(tables, nothing):
     assert licenses.scan_licenses(nothing).count() == 0
 
 
+def test_wrapped_and_embedded_licenses(spark):
+    grant, gpl, bsd = (licenses.TEMPLATES[n] for n in ("MIT-grant", "GPL-3.0-header", "BSD-redistribution"))
+    wrap = lambda text, n=8: "\n".join(" * " + " ".join(text.split()[i : i + n]) for i in range(0, len(text.split()), n))
+    texts = [
+        "This project is released under the MIT License, see the LICENSE file for details.",
+        f"Copyright someone\n\n{wrap(grant)}\n\nThe above notice shall be kept.",
+        f"code\n{wrap(gpl)}\nmore code {'x y z ' * 50}\n{wrap(bsd, 5)}",
+        f"{'the of in and ' * 200}Released under the\nMIT License. Text between. Released under the MIT License.",
+        "of the license under the terms of the work " * 30,
+    ]
+    docs = spark.createDataFrame([*enumerate(texts), (None, texts[0]), (0, texts[0])], "doc_id long, text string")
+    expected = {(0, 0, "MIT"): 1, (1, 2, "MIT-grant"): 1, (2, 1, "GPL-3.0-header"): 1, (2, 2 + len(wrap(gpl).split("\n")), "BSD-redistribution"): 1}
+    expected |= {(3, 0, "MIT"): 1, (3, 1, "MIT"): 1, (None, 0, "MIT"): 1}
+    result = licenses.scan_licenses(docs)
+    assert found(result, "doc_id", "line", "license_id") == expected
+    assert result.where("dice < 1").count() == 0
+    one_word = spark.createDataFrame([("W", "Details!")], "license_id string, text string")
+    assert found(licenses.scan_licenses(docs, one_word), "doc_id", "line", "license_id") == {(0, 0, "W"): 1, (None, 0, "W"): 1}
+
+
 def library():
     from tokenizers import Tokenizer
 
