@@ -63,7 +63,7 @@ def decontaminate(
     item_column: str = "item_id",
     item_text_column: str = "text",
 ) -> DataFrame:
-    """One row per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans, items``.
+    """One row per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans, items, text_id``.
 
     ``spans`` are the hit windows as (first word, words) and ``items`` the ids as sorted strings. Null and empty texts have
     no words and no hits; an empty benchmark hits nothing; items without words are passed over. Repeated rows
@@ -124,6 +124,7 @@ def decontaminate(
         (n_hit > 0).alias("contaminated"),
         "spans",
         "items",
+        "l.text_id",
     )
 
 

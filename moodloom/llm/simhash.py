@@ -406,7 +406,7 @@ def near_duplicates(
     text_column: str = "text",
     similarity: float | None = None,
 ) -> DataFrame:
-    """``doc_id``, its bits (``fp`` ...) and ``component_id``, the smallest id that links lead to, for each row.
+    """``doc_id``, ``text_key``, its bits (``fp`` ...) and ``component_id``, the smallest id that links lead to, for each row.
 
     With ``similarity`` a link between different fingerprints holds only if their texts share so much of their shingles. Close
     pairs are compared until those that held join all that hold.
@@ -433,10 +433,10 @@ def near_duplicates(
     of_print = stage(rooted.join(named, "root").select(*names, "rows", "component_id"), "named")
     small = if_small(of_print, 32 + 8 * len(names))
     if small is not of_print:
-        return prints.join(small.drop("rows"), names).select("doc_id", *names, "component_id")
+        return prints.join(small.drop("rows"), names).select("doc_id", "text_key", *names, "component_id")
     # Fingerprints with one in 1,000 rows or more, a thousand at most, meet their rows by broadcast; the rest by shuffle.
     total = of_print.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).first()["n"]
     hot = F.broadcast(of_print.where(F.col("rows") * 1_000 >= total).drop("rows"))
     of_hot = prints.join(hot, names)
     others = prints.join(hot, names, "left_anti").join(of_print.drop("rows"), names)
-    return of_hot.unionByName(others).select("doc_id", *names, "component_id")
+    return of_hot.unionByName(others).select("doc_id", "text_key", *names, "component_id")

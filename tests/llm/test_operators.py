@@ -367,6 +367,20 @@ def test_pipeline(spark):
     assert docs.count() > 100
 
 
+def test_pipeline_drops_by_id_and_text(spark, tmp_path):
+    import corpus_pipeline as cp
+
+    rng = random.Random(14)
+    item, clean, other, copy = (" ".join(f"w{rng.randrange(90_000)}" for _ in range(60)) for _ in range(4))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, item), (None, other), (5, item), (5, clean), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = cp.drop_contaminated(spark, docs, str(tmp_path))
+    assert found(left, "doc_id", "text") == {(None, other): 1, (5, clean): 1, (6, None): 1}
+    docs = spark.createDataFrame([(1, copy), (5, copy), (5, clean), (6, None)], "doc_id long, text string")
+    assert found(cp.drop_near_duplicates(spark, docs, str(tmp_path)), "doc_id", "text") == {(1, copy): 1, (5, clean): 1, (6, None): 1}
+
+
 def test_suffixes(tables, nothing):
     docs, _, rows, _ = tables
     order = lambda d: seeds.NO_ID if d is None else d
