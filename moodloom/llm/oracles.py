@@ -65,4 +65,64 @@ WITH doc AS (
 SELECT *, failures & 3 <> 0 AS base_failed, failures = 0 AS kept FROM judged
 """
 
-ORACLES: dict[str, str] = {"op4_decontamination": DECONTAMINATION, "op8_quality_rules": QUALITY}
+DIVERGENCE = r"""
+WITH doc AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), token AS (
+    SELECT r, lang, source, unnest(w) AS term FROM doc
+), kept AS (
+    SELECT lang, term, count(*) AS total FROM token GROUP BY lang, term HAVING count(DISTINCT r) >= 30
+), grp AS (
+    SELECT DISTINCT lang, source FROM doc
+), size AS (
+    SELECT lang, count(*) AS v, sum(total)::HUGEINT AS n FROM kept GROUP BY lang
+), counted AS (
+    SELECT lang, source, term, count(*) AS c FROM token SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+), cell AS (
+    SELECT g.lang, g.source, k.term, coalesce(x.c, 0) AS c, k.total
+    FROM grp g JOIN kept k USING (lang)
+    LEFT JOIN counted x ON x.lang = g.lang AND x.source = g.source AND x.term = k.term
+), own AS (
+    SELECT lang, source, sum(c)::HUGEINT AS n FROM cell GROUP BY lang, source
+), share AS (
+    SELECT lang, source, term, c, 1 + (1000000000::HUGEINT * (c + 5)) // (own.n + 5 * v) AS p,
+        1 + (1000000000::HUGEINT * (total + 5)) // (size.n + 5 * v) AS q
+    FROM cell JOIN own USING (lang, source) JOIN size USING (lang)
+), apart AS (
+    SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+    FROM share a JOIN share b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source
+), pair AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(d.value, 0) AS value
+    FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN apart d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+    FROM (SELECT * FROM pair UNION ALL SELECT lang, source, 'term', term, p - q FROM share WHERE c > 0 AND p > q)
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+TOP_K = """
+WITH usable AS (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::HUGEINT) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.r, q.vec_id AS query_id, c.vec_id,
+        coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda z: coalesce(z[1] * z[2], 0))), 0) AS score
+    FROM usable q JOIN usable c ON q.r <> c.r WHERE q.vec_id % 50 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM scored
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score::BIGINT AS score FROM ranked WHERE rank <= 5
+"""
+
+ORACLES: dict[str, str] = {
+    "op4_decontamination": DECONTAMINATION,
+    "op8_quality_rules": QUALITY,
+    "op12_source_divergence": DIVERGENCE,
+    "op13_top_k": TOP_K,
+}

@@ -10,17 +10,20 @@ from pyspark.sql import functions as F
 
 from moodloom.llm import (
     decontaminate,
+    divergence,
     licenses,
     packing,
     passages,
     quality,
+    runs,
     simhash,
     suffixes,
     token_counts,
     token_files,
+    topk,
     toxicity,
 )
-from moodloom.llm.common import read_table
+from moodloom.llm.common import held, read_table
 from moodloom.llm.oracles import ORACLES as ORACLES  # read by __spark_entry__
 from moodloom.sources.staging import staging_path
 
@@ -92,6 +95,40 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_cycles(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` with the planted cycles: one in ten documents repeats a stretch of its words to its end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    found = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), 0)).alias("w")
+    n, g = F.size("w"), F.floor(h / 10)
+    begin = (g % n).cast("int")
+    period = (F.floor((n - F.col("a")) / (3 + g % 8)) + 1).cast("int")
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    cycled = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get("w", place(i)))
+    split = docs.select("doc_id", "text", held(found))
+    split = split.select("doc_id", "text", F.col("col").alias("w")).withColumn("a", F.when(n > 0, begin)).withColumn("p", period)
+    return split.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(cycled, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(with_cycles(read_table(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    shown = found.select("*", best.alias("best"), F.array_join(lines, "").alias("lines"))
+    shown = shown.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.col2")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.col3")).alias("period"), F.sha2("lines", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+    return shown.withColumn("exponent_milli", F.expr("(1000L * length) div period"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(read_table(spark, sf_dir, "documents"))
+
+
+def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search_top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_passages": op1_passages,
     "op2_license_scan": op2_license_scan,
@@ -103,4 +140,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_token_counts": op9_token_counts,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_top_k": op13_top_k,
 }
