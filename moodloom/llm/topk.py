@@ -19,7 +19,7 @@ from moodloom.sources.staging import stage
 K = 5
 SCALE = 256
 # Rows of a shard, and rows of it that are searched between two looks at the bounds.
-SHARD_ROWS = 2048
+SHARD_ROWS = 4096
 STEP = 1024
 # Queries that go to a shard together.
 QUERY_ROWS = 256
@@ -37,63 +37,101 @@ def held_in_range(scores: np.ndarray) -> np.ndarray:
 
 
 class Shard:
-    """Rows in the order of their ids, with the postings of each term: ``signs[s][d]`` are the rows whose dimension d has sign s."""
+    """Rows in the order of their ids, with the postings of each term: rows and values of each sign of each dimension."""
 
     def __init__(self, matrix: np.ndarray) -> None:
         self.matrix = matrix
-        self.signs = [[np.flatnonzero(column * sign > 0) for column in matrix.T] for sign in (1, -1)]
-        self.most = [
-            [abs(column[rows]).max() if len(rows) else 0 for column, rows in zip(matrix.T, lists)] for lists in self.signs
-        ]
-
-    def search(self, query: np.ndarray, k: int, own: int = -1) -> tuple[list[int], list]:
-        """Rows and scores of the best ``k``, equal scores by row; ``own`` is left out."""
-        matrix = self.matrix
-        bounds = [(abs(w) * self.most[int(w < 0)][d], d) for d, w in enumerate(query) if w]
-        bounds = sorted(b for b in bounds if b[0] > 0)
-        dims, sums = [d for _, d in bounds], np.cumsum([b for b, _ in bounds], dtype=matrix.dtype)
-        rows, scores = np.zeros(0, "i8"), np.zeros(0, matrix.dtype)
+        lists = [[np.flatnonzero(column * sign > 0) for column in matrix.T] for sign in (1, -1)]
+        self.postings = [[(rows, matrix[rows, d]) for d, rows in enumerate(side)] for side in lists]
+        most = [[abs(values).max() if len(values) else 0 for _, values in side] for side in self.postings]
+        self.most = np.array(most, matrix.dtype).reshape(2, -1)
+
+    def search(self, queries: np.ndarray, k: int, own: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Rows and scores of the best ``k`` of each query, equal scores by row; ``own`` is a row to leave out, or -1."""
+        matrix, n = self.matrix, len(queries)
+        bounds = abs(queries) * np.where(queries < 0, self.most[1], self.most[0])
+        order = np.argsort(bounds, axis=1, kind="stable")
+        sums = np.concatenate([np.zeros((n, 1), matrix.dtype), np.cumsum(np.take_along_axis(bounds, order, 1), axis=1)], axis=1)
+        rank = np.argsort(order, axis=1, kind="stable")
+        best = [(np.zeros(0, "i8"), np.zeros(0, matrix.dtype))] * n
         for begin in range(0, len(matrix), STEP):
             end = min(begin + STEP, len(matrix))
-            full = len(rows) == k
-            worst = scores[-1] if full else None
-            if not full or worst < 0:  # a row without any of the terms could still be one of the best
-                alive = np.arange(begin, end)
-            else:
-                first = int(np.searchsorted(sums, worst, side="right"))  # terms before it are non-essential
-                if first == len(dims):
-                    break
-                gained, seen = np.zeros(end - begin, matrix.dtype), np.zeros(end - begin, bool)
-                for d in dims[first:]:
-                    postings = self.signs[int(query[d] < 0)][d]
-                    here = postings[np.searchsorted(postings, begin) : np.searchsorted(postings, end)]
-                    gained[here - begin] += matrix[here, d] * query[d]
-                    seen[here - begin] = True
-                alive = np.flatnonzero(seen)
-                gained = gained[alive]
-                for at in range(first - 1, -1, -1):
-                    competitive = gained + sums[at] > worst
-                    alive, gained = alive[competitive], gained[competitive]
-                    d = dims[at]
-                    gained = gained + np.maximum(matrix[alive + begin, d] * query[d], 0)
-                alive = alive[gained > worst] + begin
-            alive = alive[alive != own]
-            found = matrix[alive] @ query if matrix.shape[1] else np.zeros(len(alive), matrix.dtype)
-            rows, scores = np.concatenate([rows, alive]), np.concatenate([scores, held_in_range(found)])
-            best = sorted(range(len(rows)), key=lambda i: (-scores[i], rows[i])) if matrix.dtype == object else np.lexsort((rows, -scores))
-            rows, scores = rows[best[:k]], scores[best[:k]]
-        return rows.tolist(), scores.tolist()
+            # A row without any of a query's terms could still be one of its best if fewer, or negative ones, are known.
+            unknown = np.array([len(rows) < k or scores[-1] < 0 for rows, scores in best])
+            worst = np.array([0 if u else scores[-1] for u, (_, scores) in zip(unknown, best)], matrix.dtype)
+            found = [self.all_rows(queries, np.flatnonzero(unknown), begin, end, k, own)]
+            essential = np.where(unknown, queries.shape[1], (sums[:, 1:] <= worst[:, None]).sum(axis=1))
+            found.append(self.competitive(queries, order, sums, rank, essential, worst, begin, end))
+            q, row = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+            q, row = q[row != own[q]], row[row != own[q]]
+            scores = held_in_range((matrix[row] * queries[q]).sum(axis=1)) if matrix.shape[1] else np.zeros(len(row), matrix.dtype)
+            above = unknown[q] | (scores > worst[q])
+            q, row, scores = q[above], row[above], scores[above]
+            by_query = np.argsort(q, kind="stable")
+            q, row, scores = q[by_query], row[by_query], scores[by_query]
+            cuts = np.flatnonzero(np.diff(q)) + 1
+            for i, new_rows, new_scores in zip(q[np.concatenate([[0], cuts])] if len(q) else (), np.split(row, cuts), np.split(scores, cuts)):
+                rows, values = (np.concatenate([old, new]) for old, new in zip(best[i], (new_rows, new_scores)))
+                top = sorted(range(len(rows)), key=lambda j: (-values[j], rows[j]))[:k]
+                best[i] = rows[top], values[top]
+        return best
+
+    def all_rows(self, queries: np.ndarray, asked: np.ndarray, begin: int, end: int, k: int, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of query and row that hold the best ``k`` rows from ``begin`` to ``end``, and ties."""
+        if not self.matrix.shape[1] or end - begin <= k + 1:
+            q, row = np.divmod(np.arange(len(asked) * (end - begin)), end - begin)
+            return asked[q], row + begin
+        scores = queries[asked] @ self.matrix[begin:end].T
+        # One more than k, as the own row is among them.
+        q, row = np.nonzero(scores >= np.partition(scores, -k - 1, axis=1)[:, [-k - 1]])
+        return asked[q], row + begin
+
+    def competitive(
+        self, queries: np.ndarray, order: np.ndarray, sums: np.ndarray, rank: np.ndarray, essential: np.ndarray, worst: np.ndarray,
+        begin: int, end: int,
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of query and row, from ``begin`` to ``end``, whose positive parts come to more than ``worst``.
+
+        Terms of a query from rank ``essential`` on are traversed. The others are looked up, the largest bound first, as
+        long as what is left can lift the row.
+        """
+        gained = np.zeros((len(queries), end - begin), self.matrix.dtype)
+        for sign, side in enumerate(self.postings):
+            for d, (rows, values) in enumerate(side):
+                weights = queries[:, d]
+                asking = np.flatnonzero(((weights < 0) if sign else (weights > 0)) & (rank[:, d] >= essential))
+                if not len(asking):
+                    continue
+                low, high = np.searchsorted(rows, (begin, end))
+                here = rows[low:high] - begin
+                gained[asking[:, None], here] += weights[asking, None] * values[low:high]
+        q, row = np.nonzero((gained > 0) & (gained + sums[np.arange(len(queries)), essential][:, None] > worst[:, None]))
+        value, left = gained[q, row], essential[q]
+        done = []
+        while len(q):
+            open_ = left > 0
+            done.append((q[~open_], row[~open_]))
+            q, row, value, left = q[open_], row[open_], value[open_], left[open_] - 1
+            d = order[q, left]
+            value = value + np.maximum(self.matrix[row + begin, d] * queries[q, d], 0)
+            alive = value + sums[q, left] > worst[q]
+            q, row, value, left = q[alive], row[alive], value[alive], left[alive]
+        if not done:
+            return np.zeros(0, "i8"), np.zeros(0, "i8")
+        return np.concatenate([d[0] for d in done]), np.concatenate([d[1] for d in done]) + begin
 
 
 def packed(rows: DataFrame, name: str, size: int, total: int, dims: int) -> DataFrame:
     """``name`` (from 0), ``keys``, ``ids`` and ``matrix`` (64-bit floats) of about ``size`` rows each, by id; rows without one last."""
 
     def pack(table: pa.Table) -> pa.Table:
-        ids, vectors = table.column("id").to_pylist(), table.column("vector").to_pylist()
+        ids, vectors = table.column("id").to_pylist(), table.column("vector").combine_chunks()
         order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0))
+        lengths = np.diff(np.asarray(vectors.offsets))
         matrix = np.zeros((len(ids), dims))
-        for row, i in enumerate(order):
-            matrix[row, : len(vectors[i])] = vectors[i]
+        row = np.repeat(np.arange(len(ids)), lengths)
+        matrix[row, np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)] = np.asarray(vectors.flatten())
+        matrix = matrix[order]
         columns = {
             name: table.column(name)[:1],
             "keys": pa.array([table.column("key").take(pa.array(order, pa.int64())).to_pylist()], pa.list_(pa.int64())),
@@ -164,14 +202,14 @@ def search_top_k(
                     matrix, queries = np.zeros((len(keys), 0)), np.zeros((len(q_keys), 0))
                 elif float(abs(matrix).max()) >= EXACT / dims / max(float(abs(queries).max()), 1.0):
                     matrix, queries = (np.array([[int(x) for x in r] for r in m], object) for m in (matrix, queries))
-                shard, place = Shard(matrix), {key: i for i, key in enumerate(keys)}
+                place = {key: i for i, key in enumerate(keys)}
+                own = np.array([place.get(key, -1) for key in q_keys])
                 out = {"key": [], "query_id": [], "vec_id": [], "score": []}
-                for key, query_id, query in zip(q_keys, q_ids, queries):
-                    found, scores = shard.search(query, k, place.get(key, -1))
+                for key, query_id, (found, scores) in zip(q_keys, q_ids, Shard(matrix).search(queries, k, own)):
                     out["key"] += [key] * len(found)
                     out["query_id"] += [query_id] * len(found)
-                    out["vec_id"] += [ids[i] for i in found]
-                    out["score"] += [int(s) for s in scores]
+                    out["vec_id"] += [ids[i] for i in found.tolist()]
+                    out["score"] += [int(s) for s in scores.tolist()]
                 yield out
 
     columns = ("shard", "block")

@@ -173,7 +173,7 @@ def hash_of(word, source):
 @pytest.mark.parametrize("min_docs, top, small", [(30, 50, False), (2, 5, True)])
 def test_audit_equals_a_plain_version(spark, sourced, monkeypatch, min_docs, top, small):
     if small:  # several blocks, parts and tiles, and shuffled joins
-        for name, value in (("CELLS", 20), ("TILE", 2), ("BLOCK_DOCS", 1 << 16), ("BLOCK_BYTES", 3000), ("ROWS_AT_ONCE", 7)):
+        for name, value in (("CELLS", 20), ("TILE", 2), ("BLOCK_BYTES", 3000), ("ROWS_AT_ONCE", 7), ("LOT_BLOCKS", 3), ("BUCKET_BYTES", 500), ("PACK_ROWS", 50)):
             monkeypatch.setattr(divergence, name, value)
         monkeypatch.setattr("moodloom.llm.common.if_small.__defaults__", (0,))
     schema = "lang string, source string, text string, term string, block long, share int"
@@ -257,12 +257,12 @@ def test_essential_terms_alone_are_traversed():
     matrix[::100, 0] = 500
     shard = topk.Shard(matrix)
     read = []
-    shard.signs = [[CountedRows(rows, read) for rows in lists] for lists in shard.signs]
-    query = np.ones(40)
-    query[0] = 50
-    rows, scores = shard.search(query, 5)
-    plain = matrix @ query
-    assert scores == sorted(plain, reverse=True)[:5] and rows == np.lexsort((np.arange(4000), -plain))[:5].tolist()
+    shard.postings = [[(CountedRows(rows, read), values) for rows, values in side] for side in shard.postings]
+    query = np.ones((1, 40))
+    query[0, 0] = 50
+    ((rows, scores),) = shard.search(query, 5, np.array([-1]))
+    plain = matrix @ query[0]
+    assert scores.tolist() == sorted(plain, reverse=True)[:5] and rows.tolist() == np.lexsort((np.arange(4000), -plain))[:5].tolist()
     assert sum(read) < 100  # all other postings stay unread once five rows are known
 
 
