@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from moodloom.llm.common import if_small, map_arrow
-from moodloom.sources.staging import stage
+from moodloom.sources.staging import stage, staging_path
 
 MIN_DOCS = 30
 TOP_TERMS = 50
@@ -27,16 +27,20 @@ SMOOTHING = 5
 SHARES = 1_000_000_000
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 # Text and documents of a block; a longer text is a block of its own. Numbers of documents fit in two bytes.
-BLOCK_BYTES = 24 * 1024 * 1024
+BLOCK_BYTES = 32 * 1024 * 1024
 BLOCK_DOCS = 1 << 16
 ROWS_AT_ONCE = 50_000
+# Joined rows that are packed together; blocks whose postings of a term meet in one task; about the postings of such a task.
+PACK_ROWS = 400_000
+LOT_BLOCKS = 64
+BUCKET_BYTES = 3 * 1024 * 1024
 # Shares of terms that are compared in one task, and sources compared there with all others.
 CELLS = 200_000
 TILE = 256
 
 
-def counted_chunks(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The chunks of some texts, how many texts hold each, the end of its postings, and the postings: number of the text, times.
+def counted_chunks(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """The chunks of some texts, the end of each one's postings, and the postings: number of the text, times.
 
     Times are 255 at most; a chunk that a text holds more often has several postings for it.
     """
@@ -47,14 +51,13 @@ def counted_chunks(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndar
         parts.append(np.fromiter(map(number.__getitem__, chunks), "i8", len(chunks)))
     owner = np.repeat(np.arange(len(texts)), [len(p) for p in parts])
     keys, times = np.unique(np.concatenate(parts) * BLOCK_DOCS + owner, return_counts=True)
-    n_docs = np.bincount(keys // BLOCK_DOCS, minlength=len(number))
     pieces = -(-times // 255)
     last = np.cumsum(pieces) - 1
     keys = np.repeat(keys, pieces)
     small = np.full(len(keys), 255, "u1")
     small[last] = times - 255 * (pieces - 1)
     ends = np.searchsorted(keys, (np.arange(len(number)) + 1) * BLOCK_DOCS)
-    return list(number), n_docs, ends, (keys % BLOCK_DOCS).astype("<u2"), small
+    return list(number), ends, (keys % BLOCK_DOCS).astype("<u2"), small
 
 
 def binaries(values: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -67,10 +70,10 @@ def binaries(values: np.ndarray, ends: np.ndarray) -> pa.Array:
 def count_chunks(docs: DataFrame) -> DataFrame:
     """Rows of ``block`` of two kinds, from ``lang, source, text`` without nulls.
 
-    With a ``chunk``: in how many documents of the block (``n_docs``) it is, which ones and how often. Without: ``lang, source``, whose
-    ``n_docs`` documents of the block are numbered from ``first``.
+    With a ``chunk``: in which documents of the block it is and how often. Without: ``lang, source``, whose documents of the block
+    are numbered from ``first`` up to the next one's.
     """
-    columns = "block long, chunk string, first long, n_docs long, docs binary, times binary, lang string, source string"
+    columns = "block long, chunk string, first long, docs binary, times binary, lang string, source string"
 
     def rows_of(block: int, held: list[tuple[str, str, bytes]]):
         held.sort(key=lambda row: row[:2])
@@ -81,10 +84,10 @@ def count_chunks(docs: DataFrame) -> DataFrame:
         first = [firsts[g] for g in groups]
         none = [None] * len(groups)
         yield {
-            "block": [block] * len(groups), "chunk": none, "first": first, "n_docs": np.diff([*first, len(held)]).tolist(),
-            "docs": none, "times": none, "lang": [g[0] for g in groups], "source": [g[1] for g in groups],
+            "block": [block] * len(groups), "chunk": none, "first": first, "docs": none, "times": none,
+            "lang": [g[0] for g in groups], "source": [g[1] for g in groups],
         }
-        chunks, n_docs, ends, docs_of, times = counted_chunks([row[2] for row in held])
+        chunks, ends, docs_of, times = counted_chunks([row[2] for row in held])
         begins = np.concatenate([[0], ends])
         for at in range(0, len(chunks), ROWS_AT_ONCE):
             stop = min(at + ROWS_AT_ONCE, len(chunks))
@@ -93,7 +96,7 @@ def count_chunks(docs: DataFrame) -> DataFrame:
             names = pa.array(chunks[at:stop], pa.binary()).cast(pa.string())
             nulls = pa.nulls(stop - at, pa.string())
             yield {
-                "block": np.full(stop - at, block), "chunk": names, "first": pa.nulls(stop - at, pa.int64()), "n_docs": n_docs[at:stop],
+                "block": np.full(stop - at, block), "chunk": names, "first": pa.nulls(stop - at, pa.int64()),
                 "docs": binaries(docs_of[low:high], here), "times": binaries(times[low:high], here), "lang": nulls, "source": nulls,
             }
 
@@ -117,48 +120,118 @@ def terms_of(chunk: str) -> Column:
     return F.regexp_extract_all(F.translate(chunk, ascii_uppercase, ascii_lowercase), F.lit(TERM), 0)
 
 
+def pack(rows: DataFrame) -> DataFrame:
+    """``lot, bucket`` and packed rows of that kind: terms by line, and arrays of blocks, times in the chunk, sizes and postings."""
+    columns = "lot long, bucket long, terms binary, blocks binary, in_chunk binary, sizes binary, docs binary, times binary"
+
+    def packed(batches):
+        table = pa.Table.from_batches(batches)
+        lot, bucket = (np.asarray(table.column(c)) for c in ("lot", "bucket"))
+        order = np.lexsort((bucket, lot))
+        table, lot, bucket = table.take(pa.array(order)), lot[order], bucket[order]
+        cuts = np.flatnonzero((np.diff(lot) != 0) | (np.diff(bucket) != 0)) + 1
+        out = {c.split()[0]: [] for c in columns.split(", ")}
+        lists = {c: table.column(c).to_pylist() for c in ("docs", "times")}
+        terms, sizes = table.column("term").cast(pa.binary()).to_pylist(), np.array([len(t) for t in lists["times"]], "<u4")
+        numbers = {c: np.asarray(table.column(n)).astype("<i8") for c, n in (("blocks", "block"), ("in_chunk", "in_chunk"))} | {"sizes": sizes}
+        for start, stop in zip([0, *cuts], [*cuts, len(order)]):
+            out["lot"].append(int(lot[start]))
+            out["bucket"].append(int(bucket[start]))
+            out["terms"].append(b"\n".join(terms[start:stop]))
+            for c, values in numbers.items():
+                out[c].append(values[start:stop].tobytes())
+            for c, values in lists.items():
+                out[c].append(b"".join(values[start:stop]))
+        return out
+
+    def work(batches):
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= PACK_ROWS:
+                yield packed(held)
+                held, size = [], 0
+        if size:
+            yield packed(held)
+
+    return map_arrow(rows, work, columns)
+
+
+def cells_of(head: pa.Table, body: pa.Table) -> pa.Table:
+    """``lang, source, term, docs, n`` from the packed postings of some terms, and the numbering of the documents of their blocks."""
+
+    def joined(column: str, kind: str) -> np.ndarray:
+        return np.frombuffer(b"".join(body.column(column).to_pylist()), kind).astype("i8")
+
+    def runs(keys: np.ndarray) -> np.ndarray:
+        return np.flatnonzero(np.concatenate([np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1]]))
+
+    words = [term for lines in body.column("terms").to_pylist() for term in lines.split(b"\n")]
+    number = {term: i for i, term in enumerate(dict.fromkeys(words))}
+    term = np.fromiter(map(number.__getitem__, words), "i8", len(words))
+    head_block = np.asarray(head.column("block"))
+    names = np.unique(head_block)
+    block, sizes = np.searchsorted(names, joined("blocks", "<i8")), joined("sizes", "<u4")
+    keys = np.repeat(term * len(names) + block, sizes) * BLOCK_DOCS + joined("docs", "<u2")
+    times = joined("times", "u1") * np.repeat(joined("in_chunk", "<i8"), sizes)
+    order = np.argsort(keys, kind="stable")
+    keys, times = keys[order], times[order]
+    first = runs(keys)  # a document counts once for a term, whatever its chunks
+    keys, times = keys[first], np.add.reduceat(times, first) if len(first) else times
+    begins = np.searchsorted(names, head_block) * BLOCK_DOCS + np.asarray(head.column("first"))
+    pairs = list(zip(head.column("lang").to_pylist(), head.column("source").to_pylist()))
+    groups = {pair: i for i, pair in enumerate(dict.fromkeys(pairs))}
+    order = np.argsort(begins)
+    group = np.array([groups[pair] for pair in pairs])[order][np.searchsorted(begins[order], keys % (len(names) * BLOCK_DOCS), side="right") - 1]
+    keys = keys // (len(names) * BLOCK_DOCS) * len(groups) + group
+    order = np.argsort(keys, kind="stable")
+    keys, times = keys[order], times[order]
+    first = runs(keys)
+    of_group, of_term = pa.array(keys[first] % len(groups)), pa.array(keys[first] // len(groups))
+    columns = {
+        "lang": pa.array([pair[0] for pair in groups]).take(of_group),
+        "source": pa.array([pair[1] for pair in groups]).take(of_group),
+        "term": pa.array(list(number), pa.binary()).cast(pa.string()).take(of_term),
+        "docs": pa.array(np.diff(np.append(first, len(keys)))),
+        "n": pa.array(np.add.reduceat(times, first) if len(first) else times),
+    }
+    return pa.table(columns)
+
+
 def count_terms(postings: DataFrame, min_docs: int) -> DataFrame:
-    """``lang, source, term, docs, n``: documents and occurrences, at least of each term that ``min_docs`` documents hold."""
-    chunks = postings.where("chunk is not null").groupBy("chunk").agg(F.sum("n_docs").alias("docs"))
+    """``lang, source, term, docs, n``: documents and occurrences, at least of each term that ``min_docs`` documents hold.
+
+    The postings of a term meet in lots of about ``LOT_BLOCKS`` blocks, so the most frequent term fills no task.
+    """
+    n_docs = F.octet_length("docs") / 2
+    chunks = postings.where("chunk is not null").groupBy("chunk").agg(F.sum(n_docs).alias("docs"))
     chunks = stage(chunks.select("chunk", "docs", terms_of("chunk").alias("terms")).where(F.size("terms") > 0), "chunks")
     bound = chunks.select("docs", F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(F.sum("docs").alias("most"))
     possible = stage(bound.where(F.col("most") >= min_docs).select("term"), "terms")
     possible = if_small(possible, 16 + F.octet_length("term"))
     joined = chunks.select("chunk", F.explode("terms").alias("term")).join(possible, "term", "left_semi")
     joined = stage(joined.groupBy("chunk", "term").agg(F.count(F.lit(1)).alias("in_chunk")), "chunk-terms")
-    joined = if_small(joined, 32 + F.octet_length("chunk") + F.octet_length("term"))
-    rows = postings.where("chunk is not null").select("block", "chunk", "docs", "times").join(joined, "chunk").drop("chunk")
-    heads = postings.where("chunk is null").select("block", "first", "lang", "source")
 
-    def count_block(table: pa.Table) -> pa.Table:
-        head = table.filter(pc.is_valid(table.column("first"))).sort_by("first")
-        body = table.filter(pc.is_null(table.column("first")))
-        terms = pc.dictionary_encode(body.column("term")).combine_chunks()
-        sizes = np.array([len(x) for x in body.column("times").to_pylist()], "i8")
-        docs = np.frombuffer(b"".join(body.column("docs").to_pylist()), "<u2").astype("i8")
-        times = np.frombuffer(b"".join(body.column("times").to_pylist()), "u1").astype("i8")
-        times = times * np.repeat(np.array(body.column("in_chunk").to_pylist(), "i8"), sizes)
-        keys = np.repeat(np.array(terms.indices.to_pylist(), "i8"), sizes) * BLOCK_DOCS + docs
-        order = np.argsort(keys, kind="stable")
-        keys, times = keys[order], times[order]
-        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, "i8")
-        keys, times = keys[starts], np.add.reduceat(times, starts) if len(starts) else times
-        group = np.searchsorted(np.array(head.column("first").to_pylist()), keys % BLOCK_DOCS, side="right") - 1
-        keys = keys // BLOCK_DOCS * (head.num_rows + 1) + group  # still in order, as groups follow the numbers of documents
-        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, "i8")
-        where = pa.array(group[starts])
-        columns = {
-            "lang": head.column("lang").take(where),
-            "source": head.column("source").take(where),
-            "term": terms.dictionary.take(pa.array(keys[starts] // (head.num_rows + 1))),
-            "docs": pa.array(np.diff(np.append(starts, len(keys)))),
-            "n": pa.array(np.add.reduceat(times, starts) if len(starts) else times),
-        }
-        return pa.table(columns)
+    sizes = postings.agg(F.count_distinct("block").alias("blocks"), F.sum(F.octet_length("docs").cast("long")).alias("bytes")).first()
+    lots = max(1, -(-sizes["blocks"] // LOT_BLOCKS))
+    buckets = max(1, -(-(sizes["bytes"] or 0) // (lots * BUCKET_BYTES)))
+    lot = F.pmod(F.xxhash64("block"), F.lit(lots)).alias("lot")
+    bucket = F.pmod(F.xxhash64("term"), F.lit(buckets)).alias("bucket")
+    rows = postings.where("chunk is not null").join(joined, "chunk")
+    body = pack(rows.select(lot, bucket, "block", "term", "in_chunk", "docs", "times"))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))).alias("bucket")
+    head = postings.where("chunk is null").select(lot, every, "block", "first", "lang", "source")
+
+    def count_lot(table: pa.Table) -> pa.Table:
+        is_head = pc.is_valid(table.column("first"))
+        return cells_of(table.filter(is_head), table.filter(pc.invert(is_head)))
 
-    blocks = rows.unionByName(heads, allowMissingColumns=True).groupBy("block")
-    counted = blocks.applyInArrow(count_block, "lang string, source string, term string, docs long, n long")
-    return counted.groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    both = body.unionByName(head, allowMissingColumns=True).groupBy("lot", "bucket")
+    counted = both.applyInArrow(count_lot, "lang string, source string, term string, docs long, n long")
+    # Dealt out by what both this sum and the next step over all sources of a term need.
+    dealt = counted.repartition("lang", "term")
+    return dealt.groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
 
 
 def share(n: Column, total: Column, terms: Column) -> Column:
@@ -233,7 +306,10 @@ def audit_sources(
     """
     named = {"lang": lang_column, "source": source_column, "text": text_column}
     texts = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for n, c in named.items()])
-    postings = stage(count_chunks(texts), "chunk-counts")
+    path = staging_path(docs.sparkSession, "chunk-counts")
+    counts = count_chunks(texts)
+    counts.write.option("compression", "zstd").parquet(path)
+    postings = docs.sparkSession.read.schema(counts.schema).parquet(path)
     same = Window.partitionBy("lang", "term")
     counted = count_terms(postings, min_docs)
     counted = counted.select(
@@ -249,7 +325,7 @@ def audit_sources(
     sized = if_small(groups, 48 + F.octet_length("lang") + F.octet_length("source"))
     own = share(F.col("n"), F.col("words"), F.col("terms"))
     of_lang = share(F.col("total"), F.col("lang_words"), F.col("terms"))
-    shares = stage(kept.join(sized, ["lang", "source"]).select("lang", "source", "term", own.alias("share"), of_lang.alias("usual")), "shares")
+    shares = kept.join(sized, ["lang", "source"]).select("lang", "source", "term", own.alias("share"), of_lang.alias("usual"))
 
     least = F.when(F.col("terms") > 0, share(F.lit(0), F.col("words"), F.col("terms"))).otherwise(F.lit(0).cast("long"))
     pairs = distances(shares, groups.select("lang", "source", "terms", least.alias("least")))
