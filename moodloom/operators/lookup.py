@@ -1,8 +1,8 @@
-"""Joins of many rows to a table with one row per key, safe against hot keys."""
+"""Joins of many rows to a table with few rows per key, safe against hot keys."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moodloom.sources.staging import stage
@@ -11,17 +11,31 @@ from moodloom.sources.staging import stage
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A key is hot from one in HOT_KEYS rows on, so there are at most HOT_KEYS hot keys.
 HOT_KEYS = 10_000
+# Keys that the sketch of the rows holds; a key it misses has fewer than one in HOT_KEYS rows.
+TRACKED_KEYS = 4 * HOT_KEYS
 
-
-def measured_bytes(table: DataFrame, key: str, row_bytes: int) -> int:
-    """Key bytes plus a fixed allowance per row."""
+def measured_bytes(table: DataFrame, key: str, row_bytes: int | Column) -> int:
+    """Key bytes plus an allowance per row, fixed or from its columns."""
     size = F.coalesce(F.sum(F.octet_length(key) + row_bytes), F.lit(0))
     return table.agg(size.alias("size")).first()["size"]
 
 
-def hot_keys(counts: DataFrame, key: str, total: int) -> DataFrame:
-    """Keys that hold at least one in ``HOT_KEYS`` of ``total`` rows, written once."""
-    return stage(counts.where(F.col("facts") * HOT_KEYS >= total).select(key), "hot-keys")
+def hot_keys(facts: DataFrame, key: str) -> DataFrame:
+    """Keys that hold at least one in ``HOT_KEYS`` of the rows of ``facts``, and maybe some with slightly fewer.
+
+    One pass without a shuffle of rows: each task keeps a sketch of its most frequent keys, and sketches are merged.
+    """
+    binary = dict(facts.dtypes)[key] == "binary"
+    counted = facts.select((F.hex(key) if binary else F.col(key)).alias("key")).where(F.col("key").isNotNull())
+    top = F.call_function("approx_top_k", F.col("key"), F.lit(HOT_KEYS), F.lit(TRACKED_KEYS))
+    found = counted.agg(F.count(F.lit(1)).alias("rows"), top.alias("top")).select("rows", F.inline("top"))
+    hot = found.where(F.col("count") * HOT_KEYS >= F.col("rows"))
+    return hot.select((F.unhex("item") if binary else F.col("item")).alias(key))
+
+
+def cold_rows(facts: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Rows whose key is neither hot nor missing: no key among them holds one in ``HOT_KEYS`` of all rows."""
+    return facts.where(F.col(key).isNotNull()).join(F.broadcast(hot), key, "left_anti")
 
 
 def lookup(
@@ -29,8 +43,7 @@ def lookup(
     table: DataFrame,
     key: str,
     how: str,
-    row_bytes: int = 64,
-    counts: DataFrame | None = None,
+    row_bytes: int | Column = 64,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Inner or left join of ``facts`` to ``table`` on the string or binary column ``key``.
@@ -38,21 +51,15 @@ def lookup(
     The table's size is measured, so pass a written one; ``facts`` may be read up to three times.
     A small table is broadcast. Beyond that the
     rows of hot keys meet a broadcast of those keys alone, at most ``HOT_KEYS`` of them, and
-    only the other rows are shuffled. Where the rows per key are known, ``counts`` (the key and
-    ``facts``) spares the pass that counts them.
+    only the other rows are shuffled. Hot is what the facts repeat, whether the table knows it or not.
     """
     if measured_bytes(table, key, row_bytes) <= broadcast_bytes:
         return facts.join(F.broadcast(table), key, how)
-    keyed = facts.where(F.col(key).isNotNull())
-    if counts is None:
-        counts = stage(keyed.groupBy(key).agg(F.count(F.lit(1)).alias("facts")), "counts")
-    total = counts.agg(F.coalesce(F.sum("facts"), F.lit(0)).alias("facts")).first()["facts"]
-    hot = hot_keys(counts, key, total)
+    hot = stage(hot_keys(facts, key), "hot-keys")
     hot_rows = table.join(F.broadcast(hot), key, "left_semi")
-    of_hot = keyed.join(F.broadcast(hot), key, "left_semi")
-    of_other = keyed.join(F.broadcast(hot), key, "left_anti")
+    of_hot = facts.join(F.broadcast(hot), key, "left_semi")
     joined = of_hot.join(F.broadcast(hot_rows), key, how).unionByName(
-        of_other.join(table, key, how)
+        cold_rows(facts, key, hot).join(table, key, how)
     )
     if how == "left":
         keyless = facts.where(F.col(key).isNull())

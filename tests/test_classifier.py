@@ -1,4 +1,6 @@
+from collections import Counter, defaultdict
 from math import log
+from random import Random
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -31,8 +33,8 @@ def test_word_bayes_equals_spark_ml(labeled):
     idf = IDF(inputCol="tf", outputCol="features").fit(prepared)
     model = NaiveBayes().fit(idf.transform(prepared))
 
-    assert ours.classes == list(index.labels)
-    assert ours.priors == pytest.approx(list(model.pi.toArray()))
+    priors = {r["class"]: r["log_prior"] for r in ours.classes.collect()}
+    assert priors == dict(zip(index.labels, map(pytest.approx, model.pi.toArray())))
     theta = model.theta.toArray()
     expected = {
         (name, word): theta[k, j]
@@ -60,16 +62,58 @@ def test_prediction_beyond_the_broadcast_limit(monkeypatch, labeled):
     model = bayes.fit_word_bayes(labeled, "sentiment_category")
     small = bayes.predict(model, labeled, ["id"]).collect()
     monkeypatch.setattr(lookup, "HOT_KEYS", 20)
-    monkeypatch.setattr(lookup.lookup, "__defaults__", (64, None, 0))
-    large = bayes.predict(model, labeled, ["id"]).collect()
+    large = bayes.predict(model, labeled, ["id"], broadcast_bytes=0).collect()
     scores = lambda rows: {r["id"]: (r["prediction"], pytest.approx(r["log_score"])) for r in rows}
     assert {r["id"]: (r["prediction"], r["log_score"]) for r in large} == scores(small)
 
 
-def test_class_column_is_checked(monkeypatch, labeled):
-    monkeypatch.setattr(bayes, "MAX_CLASSES", 2)
-    with pytest.raises(ValueError, match="more than 2 classes"):
-        bayes.fit_word_bayes(labeled, "sentiment_category")
+def plain_bayes(rows, texts):
+    """Scores of each text in each class, straight from the formula."""
+    sizes, docs, tokens = Counter(name for _, name in rows), Counter(), defaultdict(Counter)
+    for value, name in rows:
+        docs.update(set(value.split()))
+        tokens[name].update(value.split())
+    idf = {w: log((len(rows) + 1) / (n + 1)) for w, n in docs.items()}
+    total = {k: sum(idf[w] * n for w, n in tokens[k].items()) + len(idf) for k in sizes}
+    for value in texts:
+        known = [w for w in value.split() if w in idf]
+        yield {
+            k: log(n + 1) - log(len(rows) + len(sizes)) + sum(idf[w] * (log(tokens[k][w] * idf[w] + 1) - log(total[k])) for w in known)
+            for k, n in sizes.items()
+        }, sizes
+
+
+@pytest.mark.parametrize("per_row", [1_000, 50])
+def test_a_thousand_classes(spark, monkeypatch, per_row):
+    monkeypatch.setattr(bayes, "CLASSES_PER_ROW", per_row)
+    rng = Random(7)
+    vocabulary = [f"v{i}" for i in range(300)]
+    names = [f"c{i}" for i in range(1_001)]
+    rows = [(" ".join(rng.choices(vocabulary, k=rng.randint(0, 12))), name) for name in names for _ in range(1 + rng.randrange(30) // 28 * 9)]
+    rows += [("", "plain")] * 40 + [("v1 v2", "often")] * 30
+    train = spark.createDataFrame([*rows, ("v1", None)], "tweets string, label string")
+    texts = [" ".join(rng.choices(vocabulary + ["unknown"], k=n)) for n in (0, 1, 2, 5, 9, 40, 90) for _ in range(5)]
+    model = bayes.fit_word_bayes(train, "label")
+    assert model.classes.count() == 1_003
+    df = spark.createDataFrame(list(enumerate(texts)), "_class long, tweets string").withColumnRenamed("_class", "id")
+    found = {r["id"]: r for r in bayes.predict(model, df, ["id"]).collect()}
+    for i, (scores, sizes) in enumerate(plain_bayes(rows, texts)):
+        best = max(scores.values())
+        assert found[i]["log_score"] == pytest.approx(best)
+        assert found[i]["prediction"] in [k for k, v in scores.items() if v == pytest.approx(best, abs=1e-9)]
+    assert bayes.parameters(model).count() == 1_003 * model.words.count()
+    assert {found[i]["prediction"] for i in range(5)} == {"plain"}
+
+
+def test_equal_scores_and_no_training_rows(spark):
+    rows = [("a", "y"), ("a", "x"), ("a", "z"), ("a", "z")]
+    train = spark.createDataFrame(rows, "tweets string, label string")
+    model = bayes.fit_word_bayes(train.where("tweets = 'a' and label <> 'z'"), "label")
+    texts = spark.createDataFrame([(1, "a"), (2, "b")], "id long, tweets string")
+    assert {r["prediction"] for r in bayes.predict(model, texts, ["id"]).collect()} == {"x"}
+    nothing = bayes.fit_word_bayes(train.limit(0), "label")
+    assert [r["prediction"] for r in bayes.predict(nothing, texts, ["id"]).collect()] == [None, None]
+    assert bayes.parameters(nothing).count() == 0
 
 
 def test_metrics_equal_spark_ml(spark):

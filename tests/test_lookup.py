@@ -22,21 +22,35 @@ def sides(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("known", [False, True])
-def test_split_join_equals_plain_join(monkeypatch, sides, how, known):
+@pytest.mark.parametrize("binary", [False, True])
+def test_split_join_equals_plain_join(monkeypatch, sides, how, binary):
     monkeypatch.setattr(module, "HOT_KEYS", 10)
-    facts, table = sides
-    counts = facts.groupBy("key").agg(F.count("*").alias("facts")) if known else None
-    found = lookup(facts, table, "key", how, counts=counts, broadcast_bytes=0)
+    facts, table = (side.withColumn("key", F.col("key").cast("binary")) if binary else side for side in sides)
+    found = lookup(facts, table, "key", how, broadcast_bytes=0)
     expected = facts.join(table, "key", how)
     assert found.exceptAll(expected).count() == 0 == expected.exceptAll(found).count()
 
 
-def test_hot_keys_are_not_shuffled(monkeypatch, sides):
+def test_hot_keys_are_found_by_the_sketch(monkeypatch, sides):
     monkeypatch.setattr(module, "HOT_KEYS", 10)
     facts, _ = sides
-    counts = facts.groupBy("key").agg(F.count("*").alias("facts")).where("key is not null")
-    assert [r["key"] for r in module.hot_keys(counts, "key", 3_000).collect()] == ["hot"]
+    assert [r["key"] for r in module.hot_keys(facts, "key").collect()] == ["hot"]
+    assert module.hot_keys(facts.limit(0), "key").count() == 0
+
+
+def rows_per_task(facts, key, tasks):
+    placed = facts.repartition(tasks, key).groupBy(F.spark_partition_id()).count()
+    return sorted(r["count"] for r in placed.collect())
+
+
+def test_no_task_reads_a_key_that_every_row_group_holds(spark):
+    """Each text holds one word that the table does not know; without the sketch it fills one task."""
+    words = F.array(F.lit("unknown"), *[F.concat(F.lit("w"), F.pmod(F.xxhash64("id", F.lit(i)), F.lit(40_000))) for i in range(3)])
+    facts = spark.range(60_000).select("id", F.explode(words).alias("key"))
+    plain = rows_per_task(facts, "key", 16)
+    assert plain[-1] > 4 * plain[8]
+    spread = rows_per_task(module.cold_rows(facts, "key", module.hot_keys(facts, "key")), "key", 16)
+    assert spread[-1] < 2 * spread[8]
 
 
 def test_small_table_is_broadcast(sides):
