@@ -7,8 +7,9 @@ word or before its intensifier turns the contribution around and halves it. No h
 
 from __future__ import annotations
 
-from collections import defaultdict
+import json
 from collections.abc import Iterable, Mapping
+from zlib import crc32
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -47,15 +48,31 @@ def by_word(table: Iterable[tuple[float, str]]) -> dict[str, float]:
     return {word: value for value, words in table for word in words.split()}
 
 
-def choose(word: Column, values: Mapping[str, float]) -> Column:
-    """The value of ``word``, else null: one hash-set test per distinct value."""
-    groups = defaultdict(list)
-    for entry, value in values.items():
-        groups[value].append(entry)
-    branches = F
-    for value, entries in groups.items():
-        branches = branches.when(word.isin(entries), F.lit(float(value)))
-    return F.lit(None).cast("double") if branches is F else branches
+class WordTable:
+    """Polarities and intensities of words as one literal of the plan, looked up in the row.
+
+    Spark searches a map entry by entry, so the words lie in many small maps, found by a hash of the word: a lookup
+    costs the same for any number of words and of different values. Every mention of the table is folded to a literal.
+    """
+
+    ENTRIES = 4
+    SCHEMA = "array<map<string, struct<polarity: double, intensity: double>>>"
+
+    def __init__(self, polarities: Mapping[str, float], intensities: Mapping[str, float]) -> None:
+        words = dict.fromkeys([*polarities, *intensities])
+        self.has_intensities = bool(intensities)
+        self.buckets = max(1, len(words) // self.ENTRIES)
+        maps: list[dict] = [{} for _ in range(self.buckets)]
+        for word in words:
+            entry = {"polarity": polarities.get(word), "intensity": intensities.get(word)}
+            maps[crc32(word.encode()) % self.buckets][word] = entry
+        self.json = json.dumps(maps)
+
+    def find(self, word: Column) -> Column:
+        """The entry of ``word``, else null."""
+        table = F.from_json(F.lit(self.json), self.SCHEMA)
+        bucket = (F.crc32(word.cast("binary")) % self.buckets).cast("int")
+        return F.try_element_at(F.get(table, bucket), word)
 
 
 def contribution(polarity: Column, boost: Column, negated: Column) -> Column:
@@ -73,27 +90,17 @@ def is_negated(before: Column, before_that: Column, boost: Column, negators: lis
     return F.coalesce(before.isin(negators) | skipped, F.lit(False))
 
 
-def contributions(
-    words: str,
-    polarities: Mapping[str, float],
-    intensities: Mapping[str, float],
-    negators: Iterable[str],
-) -> Column:
+def contributions(words: str, table: WordTable, negators: Iterable[str]) -> Column:
     """Contributions of the lexicon words in the array column named ``words``."""
     negators = list(negators)
-    entries = list(polarities)
-    if not intensities and not negators:
-        hits = F.filter(F.col(words), lambda word: word.isin(entries))
-        return F.transform(hits, lambda word: choose(word, polarities))
 
     def weigh(word: Column, position: Column) -> Column:
+        polarity = table.find(word)["polarity"]
         before = F.get(F.col(words), position - 1)
         before_that = F.get(F.col(words), position - 2)
-        boost = choose(before, intensities)
+        boost = table.find(before)["intensity"] if table.has_intensities else F.lit(None).cast("double")
         negated = is_negated(before, before_that, boost, negators)
-        return F.when(
-            word.isin(entries), contribution(choose(word, polarities), boost, negated)
-        )
+        return F.when(polarity.isNotNull(), contribution(polarity, boost, negated))
 
     return F.filter(F.transform(F.col(words), weigh), lambda value: value.isNotNull())
 

@@ -45,17 +45,17 @@ def lexicon_table(spark):
     return spark.createDataFrame(rows, "word string, polarity double, intensity double")
 
 
-@pytest.mark.parametrize("inline_words", [5_000, 0])
-def test_table_scores(spark, cases, inline_words):
+@pytest.mark.parametrize("literal_bytes", [5_000, 0])
+def test_table_scores(spark, cases, literal_bytes):
     found = scores(
-        labeling.add_polarity(cases, "tweets", lexicon_table(spark), ["not"], inline_words)
+        labeling.add_polarity(cases, "tweets", lexicon_table(spark), ["not"], literal_bytes)
     )
     assert found == {value: pytest.approx(score) for value, score in CASES}
 
 
 def test_join_keeps_equal_rows_and_other_columns(spark, texts):
     df = texts(["good", "good", None, "x"], "tweets").withColumn("n", F.lit(1))
-    joined = labeling.add_polarity(df, "tweets", lexicon_table(spark), (), inline_words=0)
+    joined = labeling.add_polarity(df, "tweets", lexicon_table(spark), (), literal_bytes=0)
     assert joined.columns == ["tweets", "n", "sentiment_score"]
     assert joined.count() == 4 and joined.where("sentiment_score = 0.7").count() == 2
 
@@ -70,18 +70,64 @@ def test_mapping_of_any_variety(texts, values):
         "x": 0.0,
     }
     assert scores(df) == expected
-    inline = "Join" not in physical_plan(df)
-    assert inline == (values <= labeling.INLINE_VALUES)
+    assert "Join" not in physical_plan(df)
 
 
-@pytest.mark.parametrize("inline_words", [5_000, 0])
-def test_word_order_does_not_decide_the_class(spark, texts, inline_words):
+MANY = {f"w{i}é": (i % 201 - 100) / 100 for i in range(5_001)}  # 5,001 words, 201 values
+
+
+def many_texts():
+    return [f"w{i}é w{(i * 7) % 6000}é other" for i in range(0, 6_000, 13)] + ["", None, "not w7é"]
+
+
+def many_scores():
+    found = {}
+    for value in many_texts():
+        hits = [MANY[w] for w in (value or "").split() if w in MANY]
+        found[value] = None if value is None else pytest.approx(sum(hits) / len(hits)) if hits else 0.0
+    found["not w7é"] = pytest.approx(MANY["w7é"] * -0.5)
+    return found
+
+
+@pytest.mark.parametrize("scored_before", [False, True])
+@pytest.mark.parametrize("how", ["literal", "joined", "table", "stream"])
+def test_any_lexicon_scores_batches_and_streams_alike(spark, texts, tmp_path, how, scored_before):
+    df = texts(many_texts(), "tweets").withColumns({"_words": F.lit("kept"), "_hits": F.lit(1), "_text_id": F.lit(2)})
+    if scored_before:
+        df = df.withColumn("sentiment_score", F.lit(9.0))
+    lexicon = MANY
+    if how in ("table", "stream"):
+        lexicon = spark.createDataFrame([*MANY.items(), (None, 1.0)], "word string, polarity double")
+    if how == "stream":
+        df.write.parquet(str(tmp_path / "in"))
+        df = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    scored = labeling.add_polarity(df, "tweets", lexicon, ["not"], 0 if how in ("joined", "stream") else labeling.LITERAL_BYTES)
+    if how == "stream":
+        run = scored.writeStream.format("memory").queryName(f"many{int(scored_before)}").trigger(availableNow=True).start()
+        run.awaitTermination()
+        scored = spark.table(f"many{int(scored_before)}")
+    assert scores(scored) == many_scores()
+    assert sorted(scored.columns) == sorted({*df.columns, "sentiment_score"})
+    assert scored.where("_words = 'kept' and _hits = 1 and _text_id = 2").count() == len(many_texts())
+
+
+def test_every_join_may_be_shuffled(spark, cases):
+    found = labeling.score_by_join(cases, "tweets", lexicon_table(spark), ["not"], broadcast_bytes=0)
+    assert scores(found) == {value: pytest.approx(score) for value, score in CASES}
+
+
+def test_empty_lexicon(texts):
+    assert scores(labeling.add_polarity(texts(["good", None], "tweets"), "tweets", {})) == {"good": 0.0, None: None}
+
+
+@pytest.mark.parametrize("literal_bytes", [5_000, 0])
+def test_word_order_does_not_decide_the_class(spark, texts, literal_bytes):
     """The mean is -0.5 whatever the order; added up in floating point it is so in some orders only."""
     table = spark.createDataFrame(
         [("p", -0.7), ("q", -0.9), ("r", 0.1)], "word string, polarity double"
     )
     df = texts([" ".join(o) for o in permutations("pqr")], "tweets")
-    scored = labeling.add_polarity(df, "tweets", table, (), inline_words)
+    scored = labeling.add_polarity(df, "tweets", table, (), literal_bytes)
     category = polarity.sentiment_category("sentiment_score")
     assert {tuple(r) for r in scored.select("sentiment_score", category).collect()} == {(-0.5, "Neutral")}
 
