@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import IDF, HashingTF, IndexToString, StringIndexer, Tokenizer
+from pyspark.ml.feature import IndexToString
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from moodloom.functions import rules
-from moodloom.operators.features import split_by_content
+from moodloom.operators.features import bucket_weights, class_index, split_by_content, word_buckets, word_split
 from moodloom.operators.labeling import CATEGORY
 from moodloom.operators.metrics import classification_metrics, confusion
 from moodloom.sources.readers import TEXT
@@ -18,14 +19,10 @@ from moodloom.sources.staging import stage
 def sentiment_classifier(num_features: int = rules.HASHED_FEATURES) -> Pipeline:
     """ML-6: class index, words, hashed TF-IDF and Naive Bayes as one estimator.
 
-    Index and document frequencies are thus learnt from the rows it is fitted on alone.
+    Index and document frequencies are thus learnt from the rows it is fitted on alone; those without a class are left out.
     """
-    index = StringIndexer(inputCol=CATEGORY, outputCol="label")
-    words = Tokenizer(inputCol=TEXT, outputCol="words")
-    counts = HashingTF(numFeatures=num_features).setInputCol("words").setOutputCol("raw_features")
-    weights = IDF(inputCol=counts.getOutputCol(), outputCol="features")
-    bayes = NaiveBayes(labelCol=index.getOutputCol(), featuresCol=weights.getOutputCol())
-    return Pipeline().setStages([index, words, counts, weights, bayes])
+    stages = [class_index(CATEGORY), word_split(), word_buckets(num_features), bucket_weights(), NaiveBayes()]
+    return Pipeline(stages=stages)
 
 
 def score_texts(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -58,10 +55,10 @@ def train_and_evaluate(
 ) -> tuple[PipelineModel, dict[str, float]]:
     """CMP-4: the fitted model and its metrics on the held-out rows.
 
-    The rows are written once, unless ``df`` is a ``staged`` table already; the three fits and the
+    Rows without a class take no part. The others are written once, unless ``df`` is a ``staged`` table already; the three fits and the
     test read that table. The split follows the text unless ``random_split`` asks for Spark's own.
     """
-    rows = df.select(TEXT, CATEGORY)
+    rows = df.select(TEXT, CATEGORY).where(F.col(CATEGORY).isNotNull())
     if not staged:
         rows = stage(rows, "labeled")
     if random_split:

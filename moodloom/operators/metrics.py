@@ -43,3 +43,28 @@ def classification_metrics(confused: DataFrame) -> DataFrame:
         weighted(recall).alias("weightedRecall"),
         weighted(f1).alias("f1"),
     )
+
+
+def agreement(confused: DataFrame) -> DataFrame:
+    """EXT-8: one row with ``rows``, the share that agrees, and Cohen's kappa of two labelings from their pairs.
+
+    Pairs that lack a label are left out; kappa is null where chance alone agrees always, or without rows.
+    """
+    pairs = confused.where(F.col("label").isNotNull() & F.col("prediction").isNotNull())
+    rows, none = F.col("rows"), F.lit(0).cast("long")
+    same = F.when(F.col("label") == F.col("prediction"), rows).otherwise(none)
+    sides = F.array(
+        F.struct(F.col("label").alias("class"), rows.alias("first"), none.alias("second"), same.alias("same")),
+        F.struct(F.col("prediction").alias("class"), none.alias("first"), rows.alias("second"), none.alias("same")),
+    )
+    by_class = pairs.select(F.explode(sides).alias("side")).select("side.*").groupBy("class").agg(
+        *[F.sum(c).alias(c) for c in ("first", "second", "same")]
+    )
+    total = F.sum("first")
+    sums = by_class.agg(
+        F.coalesce(total, none).alias("rows"),
+        F.try_divide(F.sum("same"), total).alias("agreement"),
+        F.try_divide(F.sum(F.col("first").cast("double") * F.col("second")), total.cast("double") * total).alias("chance"),
+    )
+    kappa = F.try_divide(F.col("agreement") - F.col("chance"), 1 - F.col("chance"))
+    return sums.select("rows", "agreement", kappa.alias("kappa"))

@@ -236,6 +236,24 @@ def content_hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned_documents(spark, sf_dir).select("doc_id", part.alias("part"))
 
 
+def quota_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    split = features.quota_split(cleaned_documents(spark, sf_dir, "lang"), "lang", ["doc_id"])
+    return split.select("doc_id", "lang", "in_train")
+
+
+def balanced_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features.balanced(cleaned_documents(spark, sf_dir, "lang"), "lang").select("doc_id", "lang")
+
+
+def label_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negative polarity beside the hand label of toxic texts."""
+    scored = labeling.add_polarity(cleaned_documents(spark, sf_dir), TEXT, LEXICON, ())
+    negative = F.when(F.col("sentiment_score") < -SOFT_THRESHOLD, 1).otherwise(0)
+    pairs = scored.select("doc_id", negative.alias("label")).join(table(spark, sf_dir, "labels", "doc_id", "toxic"), "doc_id")
+    found = metrics.agreement(metrics.confusion(pairs, "label", "toxic"))
+    return found.select("rows", rounded("agreement"), rounded("kappa"))
+
+
 def language_bayes(
     spark: SparkSession, sf_dir: str
 ) -> tuple[bayes.WordBayes, DataFrame]:
@@ -270,7 +288,8 @@ def classifier_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
     confused = metrics.confusion(
         classifier_predict(spark, sf_dir), "sentiment_category", "predicted_category"
     )
-    return metrics.classification_metrics(confused)
+    found = metrics.classification_metrics(confused)
+    return found.select(*[rounded(name) for name in rules.METRICS])
 
 
 def classifier_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -319,6 +338,9 @@ QUERIES: dict[str, Query] = {
     "idf_weights": idf_weights,
     "tfidf": tfidf,
     "content_hash_split": content_hash_split,
+    "quota_split": quota_split,
+    "balanced_rows": balanced_rows,
+    "label_agreement": label_agreement,
     "nb_parameters": nb_parameters,
     "nb_predict": nb_predict,
     "classifier_predict": classifier_predict,

@@ -7,7 +7,7 @@ the vertical tab, so the class is written out. ``+ 0.0`` turns the -0.0 of DuckD
 
 from __future__ import annotations
 
-from moodloom.functions import rules
+from moodloom.functions import hashing, rules
 from moodloom.plans.catalog import INTENSITIES, LEXICON, NEGATORS, SOFT_THRESHOLD
 
 SPACE = r" \t\n\x0B\f\r"
@@ -124,7 +124,8 @@ idf as (
            ln(((select count(*) from docs) + 1.0) / (count(*) + 1)) as idf
     from tf group by word)"""
 
-PART = "('0x' || substr(md5('42:' || tweets), 1, 8))::ubigint % 10000 < 7000"
+HASH = "('0x' || substr(md5('42:' || tweets), 1, 15))::ubigint"
+PART = f"coalesce({HASH} < {round(rules.TRAIN_RATIO * (1 << 60))}, false)"
 
 BAYES = f"""{DOCS},
 train as (select * from docs where {PART}),
@@ -149,6 +150,84 @@ theta as (
     from classes c cross join idf i join sums t on t.lang = c.lang
     left join weights w on w.lang = c.lang and w.word = i.word)"""
 
+
+
+def let(name: str, value: str, body: str) -> str:
+    return f"list_transform([{value}], lambda {name}: {body})[1]"
+
+
+def murmur3(word: str) -> str:
+    """The hash as an unsigned 32-bit number in a ubigint."""
+    number = lambda digits: (
+        f"coalesce(('0x' || nullif({' || '.join(f'substr({digits}, {at}, 2)' for at in (7, 5, 3, 1))}, ''))::ubigint, 0::ubigint)"
+    )
+    times = lambda x, factor: f"((({x}) * {factor}::ubigint) & 4294967295::ubigint)"
+    turned = lambda x, n: let("t", x, f"(((t << {n}) & 4294967295::ubigint) | (t >> {32 - n}))")
+    mixed = lambda k: times(turned(times(k, hashing.BLOCK[0]), 15), hashing.BLOCK[1])
+    folded = lambda x, n: let("f", x, f"xor(f, f >> {n})")
+    blocks = f"list_transform(range(0, strlen({word}) // 4), lambda i: {number('substr(hex(' + word + '), (8 * i + 1)::int, 8)')})"
+    added = f"((({turned(f'xor(h, {mixed(chr(107))})', 13)}) * 5::ubigint + {hashing.ADDED}::ubigint) & 4294967295::ubigint)"
+    body = f"list_reduce(list_prepend({hashing.SEED}::ubigint, {blocks}), lambda h, k: {added})"
+    tail = number(f"substr(hex({word}), (strlen({word}) // 4 * 8 + 1)::int, 8)")
+    ended = f"xor(xor({body}, {mixed(tail)}), strlen({word})::ubigint)"
+    return folded(times(folded(times(folded(ended, 16), hashing.END[0]), 13), hashing.END[1]), 16)
+
+
+SIGNED = "(case when hash > 2147483647 then hash::bigint - 4294967296 else hash::bigint end)"
+
+
+def hashed(source: str, row_id: str, features: int = rules.HASHED_FEATURES) -> str:
+    """Terms per bucket; words lie between single spaces, and an empty text is one empty word."""
+    return f"""word_of as (select {row_id}, unnest(string_split(tweets, ' ')) as word from {source}),
+bucket_of as (
+    select word, (({SIGNED} % {features}) + {features}) % {features} as bucket
+    from (select word, {murmur3('word')} as hash from (select distinct word from word_of))),
+hashed as (
+    select {row_id}, bucket, count(*)::double as tf from word_of join bucket_of using (word) group by all)"""
+
+
+HASHED_BAYES = f"""with {LABELED},
+texts as (select row_number() over () as r, tweets, sentiment_category, {PART} as is_train from labeled),
+{hashed('texts', 'r')},
+train as (select * from texts where is_train),
+weight as (
+    select bucket, ln(((select count(*) from train) + 1.0) / (coalesce(docs, 0) + 1)) as idf
+    from (select unnest(range({rules.HASHED_FEATURES})) as bucket)
+    left join (select bucket, count(*) as docs from hashed semi join train using (r) group by bucket) using (bucket)),
+class as (
+    select sentiment_category as name, row_number() over (order by count(*) desc, sentiment_category) as place,
+           ln(count(*) + 1.0) - ln((select count(*) + count(distinct sentiment_category) from train)) as prior
+    from train group by sentiment_category),
+summed as (
+    select sentiment_category as name, bucket, sum(tf * idf) as s
+    from hashed join train using (r) join weight using (bucket) group by all),
+theta as (
+    select c.name, w.bucket, w.idf, ln(coalesce(s.s, 0) + 1.0) - ln(t.total) as log_prob
+    from class c cross join weight w
+    join (select name, sum(s) + {rules.HASHED_FEATURES} as total from summed group by name) t on t.name = c.name
+    left join summed s on s.name = c.name and s.bucket = w.bucket),
+score as (
+    select h.r, c.name, c.place, any_value(c.prior) + sum(h.tf * t.idf * t.log_prob) as score
+    from hashed h join theta t on t.bucket = h.bucket join class c on c.name = t.name
+    anti join train on train.r = h.r group by all),
+predicted as (
+    select x.tweets, x.sentiment_category, s.name as predicted_category
+    from texts x join score s using (r)
+    qualify row_number() over (partition by r order by score desc, place) = 1)"""
+
+
+def measured(pairs: str, label: str, prediction: str) -> str:
+    """The four metrics of the pairs in a table."""
+    return f"""p as (select {label} as label, {prediction} as prediction from {pairs}),
+k as (select label as class, count(*) as actual, count(*) filter (label = prediction) as hits from p group by label),
+c as (select prediction as class, count(*) as claimed from p group by prediction)
+select round(sum(hits) / sum(actual), 6) as accuracy,
+       round(sum(actual * coalesce(hits / claimed, 0)) / sum(actual), 6) as "weightedPrecision",
+       round(sum(actual * (hits / actual)) / sum(actual), 6) as "weightedRecall",
+       round(sum(actual * 2.0 * hits / (actual + coalesce(claimed, 0))) / sum(actual), 6) as f1
+from k left join c using (class)"""
+
+
 ORACLES: dict[str, str] = {
     "read_csv_roundtrip": "select doc_id, text, lang, source, n_chars from documents",
     "read_json_roundtrip": "select doc_id, text, lang, source, n_chars from documents",
@@ -195,6 +274,9 @@ ORACLES: dict[str, str] = {
     "tokenize": f"""select doc_id, len(w) as n_words, array_to_string(w, '|') as words
         from (select doc_id, regexp_split_to_array(lower(text), '[{SPACE}]') as w from documents)""",
     "term_frequency": f"with {TOKENS} select doc_id, word, tf from tf",
+    "hashed_tf": f"with {DOCS}, {hashed('docs', 'doc_id')} select doc_id, bucket::integer as bucket, tf from hashed",
+    "classifier_predict": f"{HASHED_BAYES} select * from predicted",
+    "classifier_evaluate": f"{HASHED_BAYES}, {measured('predicted', 'sentiment_category', 'predicted_category')}",
     "hashed_tf_totals": f"""with {DOCS}
         select doc_id, greatest(len({words('tweets')}), 1) as terms from docs""",
     "idf_weights": f"with {TOKENS} select word, docs, round(idf, 6) as idf from idf",
@@ -202,6 +284,20 @@ ORACLES: dict[str, str] = {
         select doc_id, word, round(tf * idf, 6) as tfidf from tf join idf using (word)""",
     "content_hash_split": f"""with {DOCS}
         select doc_id, case when {PART} then 'train' else 'test' end as part from docs""",
+    "quota_split": f"""with {DOCS}
+        select doc_id, lang, row_number() over (partition by lang order by {HASH}, doc_id)
+            <= round(count(*) over (partition by lang) * {rules.TRAIN_RATIO}::double) as in_train from docs""",
+    "balanced_rows": f"""with {DOCS},
+        size as (select lang, count(*) as n from docs group by lang)
+        select doc_id, lang from docs join size using (lang)
+        where {HASH} < floor((select min(n) from size)::double / n * {1 << 60}::double)""",
+    "label_agreement": f"""with {SCORED_DOCS},
+        pair as (
+            select case when score < {-SOFT_THRESHOLD} then 1 else 0 end as a, toxic as b
+            from scored join labels using (doc_id) where toxic is not null),
+        sums as (select count(*) as n, avg((a = b)::int) as agreed, avg(a) as pa, avg(b) as pb from pair)
+        select n as rows, round(agreed, 6) as agreement,
+            round((agreed - (pa * pb + (1 - pa) * (1 - pb))) / (1 - (pa * pb + (1 - pa) * (1 - pb))), 6) as kappa from sums""",
     "nb_parameters": f"""with {BAYES}
         select lang, round(log_prior, 6) as log_prior, word, round(log_prob, 6) as log_prob
         from theta""",
@@ -219,15 +315,5 @@ ORACLES: dict[str, str] = {
         select doc_id, truth as lang, arg_max(lang, score) as prediction,
                round(max(score), 3) as log_score
         from scores group by doc_id, truth""",
-    "classifier_metrics": f"""with {SCORED_DOCS},
-        p as (select {category('score')} as label,
-                     {category('score', SOFT_THRESHOLD)} as prediction from scored),
-        k as (select label as class, count(*) as actual,
-                     count(*) filter (label = prediction) as hits from p group by label),
-        c as (select prediction as class, count(*) as claimed from p group by prediction)
-        select round(sum(hits) / sum(actual), 6) as accuracy,
-               round(sum(actual * coalesce(hits / claimed, 0)) / sum(actual), 6) as "weightedPrecision",
-               round(sum(actual * (hits / actual)) / sum(actual), 6) as "weightedRecall",
-               round(sum(actual * 2.0 * hits / (actual + coalesce(claimed, 0))) / sum(actual), 6) as f1
-        from k left join c using (class)""",
+    "classifier_metrics": f"with {SCORED_DOCS}, {measured('scored', category('score'), category('score', SOFT_THRESHOLD))}",
 }
