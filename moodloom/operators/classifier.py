@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import NaiveBayes
+from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.feature import IndexToString
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,10 +11,15 @@ from pyspark.sql import functions as F
 from moodloom.functions import rules
 from moodloom.operators.features import bucket_weights, class_index, split_by_content, word_buckets, word_split
 from moodloom.operators.labeling import CATEGORY
+from moodloom.operators.lookup import lookup
 from moodloom.operators.metrics import classification_metrics, confusion
 from moodloom.sources.readers import TEXT
 from moodloom.sources.staging import stage
 
+WEIGHT = "class_weight"
+# Ridge of the logistic regression.
+RIDGE = 0.01
+
 
 def sentiment_classifier(num_features: int = rules.HASHED_FEATURES) -> Pipeline:
     """ML-6: class index, words, hashed TF-IDF and Naive Bayes as one estimator.
@@ -25,6 +30,35 @@ def sentiment_classifier(num_features: int = rules.HASHED_FEATURES) -> Pipeline:
     return Pipeline(stages=stages)
 
 
+def logistic_classifier(num_features: int = rules.HASHED_FEATURES) -> Pipeline:
+    """EXT-7: multinomial logistic regression on the features of ML-6, each class with the same total weight.
+
+    The rows need ``class_weight``, as ``with_class_weight`` adds it. Gradients are summed by task.
+    """
+    logistic = LogisticRegression(weightCol=WEIGHT, regParam=RIDGE, family="multinomial")
+    return Pipeline(stages=[class_index(CATEGORY), word_split(), word_buckets(num_features), bucket_weights(), logistic])
+
+
+def with_class_weight(df: DataFrame) -> DataFrame:
+    """``df`` with ``class_weight``: all rows over the rows of the class and the number of classes; rows without a class go."""
+    sizes = df.where(F.col(CATEGORY).isNotNull()).groupBy(CATEGORY).agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = stage(sizes, "class-sizes")
+    all_rows = sizes.agg(F.sum("_rows").alias("rows"), F.count(F.lit(1)).alias("classes")).first()
+    weights = sizes.select(CATEGORY, (F.lit(all_rows["rows"] or 0) / F.col("_rows") / all_rows["classes"]).alias(WEIGHT))
+    return lookup(df, weights, CATEGORY, "inner")
+
+
+def compare_classifiers(df: DataFrame, num_features: int = rules.HASHED_FEATURES) -> dict[str, dict[str, float]]:
+    """EXT-7: the four metrics of Naive Bayes and of weighted logistic regression on one split by content."""
+    rows = stage(df.select(TEXT, CATEGORY).where(F.col(CATEGORY).isNotNull()), "labeled")
+    train, test = split_by_content(rows)
+    models = {
+        "naive_bayes": sentiment_classifier(num_features).fit(train),
+        "logistic": logistic_classifier(num_features).fit(with_class_weight(train)),
+    }
+    return {name: metrics_of(score_texts(model, test)) for name, model in models.items()}
+
+
 def score_texts(model: PipelineModel, df: DataFrame) -> DataFrame:
     """ML-8: add ``prediction`` and ``predicted_category`` to texts in ``tweets``.
 

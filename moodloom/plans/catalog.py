@@ -75,6 +75,29 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_csv(spark, path, documents.schema)
 
 
+def csv_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four folders of one path and a list: other orders of columns, another column, and no ``lang``."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    path = staging_path(spark, "headers")
+    for part, columns in enumerate((["doc_id", "text", "lang"], ["lang", "text", "doc_id"], ["text", "source", "doc_id", "lang"], ["text", "doc_id"])):
+        sinks.write_labeled(documents.where(F.col("doc_id") % 4 == part).select(*columns), f"{path}/{part}", "csv")
+    read = readers.read_csv(spark, [f"{path}/[0-2]", f"{path}/3"])
+    return read.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source")
+
+
+def plain_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    path = staging_path(spark, "documents-plain")
+    sinks.write_plain_csv(documents, path)
+    read = spark.read.schema(documents.schema).option("multiLine", True).option("escape", '"')
+    return read.csv(path)
+
+
+def read_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A glob and a plain path in one list."""
+    return readers.read_text(spark, [f"{sf_dir}/convers*.parquet", f"{sf_dir}/benchmark.parquet"], "parquet")
+
+
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     path = staging_path(spark, "documents-json")
@@ -292,6 +315,13 @@ def classifier_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(*[rounded(name) for name in rules.METRICS])
 
 
+def classifier_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Naive Bayes beside weighted logistic regression, on the weak labels of the whole corpus and one split."""
+    found = classifier.compare_classifiers(labeled_corpus(spark, sf_dir))
+    rows = [(name, *[values[m] for m in rules.METRICS]) for name, values in found.items()]
+    return spark.createDataFrame(rows, "classifier string, " + ", ".join(f"{m} double" for m in rules.METRICS))
+
+
 def classifier_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The default thresholds as truth, softer ones as prediction."""
     scored = labeling.add_polarity(cleaned_documents(spark, sf_dir), TEXT, LEXICON, ())
@@ -308,6 +338,9 @@ def classifier_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "read_csv_roundtrip": csv_roundtrip,
     "read_json_roundtrip": json_roundtrip,
+    "read_csv_headers": csv_headers,
+    "plain_csv_roundtrip": plain_csv_roundtrip,
+    "read_paths": read_paths,
     "union_sources": union_sources,
     "rename_columns": rename_columns,
     "drop_null_text": drop_null_text,
@@ -345,5 +378,6 @@ QUERIES: dict[str, Query] = {
     "nb_predict": nb_predict,
     "classifier_predict": classifier_predict,
     "classifier_evaluate": classifier_evaluate,
+    "classifier_comparison": classifier_comparison,
     "classifier_metrics": classifier_metrics,
 }

@@ -18,8 +18,8 @@ from moodloom.operators.classifier import train_and_evaluate
 from moodloom.operators.cleaning import clean_tweets
 from moodloom.operators.explore import cleaning_funnel, sentiment_distribution, top_keywords
 from moodloom.operators.labeling import label_sentiment
-from moodloom.sources.readers import TEXT, input_bytes, merge_sources, read_text
-from moodloom.sources.sinks import metric_lines, preview, write_labeled
+from moodloom.sources.readers import TEXT, input_bytes, merge_sources, read_source, read_text
+from moodloom.sources.sinks import metric_lines, preview, write_labeled, write_plain_csv
 from moodloom.sources.staging import stage
 
 # Input per partition: small enough to aggregate in memory next to other tasks.
@@ -45,27 +45,37 @@ def parser() -> argparse.ArgumentParser:
         action="store_true",
         help="no CSV field has a line feed, so that large files may be split",
     )
-    job.add_argument("--lexicon", help="Parquet table: word, polarity and/or intensity")
+    job.add_argument(
+        "--same-header",
+        action="store_true",
+        help="CSV files under one path share their header, so that not every file is looked at first",
+    )
+    job.add_argument("--lexicon", help="Parquet table: word, polarity and/or intensity; the built-in one has about 70 English words, which leave most texts Neutral")
     job.add_argument("--positive-threshold", type=float, default=rules.POSITIVE_ABOVE)
     job.add_argument("--negative-threshold", type=float, default=rules.NEGATIVE_BELOW)
     job.add_argument("--output", help="where to write the labeled texts, replacing what is there")
     job.add_argument("--output-format", choices=("csv", "parquet"), default="csv")
+    job.add_argument("--plain-output", help="where to write the labeled texts as CSV without a header, if nothing is there yet")
     job.add_argument("--train", action="store_true", help="fit and evaluate the classifier")
     job.add_argument("--num-features", type=int, default=rules.HASHED_FEATURES)
     job.add_argument("--model-output", help="where to save the fitted classifier")
     job.add_argument("--funnel", action="store_true", help="print the rows per cleaning stage")
     job.add_argument("--keywords", type=int, default=0, metavar="K", help="print the top K keywords")
     job.add_argument("--preview", type=int, default=0, metavar="N", help="print N labeled rows")
-    job.add_argument("--schema", action="store_true", help="print the schema of the labeled texts")
+    job.add_argument("--schema", action="store_true", help="print the schemas of the sources and of the labeled texts")
     return job
 
 
 def read_sources(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     sources = [("csv", args.input, args.text_column)] if args.input else []
-    frames = [
-        read_text(spark, path, fmt, column, multi_line=not args.single_line)
-        for fmt, path, column in [*sources, *args.source]
-    ]
+    frames = []
+    for fmt, path, column in [*sources, *args.source]:
+        if args.schema:
+            print(f"{fmt} {path}:")
+            read_source(spark, path, fmt, multi_line=not args.single_line, per_file=not args.same_header).printSchema()
+        frames.append(
+            read_text(spark, path, fmt, column, multi_line=not args.single_line, per_file=not args.same_header)
+        )
     return merge_sources(*frames)
 
 
@@ -106,6 +116,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, float]:
         preview(top_keywords(labeled, k=args.keywords), args.keywords)
     if args.output and args.output_format == "csv":
         write_labeled(labeled, args.output)
+    if args.plain_output:
+        write_plain_csv(labeled, args.plain_output)
     if not args.train:
         return {}
     model, metrics = train_and_evaluate(labeled, num_features=args.num_features, staged=True)

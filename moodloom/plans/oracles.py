@@ -230,6 +230,10 @@ from k left join c using (class)"""
 
 ORACLES: dict[str, str] = {
     "read_csv_roundtrip": "select doc_id, text, lang, source, n_chars from documents",
+    "read_csv_headers": """select doc_id, text, case when doc_id % 4 < 3 then lang end as lang,
+        case when doc_id % 4 = 2 then source end as source from documents""",
+    "plain_csv_roundtrip": "select doc_id, text, lang, source, n_chars from documents",
+    "read_paths": "select text as tweets from conversations union all select text from benchmark",
     "read_json_roundtrip": "select doc_id, text, lang, source, n_chars from documents",
     "union_sources": """select text as tweets from documents
         union all select text from conversations union all select text from benchmark""",

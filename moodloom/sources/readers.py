@@ -15,25 +15,46 @@ TEXT = "tweets"
 Paths = str | list[str]
 
 
+def listed(path: Paths) -> list[str]:
+    return [path] if isinstance(path, str) else list(path)
+
+
+def files_of(spark: SparkSession, path: Paths) -> list[str]:
+    """SRC-3: the files that paths, folders and globs stand for, in order; their content is not read."""
+    files = spark.read.format("binaryFile").load(listed(path)).select("path")
+    return sorted(row["path"] for row in files.collect())
+
+
 def read_csv(
     spark: SparkSession,
     path: Paths,
     schema: StructType | str | None = None,
     infer_schema: bool = False,
     multi_line: bool = True,
+    per_file: bool = True,
 ) -> DataFrame:
     """SRC-1: CSV with a header row.
 
     Quoted fields keep their line feeds, at the price that one file is read by one task. Where
     no field has a line feed, ``multi_line=False`` lets Spark split large files. Without a schema the
     columns are strings named by the header, which saves the pass that inference needs.
+
+    Headers may differ between files: files with one header are read together, and columns meet by name; one that a file lacks is
+    null there. That takes a look at the first line of each file. ``per_file=False`` looks at one file of each path only; then
+    another header under that path is an error, never a wrong column. A file without any line is left out.
     """
     reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     if schema is not None:
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", infer_schema)
-    return reader.csv(path)
+        return reader.schema(schema).csv(path)
+    checked = reader.option("enforceSchema", False).option("inferSchema", infer_schema)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for one in files_of(spark, path) if per_file else listed(path):
+        groups.setdefault(tuple(reader.csv(one).columns), []).append(one)
+    groups.pop((), None)
+    if not groups:
+        return checked.csv(path)
+    frames = [checked.csv(files) for files in groups.values()]
+    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)
 
 
 def read_json(
@@ -65,23 +86,35 @@ def spread(source: DataFrame) -> DataFrame:
     return source.repartition(cores) if source.rdd.getNumPartitions() < cores else source
 
 
+def read_source(
+    spark: SparkSession,
+    path: Paths,
+    fmt: str = "csv",
+    schema: StructType | None = None,
+    multi_line: bool = True,
+    per_file: bool = True,
+) -> DataFrame:
+    """SRC-4: all columns of a CSV, JSON or Parquet source, whose schema can be looked at; ``schema`` is for JSON alone."""
+    if fmt == "csv":
+        return read_csv(spark, path, multi_line=multi_line, per_file=per_file)
+    if fmt == "json":
+        return read_json(spark, path, schema)
+    if fmt == "parquet":
+        return spark.read.parquet(*listed(path))
+    raise ValueError(f"unknown source format: {fmt}")
+
+
 def read_text(
     spark: SparkSession,
     path: Paths,
     fmt: str = "csv",
     column: str = "text",
     multi_line: bool = True,
+    per_file: bool = True,
 ) -> DataFrame:
     """The text column of a CSV, JSON or Parquet source, as ``tweets``."""
-    if fmt == "csv":
-        source = read_csv(spark, path, multi_line=multi_line)
-    elif fmt == "json":
-        source = read_json(spark, path, StructType([StructField(column, StringType())]))
-    elif fmt == "parquet":
-        source = spark.read.parquet(*([path] if isinstance(path, str) else path))
-    else:
-        raise ValueError(f"unknown source format: {fmt}")
-    return spread(select_text(source, column))
+    schema = StructType([StructField(column, StringType())])
+    return spread(select_text(read_source(spark, path, fmt, schema, multi_line, per_file), column))
 
 
 def merge_sources(*sources: DataFrame) -> DataFrame:

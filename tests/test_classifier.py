@@ -10,6 +10,7 @@ from pyspark.ml.feature import IDF, CountVectorizer, StringIndexer
 
 from moodloom.functions import rules, text
 from moodloom.operators import bayes, classifier, lookup, metrics
+from moodloom.sources import sinks
 
 
 @pytest.fixture(scope="module")
@@ -158,3 +159,37 @@ def test_stages_learn_from_training_rows_alone(labeled):
     assert model.stages[3].numDocs == 100
     assert list(model.stages[0].labels)[0] == "Neutral"
     assert model.stages[2].getNumFeatures() == 50
+
+
+def test_rows_without_a_class_take_no_part(labeled):
+    nameless = labeled.where("id < 20").selectExpr("id", "tweets", "cast(null as string) as sentiment_category")
+    _, expected = classifier.train_and_evaluate(labeled)
+    _, found = classifier.train_and_evaluate(labeled.unionByName(nameless))
+    assert found == pytest.approx(expected)
+    model = classifier.sentiment_classifier(100).fit(labeled.unionByName(nameless))
+    assert model.stages[3].numDocs == 240
+
+
+def test_empty_test_part_gives_no_numbers(labeled):
+    model, found = classifier.train_and_evaluate(labeled, train_ratio=1.0)
+    assert set(found.values()) == {None}
+    assert sinks.metric_lines(found) == [f"{name}: nan" for name in rules.METRICS]
+
+
+def test_weighted_logistic_beside_bayes(labeled):
+    weighted = classifier.with_class_weight(labeled)
+    totals = {r[0]: r[1] for r in weighted.groupBy("sentiment_category").agg({"class_weight": "sum"}).collect()}
+    assert set(map(round, totals.values())) == {80} and weighted.count() == 240
+    found = classifier.compare_classifiers(labeled, 200)
+    assert set(found) == {"naive_bayes", "logistic"}
+    assert found["logistic"]["accuracy"] > 0.8
+
+
+def test_agreement(spark):
+    pairs = [(1, 1)] * 20 + [(1, 0)] * 5 + [(0, 1)] * 10 + [(0, 0)] * 15 + [(None, 1), (0, None)]
+    row = metrics.agreement(metrics.confusion(spark.createDataFrame(pairs, "label int, prediction int"))).first()
+    assert row["rows"] == 50 and row["agreement"] == pytest.approx(0.7) and row["kappa"] == pytest.approx(0.4)
+    none = metrics.agreement(metrics.confusion(spark.createDataFrame([], "label int, prediction int"))).first()
+    assert tuple(none) == (0, None, None)
+    same = spark.createDataFrame([(1, 1)] * 3, "label int, prediction int")
+    assert metrics.agreement(metrics.confusion(same)).first()["kappa"] is None

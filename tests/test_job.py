@@ -1,6 +1,8 @@
 import pytest
+from pyspark.errors import AnalysisException
 
-from moodloom.operators import classifier, labeling
+from moodloom.functions import text
+from moodloom.operators import classifier, cleaning, labeling
 from moodloom.plans import job
 from moodloom.streaming import scoring
 
@@ -97,3 +99,56 @@ def test_stream_without_a_model(spark, texts, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).columns == [
         "tweets", "sentiment_score", "sentiment_category",
     ]
+
+
+def test_sources_are_shown_and_plain_output_is_never_replaced(spark, inputs, capsys):
+    plain = str(inputs / "plain")
+    command = ["--input", str(inputs / "c"), "--source", "json", str(inputs / "j"), "content", "--schema", "--plain-output", plain]
+    job.run(spark, job.parser().parse_args(command))
+    shown = capsys.readouterr().out
+    assert "|-- content: string" in shown and "|-- n: string" in shown
+    assert spark.read.option("multiLine", True).csv(plain).count() == 121
+    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+        job.run(spark, job.parser().parse_args(command))
+
+
+def test_a_later_stream_goes_on_beside_its_data(spark, tmp_path):
+    """Without a named checkpoint no arrived text is lost or written twice."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for text in (["one"], ["two", "three"]):
+        spark.createDataFrame([(t,) for t in text], "text string").write.mode("append").parquet(source)
+        arriving = spark.readStream.schema("text string").parquet(source)
+        scoring.write_stream(scoring.score_stream(arriving), out).awaitTermination()
+    assert sorted(r["tweets"] for r in spark.read.parquet(out).collect()) == ["one", "three", "two"]
+
+
+def test_stream_and_batch_drop_the_same_copies(spark, tmp_path):
+    rows = [
+        (1, "hello world", "10:00"), (2, "RT @a: hello world", "10:01"), (3, "hello world https://t.co/x", "10:02"), (4, None, "10:02"),
+        (5, "hello\nworld", "10:03"), (6, "hello world ", "10:04"), (7, "other", "10:05"), (8, "other", "10:05"),
+    ]
+    source = str(tmp_path / "in")
+    for row in rows:  # one file a row, so that they arrive one by one
+        df = spark.createDataFrame([row], "id long, tweets string, at string").selectExpr("id", "tweets", "timestamp('2024-01-01 ' || at) as at")
+        df.coalesce(1).write.mode("append").parquet(source)
+    arriving = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    out = str(tmp_path / "out")
+    scoring.write_stream(scoring.dedup_stream(arriving, "at", "1 hour"), out).awaitTermination()
+    found = spark.read.parquet(out)
+    assert found.columns == ["id", "tweets", "at"]
+    originals = {r[0] for r in found.select(text.original_text("tweets")).collect()}
+    batch = cleaning.dedup_retweets(cleaning.dedup_exact(spark.createDataFrame([(r[1],) for r in rows if r[1]], "tweets string")))
+    assert originals == {r[0] for r in batch.collect()} and found.count() == batch.count()
+
+
+def test_copies_beyond_the_delay_come_again(spark, tmp_path):
+    source = str(tmp_path / "in")
+    for i, (value, at) in enumerate([("a", "10:00"), ("b", "13:00"), ("b", "13:01"), ("c", "13:02"), ("a", "13:03")]):
+        df = spark.createDataFrame([(i, value, at)], "id long, tweets string, at string")
+        df.selectExpr("id", "tweets", "timestamp('2024-01-01 ' || at) as at").coalesce(1).write.parquet(f"{source}/{i}")
+    schema = "id long, tweets string, at timestamp"
+    for i in range(5):
+        arriving = spark.readStream.schema(schema).parquet(f"{source}/[0-{i}]")
+        scoring.write_stream(scoring.dedup_stream(arriving, "at", "10 minutes"), str(tmp_path / "out")).awaitTermination()
+    found = spark.read.parquet(str(tmp_path / "out")).groupBy("tweets").count().collect()
+    assert {r[0]: r[1] for r in found} == {"a": 2, "b": 1, "c": 1}

@@ -10,7 +10,7 @@ from moodloom.plans.catalog import QUERIES
 from tests.conftest import physical_plan
 
 SF_DIR = Path("/root/testdata/sf0.001")
-ROWS_ONLY = {"hashed_tf", "classifier_predict", "classifier_evaluate"}
+ROWS_ONLY = {"classifier_comparison"}
 
 pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="no test tables here")
 
@@ -45,7 +45,7 @@ def test_query_equals_sql(spark, duck, name):
     assert multiset(df.columns, df.collect()) == multiset(columns, run.fetchall())
 
 
-def test_only_hashed_features_lack_sql():
+def test_only_the_fitted_regression_lacks_sql():
     assert set(QUERIES) - set(oracle_sql()) == ROWS_ONLY
     assert set(oracle_sql()) <= set(queries())
 

@@ -115,3 +115,34 @@ def test_staging_uses_the_shared_folder(spark, texts):
     staged = staging.stage(texts(["a", None]).withColumn("n", F.lit(1)), "unit")
     assert staged.count() == 2 and root in staged.inputFiles()[0]
     assert staging.staging_path(spark, "x") != staging.staging_path(spark, "x")
+
+
+def test_headers_may_differ(spark, tmp_path):
+    for name, content in (("a", 'id,text\n1,one\n2,"two\nlines"\n'), ("b", "text,id\nthree,3\n"), ("c", "text,mood\nfour,calm\n"), ("d", "")):
+        (tmp_path / f"{name}.csv").write_text(content)
+    for paths in (str(tmp_path / "*.csv"), str(tmp_path), [str(tmp_path / "[a-b].csv"), str(tmp_path / "c.csv")]):
+        found = readers.read_csv(spark, paths)
+        assert sorted(found.columns) == ["id", "mood", "text"]
+        rows = {(r["id"], r["text"], r["mood"]) for r in found.collect()}
+        assert rows == {("1", "one", None), ("2", "two\nlines", None), ("3", "three", None), (None, "four", "calm")}
+        assert column(readers.read_text(spark, paths)) == ["four", "one", "three", "two\nlines"]
+
+
+def test_unseen_headers_fail_instead_of_misreading(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,text\n1,one\n")
+    (tmp_path / "b.csv").write_text("text,id\nthree,3\n")
+    one_by_one = readers.read_csv(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], per_file=False)
+    assert {r["text"] for r in one_by_one.collect()} == {"one", "three"}
+    for multi_line in (True, False):
+        with pytest.raises(Exception, match="(?i)header"):
+            readers.read_csv(spark, str(tmp_path), per_file=False, multi_line=multi_line).collect()
+
+
+def test_source_without_rows(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("")
+    assert readers.read_csv(spark, str(tmp_path / "a.csv")).count() == 0
+
+
+def test_schemas_of_sources(spark, tmp_path):
+    spark.createDataFrame([("a", 1)], "content string, n int").write.json(str(tmp_path / "j"))
+    assert readers.read_source(spark, str(tmp_path / "j"), "json").columns == ["content", "n"]
