@@ -74,5 +74,6 @@ def map_arrow(df: DataFrame, work: Callable, schema: str) -> DataFrame:
                 for field, value in ((field, columns[field.name]) for field in target)
             ]
             yield pa.RecordBatch.from_arrays(arrays, schema=target)
+        pa.default_memory_pool().release_unused()  # a worker lives on for other tasks
 
     return df.mapInArrow(run, schema)

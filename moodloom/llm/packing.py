@@ -8,8 +8,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodloom.llm.common import map_arrow, slices, texts_of
+from moodloom.llm.common import if_small, map_arrow, slices, texts_of
 from moodloom.llm.encoder import encoder
+from moodloom.sources.staging import stage
 
 LENGTH = 1024
 # Pieces shorter than a sequence that are packed together.
@@ -117,5 +118,12 @@ def pack_pieces(pieces: DataFrame, length: int = LENGTH, group: int = GROUP_PIEC
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, length: int = LENGTH, **columns) -> DataFrame:
-    """Cut and pack whole documents; each row is a piece with its ids and its place in a sequence."""
-    return pack_pieces(cut_documents(docs, tokenizer, end_id, length, **columns), length)
+    """Cut and pack whole documents; each row is a piece with its ids and its place in a sequence.
+
+    Pieces are written once and placed by their lengths alone; their ids meet the places afterwards, row by row. Null and
+    empty texts are their end id alone; repeated rows and ids are packed one by one; an empty table gives no row.
+    """
+    cut = cut_documents(docs, tokenizer, end_id, length, **columns)
+    pieces = stage(cut.withColumn("_piece", F.monotonically_increasing_id()), "pieces")
+    placed = pack_pieces(pieces.drop("ids"), length).select("_piece", "sequence_id", "offset")
+    return pieces.join(if_small(stage(placed, "places"), 32), "_piece").drop("_piece")
