@@ -57,10 +57,12 @@ def cut_documents(
     length: int = LENGTH,
     id_column: str = "doc_id",
     text_column: str = "text",
+    hold: bool = True,
 ) -> DataFrame:
     """Encode whole texts, append ``end_id``, and cut each into pieces of ``length`` ids and a rest.
 
-    ``ids`` are little-endian unsigned 32-bit integers. A null or empty text is its end id alone.
+    ``ids`` are little-endian unsigned 32-bit integers. A null or empty text is its end id alone. With ``hold`` a worker keeps the
+    words it knows for its next task; else their memory is free for what comes after.
     """
     end = np.array([end_id], "<u4").tobytes()
 
@@ -76,6 +78,8 @@ def cut_documents(
                     for key, value in zip(out, (doc_id, start, len(piece) // 4, total, piece)):
                         out[key].append(value)
             yield out
+        if not hold:
+            encoder.cache_clear()
 
     return map_arrow(texts_of(docs, id_column, text_column), work, PIECES)
 
@@ -123,7 +127,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, length: int = L
     Pieces are written once and placed by their lengths alone; their ids meet the places afterwards, row by row. Null and
     empty texts are their end id alone; repeated rows and ids are packed one by one; an empty table gives no row.
     """
-    cut = cut_documents(docs, tokenizer, end_id, length, **columns)
+    cut = cut_documents(docs, tokenizer, end_id, length, hold=False, **columns)
     pieces = stage(cut.withColumn("_piece", F.monotonically_increasing_id()), "pieces")
     placed = pack_pieces(pieces.drop("ids"), length).select("_piece", "sequence_id", "offset")
     return pieces.join(if_small(stage(placed, "places"), 32), "_piece").drop("_piece")
