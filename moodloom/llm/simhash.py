@@ -393,7 +393,8 @@ def similar_edges(
         if open_buckets.isEmpty():
             return known.where("held").select("a", "b")
         small = if_small(open_buckets, 32)
-        ready, asked = ready.join(small, BUCKET, "left_semi"), asked.join(small, BUCKET, "left_semi")
+        ready = stage(ready.join(small, BUCKET, "left_semi"), "open-rows")  # else each round would repeat the joins before it
+        asked = asked.join(small, BUCKET, "left_semi")
         forests *= MORE_FORESTS
 
 
