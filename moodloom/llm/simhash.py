@@ -28,9 +28,12 @@ SEED = 42
 # Fingerprints compared in one go, and planes between two looks at the counters.
 BLOCK = 16_384
 LOOK = 16
-# A band value with more fingerprints than this is divided by bands of the remaining bits.
+# A band value with more fingerprints than this is divided: of an exact scheme by bands of the remaining bits, else into
+# blocks of half as many, each of which meets each other block in a bucket of its own.
 LARGE_BUCKET = 4_096
-BUCKET = ["band", "key", "sub", "sub_key"]
+# ``part`` is the smallest node of a group that close pairs of the bucket join; -1 until they are known.
+BUCKET = ["band", "key", "sub", "sub_key", "part"]
+BUCKET_TYPES = "band int, key long, sub int, sub_key long, part long"
 # Each round of judged links takes so many times the forests of the round before.
 MORE_FORESTS = 4
 # Odd factors that make further hashes of a hash, for fingerprints of more than 64 bits.
@@ -222,7 +225,8 @@ def bits_key(bits: list[int], names: list[str]):
 def gathered(prints: DataFrame, scheme: Scheme = EXACT) -> DataFrame:
     """The rows of ``prints`` (a ``node`` for each different fingerprint, and its bits) for each bucket they share with others.
 
-    A large bucket of an exact scheme is divided by bands of the other bits, one of which linked pairs share too.
+    A large bucket of an exact scheme is divided by bands of the other bits, one of which linked pairs share too. One of another
+    scheme is cut into blocks, and each two blocks meet in a bucket of at most about ``LARGE_BUCKET`` rows, so no pair is lost.
     """
     names = columns_of(scheme.words)
     all_bits = range(64 * scheme.words)
@@ -234,27 +238,34 @@ def gathered(prints: DataFrame, scheme: Scheme = EXACT) -> DataFrame:
     keyed = keys(prints, ("band", "key"), [(i, scheme.band(i)) for i in range(scheme.bands)])
     sizes = keyed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     shared = keyed.join(if_small(stage(sizes, "buckets"), 64), ["band", "key"])
-    limit = F.lit(LARGE_BUCKET if scheme.exact else (1 << 62))
-    whole = [F.lit(0).alias("sub"), F.lit(0).cast("long").alias("sub_key")]
-    ready = shared.where(F.col("n") <= limit).drop("n").select("*", *whole)
-    for i in range(scheme.bands if scheme.exact else 0):
+    whole, part = [F.lit(0).alias("sub"), F.lit(0).cast("long").alias("sub_key")], F.lit(-1).cast("long").alias("part")
+    ready = shared.where(F.col("n") <= LARGE_BUCKET).drop("n").select("*", *whole)
+    if not scheme.exact:
+        large = shared.where(F.col("n") > LARGE_BUCKET).withColumn("blocks", F.ceil(2 * F.col("n") / LARGE_BUCKET))
+        own = F.pmod(F.xxhash64("node"), "blocks").alias("own")
+        met = large.select("*", own).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+        pair = F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")
+        ready = ready.unionByName(met.select(*prints.columns, "band", "key", F.lit(1).alias("sub"), pair.alias("sub_key")))
+        return ready.select("*", part)
+    for i in range(scheme.bands):
         rest = [b for b in all_bits if b not in scheme.band(i)]
         count = scheme.radius + 1
         parts = [(j + 1, rest[j * len(rest) // count : (j + 1) * len(rest) // count]) for j in range(count)]
-        large = shared.where((F.col("band") == i) & (F.col("n") > limit)).drop("n")
+        large = shared.where((F.col("band") == i) & (F.col("n") > LARGE_BUCKET)).drop("n")
         ready = ready.unionByName(keys(large, ("sub", "sub_key"), parts))
-    return ready
+    return ready.select("*", part)
 
 
 def near_edges(ready: DataFrame, scheme: Scheme = EXACT, judged: DataFrame | None = None, forests: int = 1) -> DataFrame:
     """``a, b``: edges of ``node`` whose components are those of all pairs that meet in a bucket of ``ready`` and are close.
 
-    With ``judged`` (``a, b, held`` and the bucket) each edge is itself a close pair that still needs a judgement, with its bucket: pairs
-    judged there, and those that held pairs join, are passed over. The shortest forest of the others is taken, then the
-    shortest of the rest, ``forests`` times.
+    With ``judged`` (``a, b, held`` and the bucket) each edge is itself a close pair that still needs a judgement, with its bucket and
+    part: pairs judged there, and those that held pairs join, are passed over. The shortest forest of the others is taken, then the
+    shortest of the rest, ``forests`` times. If that leaves pairs of a part untaken, its rows come too, with ``a`` equal to ``b`` and
+    their bits: all that a later look at the part needs, and far less than the buckets.
     """
     names = columns_of(scheme.words)
-    real = judged is not None
+    real, of_bucket, bits = judged is not None, slice(1, len(BUCKET) + 1), len(BUCKET) + 1
     rows = ready.select("node", *BUCKET, *names, F.lit(0).alias("kind"))
     if real:
         links = {"node": F.col("a"), names[0]: F.col("b"), names[1]: F.col("held").cast("long"), "kind": F.lit(1)}
@@ -267,20 +278,23 @@ def near_edges(ready: DataFrame, scheme: Scheme = EXACT, judged: DataFrame | Non
 
         def edges(rows):
             """Of a run of rows; a bucket beyond ``BLOCK`` rows is compared as a whole."""
-            number = np.cumsum(np.concatenate([[0], (rows[1:, 1:5] != rows[:-1, 1:5]).any(axis=1)]))
+            number = np.cumsum(np.concatenate([[0], (rows[1:, of_bucket] != rows[:-1, of_bucket]).any(axis=1)]))
             is_node = rows[:, -1] == 0
             links, link_number = rows[~is_node], number[~is_node]
             rows, number = rows[is_node], number[is_node]
-            prints = np.ascontiguousarray(rows[:, 5:-1]).view("u8")
+            prints = np.ascontiguousarray(rows[:, bits:-1]).view("u8")
             left, right = close_pairs(prints, number, scheme.radius)
             if not real:
                 places, roots = forest(len(rows), left, right)
                 return {"a": rows[places, 0], "b": rows[roots, 0]}
+            part = np.arange(len(rows))
+            places, roots = forest(len(rows), left, right)
+            part[places] = roots
             length = np.bitwise_count(prints[left] ^ prints[right]).sum(axis=1, dtype="i8")
             nodes, compact = np.unique(rows[:, 0], return_inverse=True)
             place_of = number * len(nodes) + compact
-            one, two = (np.searchsorted(place_of, link_number * len(nodes) + np.searchsorted(nodes, links[:, c])) for c in (0, 5))
-            good = links[:, 6] == 1
+            one, two = (np.searchsorted(place_of, link_number * len(nodes) + np.searchsorted(nodes, links[:, c])) for c in (0, bits))
+            good = links[:, bits + 1] == 1
             root = np.arange(len(rows))
             places, roots = forest(len(rows), one[good], two[good])
             root[places] = roots
@@ -293,16 +307,20 @@ def near_edges(ready: DataFrame, scheme: Scheme = EXACT, judged: DataFrame | Non
                 if not len(rest):
                     break
                 taken[rest[shortest_tree(len(rows), root[left[rest]], root[right[rest]], length[rest])]] = True
+            again = np.flatnonzero(np.isin(part, part[left[~taken]]))
             left, right = left[taken], right[taken]
             low, high = np.sort([rows[left, 0], rows[right, 0]], axis=0)
-            return {"a": low, "b": high} | {c: rows[left, i + 1] for i, c in enumerate(BUCKET)}
+            at = np.concatenate([left, again])
+            out = {"a": np.concatenate([low, rows[again, 0]]), "b": np.concatenate([high, rows[again, 0]])}
+            out |= {c: rows[at, i + 1] for i, c in enumerate(BUCKET)} | {"part": rows[part[at], 0]}
+            return out | {n: rows[at, bits + i] for i, n in enumerate(names)}
 
         for batch in batches:
             held.append(np.stack([np.asarray(batch.column(c)).astype("i8") for c in ("node", *BUCKET, *names, "kind")], axis=1))
             if sum(map(len, held)) < BLOCK:
                 continue
             rows = np.concatenate(held)
-            changes = np.flatnonzero((rows[1:, 1:5] != rows[:-1, 1:5]).any(axis=1)) + 1
+            changes = np.flatnonzero((rows[1:, of_bucket] != rows[:-1, of_bucket]).any(axis=1)) + 1
             if len(changes):
                 yield edges(rows[: changes[-1]])
                 held = [rows[changes[-1] :]]
@@ -311,7 +329,7 @@ def near_edges(ready: DataFrame, scheme: Scheme = EXACT, judged: DataFrame | Non
         if held:
             yield edges(np.concatenate(held))
 
-    return map_arrow(in_order, work, "a long, b long" + ", band int, key long, sub int, sub_key long" * real)
+    return map_arrow(in_order, work, "a long, b long" + f", {BUCKET_TYPES}, {' long, '.join(names)} long" * real)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -372,28 +390,33 @@ def similar_edges(
 ) -> DataFrame:
     """``a, b``: edges whose components are those of all pairs that meet in a bucket, are close, and are similar by their texts.
 
-    Links are judged in rounds. A bucket is done when all links it asked for held: they join what its close pairs join. One with a
-    failed link asks again, for the shortest links between what its held links leave apart, ``MORE_FORESTS`` times as many
-    forests as before. Each pair is judged once.
+    Links are judged in rounds. A part of a bucket is done when all links it asked for held, as they join what its close pairs join, or
+    when all its close pairs were asked for. The others ask again, for the shortest links between what their held links leave
+    apart, ``MORE_FORESTS`` times as many forests as before. Each pair is judged once. A later round reads the rows of the open parts only.
     """
+    names = columns_of(scheme.words)
     ready = stage(gathered(prints, scheme), "gathered")
-    schema = "a long, b long, band int, key long, sub int, sub_key long, held boolean"
-    asked = ready.sparkSession.createDataFrame([], schema)  # by the buckets that are not done
+    asked = ready.sparkSession.createDataFrame([], f"a long, b long, {BUCKET_TYPES}, held boolean")  # by the parts that are not done
     known = asked.select("a", "b", "held")
     forests = 1
     while True:
-        new = stage(near_edges(ready, scheme, asked, forests), "proposed")
+        found = stage(near_edges(ready, scheme, asked, forests), "proposed")
+        new = found.where("a <> b").drop(*names)
         pairs = stage(new.select("a", "b").distinct().join(known.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
         held = stage(judged_edges(pairs, different, texts, size, seed, similarity).where("held"), "held")
         known = known.unionByName(pairs.join(held, ["a", "b"], "left").select("a", "b", F.coalesce("held", F.lit(False)).alias("held")))
         known = stage(known, "known")
-        asked = stage(asked.unionByName(new.join(known, ["a", "b"]).select(asked.columns)), "asked")
-        open_buckets = new.join(known.where("not held").select("a", "b"), ["a", "b"], "left_semi").select(*BUCKET).distinct()
-        open_buckets = stage(open_buckets, "open-buckets")
-        if open_buckets.isEmpty():
+        rows = found.where("a = b").select(F.col("a").alias("node"), *names, *BUCKET)
+        unfinished = rows.select(*BUCKET).distinct()
+        asked = asked.unionByName(new.join(known, ["a", "b"]).select(asked.columns)).join(unfinished, BUCKET, "left_semi")
+        asked = stage(asked, "asked")
+        failed = known.where("not held").select("a", "b")
+        open_parts = new.join(unfinished, BUCKET, "left_semi").join(failed, ["a", "b"], "left_semi").select(*BUCKET).distinct()
+        open_parts = stage(open_parts, "open-parts")
+        if open_parts.isEmpty():
             return known.where("held").select("a", "b")
-        small = if_small(open_buckets, 32)
-        ready = stage(ready.join(small, BUCKET, "left_semi"), "open-rows")  # else each round would repeat the joins before it
+        small = if_small(open_parts, 40)
+        ready = stage(rows.join(small, BUCKET, "left_semi"), "open-rows")  # else each round would repeat the joins before it
         asked = asked.join(small, BUCKET, "left_semi")
         forests *= MORE_FORESTS
 
