@@ -241,7 +241,7 @@ def repeated_spans(units: DataFrame, total: int, length: int) -> DataFrame:
                 values = (
                     p, np.array([rows[r][0] for r in used], "i8").tobytes(), np.array([rows[r][1] for r in used], "i8").tobytes(),
                     counts.astype("u4").tobytes(), first[here].astype("u4").tobytes(), np.array(which, "u4").tobytes(),
-                    seed[heads].astype("u2").tobytes(), (end - first)[heads].astype("u1").tobytes(),
+                    seed[heads].astype("u2").tobytes(), (end - first)[heads].astype("u2").tobytes(),
                     compress(b"".join(different)),
                 )
                 for name, value in zip(out, values):
@@ -281,8 +281,8 @@ def repeated_spans(units: DataFrame, total: int, length: int) -> DataFrame:
         data = np.frombuffer(b"".join(map(expand, table.column("data").to_pylist())), "u1")
         counts, first = joined("counts", "u4"), joined("firsts", "u4").astype("i8")
         uid, owner = np.repeat(joined("uids", "i8"), counts), np.repeat(joined("owners", "i8"), counts)
-        seed, size = joined("seeds", "u2"), joined("sizes", "u1").astype("i8")
-        each = np.array([len(x) for x in table.column("sizes").to_pylist()])
+        seed, size = joined("seeds", "u2"), joined("sizes", "u2").astype("i8")
+        each = np.array([len(x) // 2 for x in table.column("sizes").to_pylist()])
         here = np.array([len(x) // 4 for x in table.column("which").to_pylist()])
         which = joined("which", "u4").astype("i8") + np.repeat(np.cumsum(each) - each, here)
         least_owner = np.full(len(size), np.iinfo("i8").max)
