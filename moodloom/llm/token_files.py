@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from moodloom.llm.common import map_arrow, slices, texts_of
+from moodloom.llm.common import if_small, map_arrow, slices, texts_of
 from moodloom.llm.encoder import encoder
 
 # The dictionary is trained on about so many documents, and on this many bytes of each at most. It decides the
@@ -48,9 +48,9 @@ def encoded(batch, tokenizer: str, end_id: int) -> list[bytes]:
 
 
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, width: int) -> bytes:
-    """A zstandard dictionary from the serialized ids of documents drawn by a hash of their ids."""
+    """A zstandard dictionary from the serialized ids of documents drawn by a hash of their ids and texts."""
     total = docs.count()
-    drawn = F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(1 << 30)) * total < SAMPLE_DOCUMENTS << 30
+    drawn = F.pmod(F.xxhash64(F.lit(7), "doc_id", "text"), F.lit(1 << 30)) * total < SAMPLE_DOCUMENTS << 30
 
     def work(batches):
         for batch in slices(batches, "text"):
@@ -78,7 +78,8 @@ def write_tokens(
     """Encode each whole text, append ``end_id`` and write the folder ``path``.
 
     The texts are sorted by id in one range shuffle (nulls first, equal ids by text). Null texts are
-    empty and hold the end id alone. Repeated rows are written as often as they occur.
+    empty and hold the end id alone. Repeated rows are written as often as they occur. Ids are whole numbers; an empty table gives
+    a folder without blocks. A reader that meets a block of another dictionary ends with an error.
     """
     spark = docs.sparkSession
     rows = texts_of(docs, id_column, text_column)
@@ -127,12 +128,13 @@ def read_blocks(blocks: DataFrame, spark: SparkSession, path: str, wanted: int |
     dictionary, width = bytes(head["content"]), head["width"]
     if hashlib.sha256(dictionary).hexdigest() != head["dictionary"]:
         raise ValueError(f"{path} holds another dictionary than it names")
-    blocks = blocks.where(F.col("dictionary") == head["dictionary"])
 
     def work(batches):
         expand = zstandard.ZstdDecompressor(**shared(dictionary)).decompress
         for batch in slices(batches, "frames"):
             for row in batch.to_pylist():
+                if row["dictionary"] != head["dictionary"]:
+                    raise ValueError(f"{path} holds blocks of another dictionary: {row['dictionary']}")
                 start = row["start"]
                 ends = [*row["offsets"][1:], len(row["frames"])]
                 out = {"part": [], "doc_id": [], "start": [], "n_tokens": [], "ids": []}
@@ -157,8 +159,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
     sizes = blocks.groupBy("part").agg(F.sum("tokens").alias("tokens"))
     before = F.sum("tokens").over(Window.orderBy("part")) - F.col("tokens")  # one row per written file
-    parts = sizes.select("part", before.alias("before"))
-    read = read_blocks(blocks, spark, path).join(F.broadcast(parts), "part")
+    parts = if_small(sizes.select("part", before.alias("before")), 16)
+    read = read_blocks(blocks, spark, path).join(parts, "part")
     return read.select("doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids")
 
 
