@@ -37,7 +37,7 @@ def safe_parts(text: str, size: int = LONG_TEXT) -> list[str]:
 
 
 def balanced(sizes: list[int], limit: int) -> Iterator[slice]:
-    """Runs of parts with at most ``limit`` characters each, or one part."""
+    """Runs of parts with at most ``limit`` bytes each, or one part."""
     first, held = 0, 0
     for i, size in enumerate(sizes):
         if held and held + size > limit:
@@ -70,7 +70,7 @@ def count_tokens(
                 parts += cut
                 owners += [row] * len(cut)
             lengths = []
-            for run in balanced([len(p) for p in parts], BATCH_BYTES):
+            for run in balanced([len(p.encode()) for p in parts], BATCH_BYTES):
                 lengths += [len(ids) // 4 for ids in encode(parts[run])]
             tokens = np.bincount(owners, lengths, batch.num_rows).astype("i8")
             yield {"doc_id": batch.column("doc_id"), "n_bytes": batch.column("n_bytes"), "n_tokens": tokens}
