@@ -21,12 +21,15 @@ from moodloom.llm.common import if_small, map_arrow, slices, texts_of
 ORDERS = (3, 4, 5)
 BUCKET_BITS = 18
 SMOOTHING = 1.0
-# The regression is fitted on about this many training rows, drawn by a hash of their ids, and on this many n-grams, those
+# The regression is fitted on about this many training rows, drawn by a hash of their ids and texts, and on this many n-grams, those
 # whose ratio is surest. The ratios themselves are counted over all training rows.
 FIT_ROWS = 12_000
 FEATURES = 1 << 12
 RIDGE = 3.0
 STEPS = 300
+# Training text that a counting task takes at least, if there is enough for ``COUNT_TASKS``: it bounds what the partial counts,
+# 6 MB a task at most, add to a shuffle.
+COUNT_BYTES = 256 * 1024 * 1024
 COUNT_TASKS = 64
 
 
@@ -101,7 +104,9 @@ def train(labelled: DataFrame) -> Model:
         used = np.flatnonzero(seen.any(axis=0))
         yield {"bucket": [*used.tolist(), -1], "clean": [*seen[0, used].tolist(), rows[0]], "toxic": [*seen[1, used].tolist(), rows[1]]}
 
-    counted = map_arrow(known.coalesce(COUNT_TASKS), count, "bucket long, clean long, toxic long")
+    total = known.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    tasks = max(COUNT_TASKS, total // COUNT_BYTES)
+    counted = map_arrow(known.coalesce(tasks), count, "bucket long, clean long, toxic long")
     totals = counted.groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).collect()
     seen, rows = np.zeros((2, size)), np.zeros(2)
     for bucket, clean, toxic in totals:  # one per bucket at most
@@ -129,7 +134,7 @@ def train(labelled: DataFrame) -> Model:
                 lists.append(found[found >= 0].astype("<u2").tobytes())
             yield {"toxic": batch.column("toxic"), "places": lists}
 
-    drawn = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1 << 30)) * float(rows.sum()) < float(FIT_ROWS << 30)
+    drawn = F.pmod(F.xxhash64(F.lit(11), "doc_id", "text"), F.lit(1 << 30)) * float(rows.sum()) < float(FIT_ROWS << 30)
     sample = map_arrow(known.where(drawn), features, "toxic int, places binary").collect()
     labels = np.array([row["toxic"] for row in sample], "f8")
     if not len(labels) or not 0 < labels.mean() < 1:
