@@ -144,6 +144,8 @@ def window_hits(words: DataFrame, windows: DataFrame, shingles: DataFrame, sizes
     prefixes = prefixes.join(windows, "window_id")
     prefixes = stage(prefixes.withColumnRenamed("hash", "prefix"), "prefixes")
     small = if_small(prefixes, F.octet_length(F.concat_ws(" ", "window_words")) + 16 * F.size("window_words") + 256)
+    if small is prefixes:
+        return verified_places(words, windows, prefixes, sizes)
     placed = []
     for size in sizes:
         lists = words.select("doc_id", "text_id", "words", shingle_hashes("words", size).alias("hashes"))
@@ -158,3 +160,30 @@ def window_hits(words: DataFrame, windows: DataFrame, shingles: DataFrame, sizes
     for more in placed[1:]:
         out = out.unionByName(more)
     return out
+
+
+def verified_places(words: DataFrame, windows: DataFrame, prefixes: DataFrame, sizes: list[int]) -> DataFrame:
+    """The same for prefixes too many to broadcast: only hashes and places go to the join, no document's words.
+
+    The places that a prefix proposes are gathered by document, where each takes its few words, which then meet those of the window.
+    """
+    key = ["doc_id", "text_id"]
+    known = prefixes.select("prefix", "offset", "window_id", "window_size", "shingle_size")
+    proposed = None
+    for size in sizes:
+        each = words.select(*key, F.size("words").alias("n"), shingle_hashes("words", size).alias("hashes"))
+        each = each.select(*key, "n", F.posexplode("hashes").alias("place", "hash"))
+        first = F.col("place") - F.col("offset")
+        inside = (first >= 0) & (first + F.col("window_size") <= F.col("n"))
+        of_size = known.where(F.col("shingle_size") == size)
+        met = each.join(of_size.hint("shuffle_merge"), (F.col("hash") == F.col("prefix")) & inside)
+        met = met.select(*key, F.struct(first.alias("first"), "window_id", "window_size").alias("at"))
+        proposed = met if proposed is None else proposed.unionByName(met)
+    lists = stage(proposed.groupBy(*key).agg(F.collect_set("at").alias("at")), "proposed-places")
+    same = [F.col(f"w.{c}").eqNullSafe(F.col(f"p.{c}")) for c in key]
+    placed = words.alias("w").join(lists.alias("p"), same).select("w.doc_id", "w.text_id", "words", F.explode("at").alias("at"))
+    taken = F.slice("words", F.col("at.first") + 1, F.col("at.window_size")).alias("taken")
+    placed = placed.select(*key, "at.*", taken)
+    whole = windows.select(F.col("window_id").alias("id"), "window_words").dropDuplicates(["id"])
+    found = placed.join(whole, (F.col("window_id") == F.col("id")) & (F.col("taken") == F.col("window_words")))
+    return found.select(*key, "first", "window_id", "window_size")
