@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from moodloom.llm.common import held, if_small, text_key, texts_of
 from moodloom.sources.staging import stage
 
 THRESHOLD = 0.8
+# Runs of a text are compared beside so many of its words, or the longest run of a template if that is more.
+BLOCK_WORDS = 512
 
 # Notices as their licences word them.
 TEMPLATES = {
@@ -108,43 +110,69 @@ def scan_licenses(
     lists = stage(lists.select(*of, "license_size", F.col("hits.place").alias("places")), "license-places")
 
     wanted = lists.select(F.col("doc_id").alias("id"), F.col("text_id").alias("key")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_id") == F.col("key"))
-    by_line = texts.join(if_small(wanted, 64), same, "left_semi").select(
-        "doc_id", "text_id", held(F.transform(F.split("text", "\n"), normal_words)).alias("lines")
-    )
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & F.col("text_id").eqNullSafe(F.col("key"))
+    by_line = texts.join(if_small(wanted, 64), same, "left_semi").dropDuplicates(["doc_id", "text_id"])
+    by_line = by_line.select("doc_id", "text_id", held(F.transform(F.split("text", "\n"), normal_words)).alias("lines"))
+
+    # A text goes in blocks that overlap by the longest run, so a run is never beside the whole text.
+    largest = known.where("not single").agg(F.coalesce(F.max(F.size("bigrams")), F.lit(0))).first()[0]
+    reach = int(high * largest + 1e-9) + 1
+    step = max(BLOCK_WORDS, reach)
     line_of = F.flatten(F.transform("lines", lambda line, i: F.array_repeat(i, F.size(line))))
-    # First and last bigram of the lines; those of one word have none.
-    begin = F.struct(F.lit(0).alias("n"), F.array().cast("array<struct<s:int,e:int>>").alias("runs"))
-
-    def next_line(so_far: Column, line: Column) -> Column:
-        run = F.struct(so_far["n"].alias("s"), (so_far["n"] + F.size(line) - 2).alias("e"))
-        runs = F.when(F.size(line) > 1, F.concat(so_far["runs"], F.array(run))).otherwise(so_far["runs"])
-        return F.struct((so_far["n"] + F.size(line)).alias("n"), runs.alias("runs"))
-
-    bodies = by_line.select(
-        "doc_id", "text_id", F.flatten("lines").alias("words"), line_of.alias("line_of"), F.aggregate("lines", begin, next_line)["runs"].alias("runs")
-    ).dropDuplicates(["doc_id", "text_id"])
-    bodies = stage(bodies.select("doc_id", "text_id", pairs("words").alias("hashes"), "line_of", "runs"), "license-texts")
+    bodies = by_line.select("doc_id", "text_id", held(F.flatten("lines")).alias("words"), line_of.alias("line_of"))
+    bodies = bodies.select("doc_id", "text_id", held(pairs("words")).alias("hashes"), "line_of")
+    numbers = F.sequence(F.lit(0), F.floor((F.greatest(F.size("hashes"), F.lit(1)) - 1) / step).cast("int"))
+    part = lambda of: F.slice(of, F.col("block") * step + 1, step + reach).alias(of)
+    blocks = bodies.select("*", F.explode(numbers).alias("block")).select("doc_id", "text_id", "block", part("hashes"), part("line_of"))
+    blocks = stage(blocks, "license-texts").withColumnsRenamed({"doc_id": "id", "text_id": "key", "block": "of_block"})
+    own = F.floor(F.col("place") / step).cast("int")
+    before = F.when((own > 0) & (F.col("place") % step < reach), F.array(own - 1, own)).otherwise(F.array(own))
+    spread = lists.select(*of, "license_size", F.explode("places").alias("place")).select("*", F.explode(before).alias("block"))
+    spread = spread.groupBy(*of, "license_size", "block").agg(F.sort_array(F.collect_set("place")).alias("places"))
 
-    # Runs of a template's size, and the lines beyond it.
     def runs_from(place: Column, k: Column) -> Column:
         ends = F.filter(F.slice("places", k + 1, most), lambda end: end < place + most)
         made = F.transform(ends, lambda end: F.struct(place.alias("s"), end.alias("e")))
-        return F.when(F.size(ends) >= need, made).otherwise(F.slice(made, 1, 0))
-
-    longer = F.filter("runs", lambda run: run["e"] - run["s"] >= most)
-    runs = F.concat(F.flatten(F.transform("places", runs_from)), longer)
-    renamed = bodies.withColumnsRenamed({"doc_id": "id", "text_id": "key"})
-    listed = lists.join(if_small(renamed, 128 + 16 * F.size("line_of") + 8 * F.size("runs")), same)
-    listed = listed.join(F.broadcast(known.select("license_id", "bigrams")), "license_id")
-    run = listed.select(*of, "license_size", "hashes", "line_of", "bigrams", F.explode(runs).alias("run"))
-    taken = F.slice("hashes", F.col("run.s") + 1, F.col("run.e") - F.col("run.s") + 1)
-    n_common = F.size(F.array_intersect(taken, F.col("bigrams")))
-    sizes = run.select(*of, "license_size", "run", F.get("line_of", F.col("run.s")).alias("line"), held(F.struct(F.size(F.array_distinct(taken)).alias("n"), n_common.alias("c"))).alias("of_run"))
+        return F.when((F.size(ends) >= need) & (place < (F.col("block") + 1) * step), made).otherwise(F.slice(made, 1, 0))
+
+    in_block = same & (F.col("block") == F.col("of_block"))
+    listed = spread.join(if_small(blocks, 128 + 16 * F.size("hashes")), in_block)
+    run = listed.select(*of, "license_size", "block", "hashes", "line_of", F.explode(F.flatten(F.transform("places", runs_from))).alias("run"))
+    at = F.col("run.s") - F.col("block") * step
+    taken = F.slice("hashes", at + 1, F.col("run.e") - F.col("run.s") + 1)
+    run = run.select(*of, "license_size", "run", F.get("line_of", at).alias("line"), taken.alias("taken"))
+
+    # Whole lines beyond a template's size.
+    smallest = known.where("not single").agg(F.coalesce(F.min(F.size("bigrams")), F.lit(0))).first()[0]
+    each_line = by_line.select("doc_id", "text_id", F.posexplode("lines").alias("line", "words"))
+    of_line = each_line.select(
+        "doc_id", "text_id", "line", F.size("words").alias("n"),
+        F.when(F.size("words") - 2 >= int(high * smallest + 1e-9), F.col("words")).alias("words"),
+    )
+    earlier = Window.partitionBy("doc_id", "text_id").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+    begin = F.coalesce(F.sum("n").over(earlier), F.lit(0)).cast("int")
+    of_line = of_line.withColumn("s", begin).where(F.col("words").isNotNull())
+    of_line = of_line.select(
+        F.col("doc_id").alias("id"), F.col("text_id").alias("key"), "line",
+        F.struct("s", (F.col("s") + F.col("n") - 2).alias("e")).alias("run"), pairs("words").alias("taken"),
+    )
+    of_line = stage(of_line, "license-lines")
+    long_line = lists.drop("places").join(of_line, same).where(F.col("run.e") - F.col("run.s") >= most)
+    run = run.unionByName(long_line.select(run.columns))
+
+    bigrams = known.select(F.col("license_id").alias("name"), "bigrams")
+    run = run.join(if_small(bigrams, F.octet_length("name") + 8 * F.size("bigrams") + 64), F.col("license_id") == F.col("name"))
+    n_common = F.size(F.array_intersect("taken", "bigrams"))
+    sizes = run.select(*of, "license_size", "run", "line", held(F.struct(F.size(F.array_distinct("taken")).alias("n"), n_common.alias("c"))).alias("of_run"))
     dice = 2 * F.col("of_run.c") / (F.col("of_run.n") + F.col("license_size"))
     close = sizes.select(*of, F.struct((-dice).alias("less"), "run.s", "run.e", "line", F.col("of_run.c").alias("n_common")).alias("run"))
     close = close.where(F.col("run.less") <= -threshold)
-    ranked = close.groupBy(*of).agg(F.sort_array(F.collect_set("run")).alias("runs"))
+    # Runs that overlap, or touch, meet in one group; runs of different groups never decide about each other.
+    in_order = Window.partitionBy(*of).orderBy("run.s", "run.e")
+    reached = F.max("run.e").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    alone = F.coalesce(F.col("run.s") > reached + 1, F.lit(True)).cast("int")
+    grouped = close.withColumn("alone", alone).withColumn("group", F.sum("alone").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    ranked = grouped.groupBy(*of, "group").agg(F.sort_array(F.collect_set("run")).alias("runs"))
 
     def add(so_far: Column, new: Column) -> Column:
         over = F.exists(so_far, lambda old: (old["s"] <= new["e"] + 1) & (new["s"] <= old["e"] + 1))
