@@ -68,8 +68,11 @@ def words(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
 
 
-def test_decontaminate(tables, nothing):
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_decontaminate(tables, nothing, monkeypatch, broadcast):
     docs, bench, rows, items = tables
+    if not broadcast:
+        monkeypatch.setattr(decontaminate, "if_small", lambda table, *sizes: table)
     windows = defaultdict(set)
     for item, text in items:
         w = words(text)
@@ -153,6 +156,15 @@ def test_wrapped_and_embedded_licenses(spark):
     assert found(licenses.scan_licenses(docs, one_word), "doc_id", "line", "license_id") == {(0, 0, "W"): 1, (None, 0, "W"): 1}
 
 
+def test_many_licenses_in_one_text(spark):
+    filler = "some words of code that belong to no notice at all"
+    notices = [licenses.TEMPLATES["MIT"], licenses.TEMPLATES["Apache-2.0"], "Use of this\nsource code is governed by a BSD-style license that can be found in the LICENSE file."]
+    text = "\n".join(part for i in range(300) for part in (filler, notices[i % 3]))
+    docs = spark.createDataFrame([(1, text), (2, filler)], "doc_id long, text string")
+    got = Counter(licenses.scan_licenses(docs).select("license_id", "dice").collect())
+    assert got == {("MIT", 1.0): 100, ("Apache-2.0", 1.0): 100, ("BSD-use", 1.0): 100}
+
+
 def library():
     from tokenizers import Tokenizer
 
@@ -182,6 +194,21 @@ def test_token_counts_and_files(spark, tables, nothing):
     assert token_files.read_tokens(spark, empty).count() == 0 == token_counts.count_tokens(nothing, TOKENIZER).count()
 
 
+def test_blocks_of_another_dictionary_are_an_error(spark):
+    paths = [staging_path(spark, "test-tokens") for _ in range(2)]
+    for path, word in zip(paths, ("one", "two")):
+        docs = spark.createDataFrame([(i, f"{word} {i} " * 30) for i in range(40)], "doc_id long, text string")
+        token_files.write_tokens(docs, path, TOKENIZER, end_id=2)
+    spark.read.schema(token_files.BLOCKS).parquet(f"{paths[1]}/blocks").write.mode("append").parquet(f"{paths[0]}/blocks")
+    with pytest.raises(Exception, match="another dictionary"):
+        token_files.read_tokens(spark, paths[0]).count()
+
+
+def test_batches_are_balanced_by_bytes():
+    sizes = [len(p.encode()) for p in ("日" * 10, "a" * 10, "é" * 10)]
+    assert list(token_counts.balanced(sizes, 40)) == [slice(0, 2), slice(2, 3)]
+
+
 def test_long_texts_are_split_without_a_change():
     text = "one two's  three\n\n x1 " * 9_000
     parts = token_counts.safe_parts(text)
@@ -314,7 +341,9 @@ def variants(rng, bases, copies, n):
     return out
 
 
-def test_failed_links_hide_no_others(spark):
+@pytest.mark.parametrize("large", [simhash.LARGE_BUCKET, 20])
+def test_failed_links_hide_no_others(spark, monkeypatch, large):
+    monkeypatch.setattr(simhash, "LARGE_BUCKET", large)  # the smaller one cuts the buckets into blocks
     texts = variants(random.Random(12), 12, 14, 60)
     scheme = simhash.Scheme(4, 56, 1, 1, False)  # two buckets
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
@@ -381,25 +410,26 @@ def test_pipeline_drops_by_id_and_text(spark, tmp_path):
     assert found(cp.drop_near_duplicates(spark, docs, str(tmp_path)), "doc_id", "text") == {(1, copy): 1, (5, clean): 1, (6, None): 1}
 
 
-def test_suffixes(tables, nothing):
+@pytest.mark.parametrize("length", [50, 137, 138, 200])
+def test_suffixes(tables, nothing, length):
     docs, _, rows, _ = tables
     order = lambda d: seeds.NO_ID if d is None else d
     first = {}
     for doc_id, text in sorted(rows, key=lambda r: -order(r[0])):
         data = (text or "").encode()
-        for p in range(len(data) - 49):
-            first[data[p : p + 50]] = order(doc_id)
+        for p in range(len(data) - length + 1):
+            first[data[p : p + length]] = order(doc_id)
     expected = Counter()
     for doc_id, text in rows:
         data = (text or "").encode()
         gone = [False] * len(data)
-        for p in range(len(data) - 49):
-            if first[data[p : p + 50]] < order(doc_id):
-                gone[p : p + 50] = [True] * 50
+        for p in range(len(data) - length + 1):
+            if first[data[p : p + length]] < order(doc_id):
+                gone[p : p + length] = [True] * length
         kept = bytes(b for b, g in zip(data, gone) if not g)
         spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
         expected[doc_id, len(data), spans, kept.hex()] += 1
-    result = suffixes.remove_repeats(docs).withColumns({"kept": F.lower(F.hex("kept")), "removed": F.size("removed")})
+    result = suffixes.remove_repeats(docs, length).withColumns({"kept": F.lower(F.hex("kept")), "removed": F.size("removed")})
     assert found(result, "doc_id", "n_bytes", "removed", "kept") == expected
     assert suffixes.remove_repeats(nothing).count() == 0
 
