@@ -133,11 +133,8 @@ def numbered(texts: DataFrame) -> Texts:
     return Texts(rows.select("doc_id", "id", "text_id", uid.alias("uid"), owner, "text"), copies)
 
 
-def shared_seeds(units: DataFrame, symbols_of: Callable[[str], np.ndarray], k: int, w: int, parts: int) -> DataFrame:
-    """``uid, place, first_uid, first_place``: seeds that two different texts hold, each with its first place in the smallest ``uid``.
-
-    The seeds are dealt out by hash in packed arrays of about ten bytes each; a repeated unit is harmless.
-    """
+def dealt_seeds(units: DataFrame, symbols_of: Callable[[str], np.ndarray], k: int, w: int, parts: int) -> DataFrame:
+    """The seeds of all texts, dealt out by hash into ``part``, in packed arrays of about ten bytes each."""
 
     def deal(batches):
         uids, found, held = [], [], 0
@@ -176,19 +173,32 @@ def shared_seeds(units: DataFrame, symbols_of: Callable[[str], np.ndarray], k: i
         if found:
             yield packed()
 
-    dealt = map_arrow(
+    return map_arrow(
         units.select("uid", "text"), deal, "part int, uids binary, counts binary, hashes binary, low binary, high binary"
     )
 
+
+def sorted_seeds(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, uid and place of the seeds of a part, in this order."""
+
+    def joined(name: str, dtype: str) -> np.ndarray:
+        return np.frombuffer(b"".join(table.column(name).to_pylist()), dtype)
+
+    uid = np.repeat(joined("uids", "i8"), joined("counts", "u4"))
+    hash_of = joined("hashes", "u4")
+    place = joined("low", "u2").astype("u4") | (joined("high", "u2").astype("u4") << np.uint32(16))
+    order = np.lexsort((place, uid, hash_of))
+    return hash_of[order], uid[order], place[order]
+
+
+def shared_seeds(units: DataFrame, symbols_of: Callable[[str], np.ndarray], k: int, w: int, parts: int) -> DataFrame:
+    """``uid, place, first_uid, first_place``: seeds that two different texts hold, each with its first place in the smallest ``uid``.
+
+    A repeated unit is harmless.
+    """
+
     def match(table: pa.Table) -> pa.Table:
-        def joined(name: str, dtype: str) -> np.ndarray:
-            return np.frombuffer(b"".join(table.column(name).to_pylist()), dtype)
-
-        uid = np.repeat(joined("uids", "i8"), joined("counts", "u4"))
-        hash_of = joined("hashes", "u4")
-        place = joined("low", "u2").astype("u4") | (joined("high", "u2").astype("u4") << np.uint32(16))
-        order = np.lexsort((place, uid, hash_of))
-        hash_of, uid, place = hash_of[order], uid[order], place[order]
+        hash_of, uid, place = sorted_seeds(table)
         starts = np.flatnonzero(np.concatenate([[True], hash_of[1:] != hash_of[:-1]]))
         sizes = np.diff(np.append(starts, len(hash_of)))
         shared = uid[starts] != uid[starts + sizes - 1]
@@ -196,8 +206,35 @@ def shared_seeds(units: DataFrame, symbols_of: Callable[[str], np.ndarray], k: i
         columns = {"uid": uid[mine], "place": place[mine].astype("i8"), "first_uid": uid[first], "first_place": place[first].astype("i8")}
         return pa.table(columns)
 
+    dealt = dealt_seeds(units, symbols_of, k, w, parts)
     return dealt.groupBy("part").applyInArrow(match, "uid long, place long, first_uid long, first_place long")
 
 
+def earlier_seeds(units: DataFrame, symbols_of: Callable[[str], np.ndarray], k: int, w: int, parts: int) -> DataFrame:
+    """``uid, first_uid, places``: each place of a seed beside the first and the last of the smaller ``uid`` that hold the seed.
+
+    ``places`` holds that place in its upper and the seed's first place in the other text in its lower 32 bits. A seed that only one
+    text holds has no row, and one that n texts hold has two rows for each of its places at most.
+    """
+
+    def match(table: pa.Table) -> pa.Table:
+        hash_of, uid, place = sorted_seeds(table)
+        new_hash = np.concatenate([[True], hash_of[1:] != hash_of[:-1]])
+        new_text = new_hash | np.concatenate([[True], uid[1:] != uid[:-1]])
+        at = np.arange(len(uid))
+        first = np.maximum.accumulate(np.where(new_hash, at, 0))
+        texts = np.flatnonzero(new_text)
+        turn = np.cumsum(new_text) - 1
+        later = np.flatnonzero(texts[turn] != first)
+        first, last = first[later], texts[turn[later] - 1]
+        several = first != last
+        mine, other = np.concatenate([later, later[several]]), np.concatenate([first, last[several]])
+        places = (place[mine].astype("i8") << 32) | place[other].astype("i8")
+        return pa.table({"uid": uid[mine], "first_uid": uid[other], "places": places})
+
+    dealt = dealt_seeds(units, symbols_of, k, w, parts)
+    return dealt.groupBy("part").applyInArrow(match, "uid long, first_uid long, places long")
+
+
 def parts_for(total: int, per_part: int) -> int:
     return max(1, -(-int(total) // per_part))

@@ -480,6 +480,53 @@ def test_fuzzy_passage(spark):
     assert 0.8 <= only.similarity < 1
 
 
+def test_recall_of_fuzzy_passages(spark):
+    """Planted passages of 40 to 100 words with 10 to 20% of the words changed, the first and last not among them."""
+    rng = random.Random(12)
+    prose = lambda n: [f"v{rng.randrange(20_000)}" for _ in range(n)]
+    rows, planted = [], []
+    for n in (40, 50, 60, 100):
+        for percent in (10, 15, 20):
+            for _ in range(20):
+                passage = prose(n)
+                changed = list(passage)
+                for k in rng.sample(range(1, n - 1), n * percent // 100):
+                    changed[k] = f"other{rng.randrange(10**6)}"
+                first = len(rows)
+                rows += [(first, prose(40) + passage + prose(20)), (first + 1, prose(30) + changed + prose(30))]
+                planted.append((n, percent, first + 1))
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    result = passages.repeated_passages(docs).collect()
+    covered = {}
+    for r in result:
+        assert r.other_doc_id == r.doc_id - 1 and r.n_words >= 40 and r.similarity >= 0.8
+        covered[r.doc_id] = len(range(max(r.start_word, 30), r.start_word + r.n_words))
+    shares = defaultdict(list)
+    for n, percent, doc_id in planted:
+        shares[n, percent].append(covered.get(doc_id, 0) >= 0.9 * n)
+    assert all(np.mean(cell) >= 0.9 for cell in shares.values()), {k: np.mean(v) for k, v in shares.items()}
+
+
+def test_every_fifth_word_changed(spark):
+    rng = random.Random(13)
+    prose = lambda n: [f"v{rng.randrange(20_000)}" for _ in range(n)]
+    passage = prose(60)
+    changed = [f"x{k}" if k % 5 == 0 else w for k, w in enumerate(passage)]
+    docs = spark.createDataFrame([(1, " ".join(passage)), (2, " ".join(prose(9) + changed + prose(9)))], "doc_id long, text string")
+    (only,) = passages.repeated_passages(docs).collect()
+    assert only.n_words >= 54 and only.similarity >= 0.8
+
+
+def test_passage_whose_parts_occur_earlier(spark):
+    """The first places of the seeds lie in two texts that hold half of it each, the last ones in the whole earlier copy."""
+    rng = random.Random(14)
+    prose = lambda n: [f"v{rng.randrange(20_000)}" for _ in range(n)]
+    one, two = prose(30), prose(30)
+    rows = [(1, prose(9) + one + prose(9)), (2, prose(9) + two + prose(9)), (3, prose(20) + one + two), (4, one + two + prose(20))]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    assert found(passages.repeated_passages(docs), "doc_id", "other_doc_id", "start_word", "n_words") == Counter([(4, 3, 0, 60)])
+
+
 def test_passages_with_other_words_between(spark):
     rng = random.Random(10)
     prose = lambda n: [f"v{rng.randrange(50_000)}" for _ in range(n)]
