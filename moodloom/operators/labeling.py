@@ -107,19 +107,14 @@ def score_by_join(
     text_id, score = free_names(df, "_text_id", "_score")
     keyed = stage(df.withColumn(text_id, F.unhex(F.sha2(text_column, 256))), "keyed")
 
-    def neighbours(word: Column, position: Column) -> Column:
-        return F.struct(
-            word.alias("word"),
-            F.get(F.col("_words"), position - 1).alias("before"),
-            F.get(F.col("_words"), position - 2).alias("before_that"),
-        )
-
+    shifted = [F.concat(F.array(*[F.lit(None).cast("string")] * n), "_words").alias(c) for n, c in ((1, "before"), (2, "before_that"))]
     words = (
         keyed.select(text_id, text.split_words(text_column).alias("_words"))
-        .select(text_id, F.explode(F.transform("_words", neighbours)).alias("w"))
+        .select(text_id, F.explode(F.arrays_zip(F.col("_words").alias("word"), *shifted)).alias("w"))
         .select(text_id, "w.*")
     )
-    hits = lookup(words, polarities, "word", "inner", broadcast_bytes=broadcast_bytes)
+    # Written once: the next lookup reads its rows up to four times, and each time would split all texts again.
+    hits = stage(lookup(words, polarities, "word", "inner", broadcast_bytes=broadcast_bytes), "hits")
     boosted = lookup(hits, intensities, "before", "left", broadcast_bytes=broadcast_bytes)
     boost = F.col("intensity")
     negated = polarity.is_negated(F.col("before"), F.col("before_that"), boost, negators)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from moodloom.functions import polarity
 from moodloom.operators import labeling
+from moodloom.operators.lookup import lookup
 from tests.conftest import physical_plan
 
 WORDS = {"good": 0.7, "bad": -0.7, "great": 0.8}
@@ -177,3 +178,17 @@ def test_class_is_decided_on_the_double(texts):
 def test_scores_stay_in_the_jvm_without_a_shuffle(cases):
     plan = physical_plan(labeling.label_sentiment(cases))
     assert "Exchange" not in plan and "PythonUDF" not in plan and "EvalPython" not in plan
+
+
+def test_words_are_joined_once(monkeypatch, spark, texts):
+    """The second lookup reads written hits instead of splitting the texts again."""
+    plans = []
+
+    def recorded(facts, *args, **settings):
+        plans.append(physical_plan(facts))
+        return lookup(facts, *args, **settings)
+
+    monkeypatch.setattr(labeling, "lookup", recorded)
+    lexicon = spark.createDataFrame([("good", 0.5, None), ("very", None, 1.5)], "word string, polarity double, intensity double")
+    labeling.score_by_join(texts(["very good", "good"], "tweets"), "tweets", lexicon, (), broadcast_bytes=0)
+    assert ["Generate" in plan for plan in plans] == [True, False, False]
