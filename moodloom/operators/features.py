@@ -90,8 +90,8 @@ def idf_weights(df: DataFrame, text_column: str = TEXT) -> DataFrame:
 def tfidf(df: DataFrame, id_column: str, text_column: str = TEXT) -> DataFrame:
     """ML-4 applied: ``(id, word, tfidf)``."""
     counts = term_frequency(df, id_column, text_column)
-    weights = stage(idf_weights(df, text_column).select("word", "idf"), "idf")
-    weighted = lookup(counts, weights, "word", "inner")
+    weights = stage(idf_weights(df, text_column), "idf")
+    weighted = lookup(counts, weights, "word", "inner", frequency="docs")
     return weighted.select(id_column, "word", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 

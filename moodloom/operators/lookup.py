@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from moodloom.sources.staging import stage
@@ -33,6 +33,20 @@ def hot_keys(facts: DataFrame, key: str) -> DataFrame:
     return hot.select((F.unhex("item") if binary else F.col("item")).alias(key))
 
 
+def frequent_keys(table: DataFrame, key: str, frequency: str, row_bytes: int | Column, limit: int) -> DataFrame:
+    """Keys of the table that hold one in ``HOT_KEYS`` of the facts, by their rows in ``frequency``, and as many of the next as fit ``limit``.
+
+    Reads the table alone, not the facts. Keys of one frequency are in or out together.
+    """
+    size = F.sum(F.octet_length(key) + row_bytes).alias("size")
+    by_frequency = table.groupBy(F.col(frequency).alias("each")).agg(size, F.sum(frequency).alias("rows"))
+    above = Window.orderBy(F.desc("each"))  # one row per frequency
+    summed = by_frequency.select("each", F.sum("size").over(above).alias("held"), F.sum("rows").over(Window.partitionBy()).alias("rows"))
+    fits = (F.col("held") <= limit) | (F.col("each") * HOT_KEYS >= F.col("rows"))
+    least = summed.where(fits).agg(F.min("each").alias("least")).first()["least"]
+    return table.where(F.col(frequency) >= F.lit(least)).select(key)
+
+
 def cold_rows(facts: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """Rows whose key is neither hot nor missing: no key among them holds one in ``HOT_KEYS`` of all rows."""
     return facts.where(F.col(key).isNotNull()).join(F.broadcast(hot), key, "left_anti")
@@ -45,6 +59,7 @@ def lookup(
     how: str,
     row_bytes: int | Column = 64,
     broadcast_bytes: int = BROADCAST_BYTES,
+    frequency: str | None = None,
 ) -> DataFrame:
     """Inner or left join of ``facts`` to ``table`` on the string or binary column ``key``.
 
@@ -52,12 +67,19 @@ def lookup(
     A small table is broadcast. Beyond that the
     rows of hot keys meet a broadcast of those keys alone, at most ``HOT_KEYS`` of them, and
     only the other rows are shuffled. Hot is what the facts repeat, whether the table knows it or not.
+    If the table holds every key of the facts and in column ``frequency`` its rows there, the facts need no pass for that, and more keys
+    than the hot ones are broadcast: the most frequent, up to half of ``broadcast_bytes``.
     """
     if measured_bytes(table, key, row_bytes) <= broadcast_bytes:
         return facts.join(F.broadcast(table), key, how)
-    hot = stage(hot_keys(facts, key), "hot-keys")
+    if frequency is None:
+        hot = hot_keys(facts, key)
+    else:
+        hot = frequent_keys(table, key, frequency, row_bytes, broadcast_bytes // 2)
+    hot = stage(hot, "hot-keys")
     hot_rows = table.join(F.broadcast(hot), key, "left_semi")
-    of_hot = facts.join(F.broadcast(hot), key, "left_semi")
+    # An inner join leaves out the other rows by itself.
+    of_hot = facts if how == "inner" else facts.join(F.broadcast(hot), key, "left_semi")
     joined = of_hot.join(F.broadcast(hot_rows), key, how).unionByName(
         cold_rows(facts, key, hot).join(table, key, how)
     )

@@ -59,3 +59,23 @@ def test_small_table_is_broadcast(sides):
     assert module.measured_bytes(table, "key", 64) == 41 * 64 + sum(
         len(r["key"]) for r in table.collect()
     )
+
+
+@pytest.mark.parametrize("broadcast_bytes", [0, 600, 1200, 10_000])
+def test_known_frequencies_spare_the_pass_over_the_facts(monkeypatch, sides, broadcast_bytes):
+    facts, _ = sides
+    keyed = facts.where("key is not null")
+    table = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    monkeypatch.setattr(module, "hot_keys", None)
+    found = lookup(facts, table, "key", "inner", broadcast_bytes=broadcast_bytes, frequency="n")
+    expected = facts.join(table, "key")
+    assert found.exceptAll(expected).count() == 0 == expected.exceptAll(found).count()
+
+
+def test_frequent_keys_fill_the_limit(monkeypatch, spark):
+    table = spark.createDataFrame([(f"k{i}", 100 - i) for i in range(10)] + [(f"e{i}", 1) for i in range(10)], "key string, n long")
+    keys = lambda limit: sorted(r["key"] for r in module.frequent_keys(table, "key", "n", 8, limit).collect())
+    monkeypatch.setattr(module, "HOT_KEYS", 1)
+    assert keys(0) == [] and keys(30) == ["k0", "k1", "k2"] and keys(199) == [f"k{i}" for i in range(10)] and len(keys(200)) == 20
+    monkeypatch.setattr(module, "HOT_KEYS", 10)
+    assert keys(0) == ["k0", "k1", "k2", "k3"]
