@@ -26,8 +26,12 @@ def sentiment_classifier(num_features: int = rules.HASHED_FEATURES) -> Pipeline:
 
     Index and document frequencies are thus learnt from the rows it is fitted on alone; those without a class are left out.
     """
-    stages = [class_index(CATEGORY), word_split(), word_buckets(num_features), bucket_weights(), NaiveBayes()]
-    return Pipeline(stages=stages)
+    return Pipeline(stages=[*feature_stages(num_features), NaiveBayes()])
+
+
+def feature_stages(num_features: int = rules.HASHED_FEATURES) -> list:
+    """The stages that both classifiers share: class index, words, hashed TF-IDF."""
+    return [class_index(CATEGORY), word_split(), word_buckets(num_features), bucket_weights()]
 
 
 def logistic_classifier(num_features: int = rules.HASHED_FEATURES) -> Pipeline:
@@ -36,7 +40,7 @@ def logistic_classifier(num_features: int = rules.HASHED_FEATURES) -> Pipeline:
     The rows need ``class_weight``, as ``with_class_weight`` adds it. Gradients are summed by task.
     """
     logistic = LogisticRegression(weightCol=WEIGHT, regParam=RIDGE, family="multinomial")
-    return Pipeline(stages=[class_index(CATEGORY), word_split(), word_buckets(num_features), bucket_weights(), logistic])
+    return Pipeline(stages=[*feature_stages(num_features), logistic])
 
 
 def with_class_weight(df: DataFrame) -> DataFrame:
@@ -48,14 +52,25 @@ def with_class_weight(df: DataFrame) -> DataFrame:
     return lookup(df, weights, CATEGORY, "inner")
 
 
+def with_class(df: DataFrame) -> DataFrame:
+    """Text and class of the rows that have one, written once.
+
+    The filter stands behind the write: before it, Catalyst would push it below the de-duplication and score every raw row once more.
+    """
+    return stage(df.select(TEXT, CATEGORY), "labeled").where(F.col(CATEGORY).isNotNull())
+
+
 def compare_classifiers(df: DataFrame, num_features: int = rules.HASHED_FEATURES) -> dict[str, dict[str, float]]:
-    """EXT-7: the four metrics of Naive Bayes and of weighted logistic regression on one split by content."""
-    rows = stage(df.select(TEXT, CATEGORY).where(F.col(CATEGORY).isNotNull()), "labeled")
-    train, test = split_by_content(rows)
-    models = {
-        "naive_bayes": sentiment_classifier(num_features).fit(train),
-        "logistic": logistic_classifier(num_features).fit(with_class_weight(train)),
-    }
+    """EXT-7: the four metrics of Naive Bayes and of weighted logistic regression on one split by content.
+
+    The stages that both share are fitted once, and both last stages read the features they write.
+    """
+    train, test = split_by_content(with_class(df))
+    shared = Pipeline(stages=feature_stages(num_features)).fit(train)
+    rows = stage(shared.transform(train).select(CATEGORY, "label", "features"), "features")
+    bayes, logistic = (c(num_features).getStages()[-1] for c in (sentiment_classifier, logistic_classifier))
+    fitted = {"naive_bayes": bayes.fit(rows), "logistic": logistic.fit(with_class_weight(rows))}
+    models = {name: PipelineModel([*shared.stages, last]) for name, last in fitted.items()}
     return {name: metrics_of(score_texts(model, test)) for name, model in models.items()}
 
 
@@ -92,9 +107,7 @@ def train_and_evaluate(
     Rows without a class take no part. The others are written once, unless ``df`` is a ``staged`` table already; the three fits and the
     test read that table. The split follows the text unless ``random_split`` asks for Spark's own.
     """
-    rows = df.select(TEXT, CATEGORY).where(F.col(CATEGORY).isNotNull())
-    if not staged:
-        rows = stage(rows, "labeled")
+    rows = df.select(TEXT, CATEGORY).where(F.col(CATEGORY).isNotNull()) if staged else with_class(df)
     if random_split:
         train, test = rows.randomSplit([train_ratio, 1 - train_ratio], seed)
     else:

@@ -11,6 +11,8 @@ from pyspark.ml.feature import IDF, CountVectorizer, StringIndexer
 from moodloom.functions import rules, text
 from moodloom.operators import bayes, classifier, lookup, metrics
 from moodloom.sources import sinks
+from moodloom.sources.staging import stage
+from tests.conftest import physical_plan
 
 
 @pytest.fixture(scope="module")
@@ -193,3 +195,17 @@ def test_agreement(spark):
     assert tuple(none) == (0, None, None)
     same = spark.createDataFrame([(1, 1)] * 3, "label int, prediction int")
     assert metrics.agreement(metrics.confusion(same)).first()["kappa"] is None
+
+
+def test_texts_are_scored_and_hashed_once(monkeypatch, labeled):
+    """The filter on the class stays behind the write, and both classifiers read one table of features."""
+    written = []
+
+    def recorded(df, name):
+        written.append((name, physical_plan(df)))
+        return stage(df, name)
+
+    monkeypatch.setattr(classifier, "stage", recorded)
+    classifier.compare_classifiers(labeled, 200)
+    assert [name for name, _ in written] == ["labeled", "features", "class-sizes"]
+    assert "Filter" not in written[0][1]
