@@ -12,6 +12,7 @@ import os
 import re
 from collections.abc import Sequence
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 
@@ -27,6 +28,9 @@ PIECES = re.compile(
 )
 # Words remembered by a worker, some hundred bytes each; beyond it a batch keeps its new words to itself.
 KEPT_WORDS = 700_000
+# Words that a worker keeps from one task to the next. They are those it learnt first, so the frequent ones are among them. Short tasks
+# leave more workers waiting than there are cores, and each of them holds its words.
+WAITING_WORDS = 400_000
 WORDS_AT_ONCE = 512
 
 
@@ -77,6 +81,11 @@ class Encoder:
                 del self.known[word]
         return ids
 
+    def trim(self, words: int = WAITING_WORDS) -> None:
+        """Forget all words but the ``words`` learnt first; called at the end of a task."""
+        if len(self.known) > words:
+            self.known = dict(islice(self.known.items(), words))
+
     def whole(self, text: str) -> bytes:
         encoded = self.library.encode(text, add_special_tokens=False)
         return np.array(encoded.ids, "<u4").tobytes()

@@ -61,8 +61,8 @@ def cut_documents(
 ) -> DataFrame:
     """Encode whole texts, append ``end_id``, and cut each into pieces of ``length`` ids and a rest.
 
-    ``ids`` are little-endian unsigned 32-bit integers. A null or empty text is its end id alone. With ``hold`` a worker keeps the
-    words it knows for its next task; else their memory is free for what comes after.
+    ``ids`` are little-endian unsigned 32-bit integers. A null or empty text is its end id alone. With ``hold`` a worker keeps
+    some of the words it knows for its next task; else their memory is free for what comes after.
     """
     end = np.array([end_id], "<u4").tobytes()
 
@@ -78,7 +78,9 @@ def cut_documents(
                     for key, value in zip(out, (doc_id, start, len(piece) // 4, total, piece)):
                         out[key].append(value)
             yield out
-        if not hold:
+        if hold:
+            encoder(tokenizer).trim()
+        else:
             encoder.cache_clear()
 
     return map_arrow(texts_of(docs, id_column, text_column), work, PIECES)

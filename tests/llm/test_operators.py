@@ -565,3 +565,14 @@ def test_toxicity(spark, nothing):
     blank = toxicity.train_toxicity(docs, labels.limit(0))
     assert all(0 <= r.score <= 1 for r in toxicity.score_toxicity(docs, blank).collect())
     assert toxicity.score_toxicity(nothing, model).count() == 0
+
+
+def test_a_waiting_worker_forgets_all_but_its_first_words():
+    from moodloom.llm.encoder import Encoder
+
+    worker = Encoder(TOKENIZER)
+    before = worker.encode(["first second third", "fourth fifth sixth"])
+    first = list(worker.known)[:2]
+    worker.trim(2)
+    assert list(worker.known) == first
+    assert worker.encode(["first second third", "fourth fifth sixth"]) == before
