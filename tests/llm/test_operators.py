@@ -527,6 +527,23 @@ def test_passage_whose_parts_occur_earlier(spark):
     assert found(passages.repeated_passages(docs), "doc_id", "other_doc_id", "start_word", "n_words") == Counter([(4, 3, 0, 60)])
 
 
+@pytest.mark.parametrize("times", [1, 30])
+@pytest.mark.parametrize("changed", [(), (9, 23, 37, 52)])
+def test_passage_whose_copy_lies_between_others(spark, times, changed):
+    """Every seed of the passage comes in texts before and after its one copy, none of them with 40 words of it."""
+    passage = [f"p{i}" for i in range(60)]
+    copy = [f"c{i}" if i in changed else word for i, word in enumerate(passage)]
+
+    def parts(first):
+        pieces = [" ".join(passage[i : i + 30]) for i in range(0, 40, 10)] * times
+        return [(first + n, f"l{first + n} {piece} r{first + n}") for n, piece in enumerate(pieces)]
+
+    rows = [*parts(0), (1000, "the copy " + " ".join(copy)), *parts(2000), (5000, " ".join(passage) + " its end")]
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = found.where("doc_id = 5000").select("other_doc_id", "start_word", "n_words", "n_equal").collect()
+    assert [tuple(row) for row in found] == [(1000, 0, 60, 60 - len(changed))]
+
+
 def test_passages_with_other_words_between(spark):
     rng = random.Random(10)
     prose = lambda n: [f"v{rng.randrange(50_000)}" for _ in range(n)]
