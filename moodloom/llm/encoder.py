@@ -31,6 +31,8 @@ KEPT_WORDS = 700_000
 # Words that a worker keeps from one task to the next. They are those it learnt first, so the frequent ones are among them. Short tasks
 # leave more workers waiting than there are cores, and each of them holds its words.
 WAITING_WORDS = 400_000
+# Words remembered where other stages of a job have filled the memory before.
+FEW_WORDS = 200_000
 WORDS_AT_ONCE = 512
 
 
@@ -111,6 +113,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    """One encoder per worker process and file."""
-    return Encoder(path)
+def encoder(path: str, kept_words: int = KEPT_WORDS) -> Encoder:
+    """One encoder per worker process, file and number of words kept."""
+    return Encoder(path, kept_words)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moodloom.llm.common import if_small, map_arrow, slices, texts_of
-from moodloom.llm.encoder import encoder
+from moodloom.llm.encoder import FEW_WORDS, KEPT_WORDS, encoder
 from moodloom.sources.staging import stage
 
 LENGTH = 1024
@@ -62,14 +62,15 @@ def cut_documents(
     """Encode whole texts, append ``end_id``, and cut each into pieces of ``length`` ids and a rest.
 
     ``ids`` are little-endian unsigned 32-bit integers. A null or empty text is its end id alone. With ``hold`` a worker keeps
-    some of the words it knows for its next task; else their memory is free for what comes after.
+    some of the words it knows for its next task; else it remembers fewer, and their memory is free for what comes after.
     """
     end = np.array([end_id], "<u4").tobytes()
 
     def work(batches):
+        known = encoder(tokenizer, KEPT_WORDS if hold else FEW_WORDS)
         for batch in slices(batches, "text"):
             out = {"doc_id": [], "start": [], "length": [], "doc_tokens": [], "ids": []}
-            texts = encoder(tokenizer).encode(batch.column("text").to_pylist())
+            texts = known.encode(batch.column("text").to_pylist())
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), texts):
                 ids += end
                 total = len(ids) // 4
@@ -79,7 +80,7 @@ def cut_documents(
                         out[key].append(value)
             yield out
         if hold:
-            encoder(tokenizer).trim()
+            known.trim()
         else:
             encoder.cache_clear()
 
