@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moodloom.llm.common import if_small, map_arrow, slices, texts_of
-from moodloom.llm.encoder import FEW_WORDS, KEPT_WORDS, encoder
+from moodloom.llm.encoder import FEW_WORDS, encoder
 from moodloom.sources.staging import stage
 
 LENGTH = 1024
@@ -67,7 +67,7 @@ def cut_documents(
     end = np.array([end_id], "<u4").tobytes()
 
     def work(batches):
-        known = encoder(tokenizer, KEPT_WORDS if hold else FEW_WORDS)
+        known = encoder(tokenizer) if hold else encoder(tokenizer, FEW_WORDS)
         for batch in slices(batches, "text"):
             out = {"doc_id": [], "start": [], "length": [], "doc_tokens": [], "ids": []}
             texts = known.encode(batch.column("text").to_pylist())
