@@ -593,3 +593,22 @@ def test_a_waiting_worker_forgets_all_but_its_first_words():
     worker.trim(2)
     assert list(worker.known) == first
     assert worker.encode(["first second third", "fourth fifth sixth"]) == before
+
+
+def test_seeds_that_no_text_asks_for_go_before_their_words(spark, monkeypatch):
+    rows = {}
+
+    def staged(df, name):
+        found = df.localCheckpoint()
+        rows[name] = found.count()
+        return found
+
+    monkeypatch.setattr(passages, "stage", staged)
+    schema = "uid long, place long, seed long"
+    mine = spark.createDataFrame([(9, 0, 1), (9, 20, 2), (9, 20, 2), (9, 60, 3), (9, 75, 4)], schema)
+    theirs = [(uid, 100 + at, seed) for uid in range(20, 60) for at, seed in ((0, 1), (20, 2))]  # later than the text that asks
+    theirs += [(uid, at, 5 + at) for uid in range(1, 6) for at in range(0, 60, 2)]  # seeds in pairs that nobody asks for
+    theirs = spark.createDataFrame([*theirs, (7, 5, 1), (7, 25, 2)], schema)
+    met = passages.meeting_seeds(mine, theirs, 40)
+    assert [tuple(row) for row in met.select("uid", "at", "inner", "first_uid", "first_at", "first_inner").collect()] == [(9, 0, 24, 7, 5, 24)]
+    assert (rows["later-pairs"], rows["earlier-pairs"], rows["meeting-pairs"]) == (2, 1, 1)
