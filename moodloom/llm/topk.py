@@ -3,7 +3,8 @@
 A vector is a document whose terms are its dimensions, once for positive and once for negative values. A shard of the rows holds
 for each term the postings (row and size of the value) and their largest size, which bounds what a term can add to
 a score. Terms whose bounds together cannot lift a row over the worst of the best so far are non-essential: only postings of
-the others are traversed, and the non-essential ones are looked up for rows that can still get there.
+the others are traversed, and the non-essential ones are looked up for rows that can still get there. Where most rows have
+most terms, the essential postings of all queries are added up in one matrix product.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ STEP = 1024
 # Queries that go to a shard together.
 QUERY_ROWS = 256
 MAX_TASKS = 100_000
+# Share of the values that are not zero from which postings are added up by a matrix product.
+DENSE = 0.25
 # Sums of whole numbers below this are exact in floating point; larger ones are added up as Python integers.
 EXACT = 2.0**53
 MOST = (1 << 63) - 1
@@ -45,6 +48,7 @@ class Shard:
         self.postings = [[(rows, matrix[rows, d]) for d, rows in enumerate(side)] for side in lists]
         most = [[abs(values).max() if len(values) else 0 for _, values in side] for side in self.postings]
         self.most = np.array(most, matrix.dtype).reshape(2, -1)
+        self.dense = sum(len(rows) for side in lists for rows in side) >= DENSE * max(matrix.size, 1)
 
     def search(self, queries: np.ndarray, k: int, own: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """Rows and scores of the best ``k`` of each query, equal scores by row; ``own`` is a row to leave out, or -1."""
@@ -90,21 +94,12 @@ class Shard:
         self, queries: np.ndarray, order: np.ndarray, sums: np.ndarray, rank: np.ndarray, essential: np.ndarray, worst: np.ndarray,
         begin: int, end: int,
     ) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of query and row, from ``begin`` to ``end``, whose positive parts come to more than ``worst``.
+        """Pairs of query and row, from ``begin`` to ``end``, that can come to more than ``worst``.
 
         Terms of a query from rank ``essential`` on are traversed. The others are looked up, the largest bound first, as
         long as what is left can lift the row.
         """
-        gained = np.zeros((len(queries), end - begin), self.matrix.dtype)
-        for sign, side in enumerate(self.postings):
-            for d, (rows, values) in enumerate(side):
-                weights = queries[:, d]
-                asking = np.flatnonzero(((weights < 0) if sign else (weights > 0)) & (rank[:, d] >= essential))
-                if not len(asking):
-                    continue
-                low, high = np.searchsorted(rows, (begin, end))
-                here = rows[low:high] - begin
-                gained[asking[:, None], here] += weights[asking, None] * values[low:high]
+        gained = self.traversed(queries, rank >= essential[:, None], begin, end)
         q, row = np.nonzero((gained > 0) & (gained + sums[np.arange(len(queries)), essential][:, None] > worst[:, None]))
         value, left = gained[q, row], essential[q]
         done = []
@@ -113,13 +108,32 @@ class Shard:
             done.append((q[~open_], row[~open_]))
             q, row, value, left = q[open_], row[open_], value[open_], left[open_] - 1
             d = order[q, left]
-            value = value + np.maximum(self.matrix[row + begin, d] * queries[q, d], 0)
+            value = value + self.matrix[row + begin, d] * queries[q, d]
             alive = value + sums[q, left] > worst[q]
             q, row, value, left = q[alive], row[alive], value[alive], left[alive]
         if not done:
             return np.zeros(0, "i8"), np.zeros(0, "i8")
         return np.concatenate([d[0] for d in done]), np.concatenate([d[1] for d in done]) + begin
 
+    def traversed(self, queries: np.ndarray, essential: np.ndarray, begin: int, end: int) -> np.ndarray:
+        """What the essential terms add to the scores of the rows from ``begin`` to ``end``, or more.
+
+        The matrix product counts postings of both signs; otherwise those that lower a score stay unread.
+        """
+        if self.dense:
+            return np.where(essential, queries, 0) @ self.matrix[begin:end].T
+        gained = np.zeros((len(queries), end - begin), self.matrix.dtype)
+        for sign, side in enumerate(self.postings):
+            for d, (rows, values) in enumerate(side):
+                weights = queries[:, d]
+                asking = np.flatnonzero(((weights < 0) if sign else (weights > 0)) & essential[:, d])
+                if not len(asking):
+                    continue
+                low, high = np.searchsorted(rows, (begin, end))
+                here = rows[low:high] - begin
+                gained[asking[:, None], here] += weights[asking, None] * values[low:high]
+        return gained
+
 
 def packed(rows: DataFrame, name: str, size: int, total: int, dims: int) -> DataFrame:
     """``name`` (from 0), ``keys``, ``ids`` and ``matrix`` (64-bit floats) of about ``size`` rows each, by id; rows without one last."""

@@ -266,6 +266,23 @@ def test_essential_terms_alone_are_traversed():
     assert sum(read) < 100  # all other postings stay unread once five rows are known
 
 
+def test_few_rows_of_dense_vectors_are_scored_one_by_one(monkeypatch):
+    rng = np.random.default_rng(6)
+    matrix, queries = np.floor(rng.normal(size=(4000, 32)) * 256), np.floor(rng.normal(size=(50, 32)) * 256)
+    scored, competitive = [], topk.Shard.competitive
+
+    def counted(*args):
+        scored.append(competitive(*args))
+        return scored[-1]
+
+    monkeypatch.setattr(topk.Shard, "competitive", counted)
+    found = topk.Shard(matrix).search(queries, 5, np.full(50, -1))
+    for (rows, scores), plain in zip(found, queries @ matrix.T):
+        best = np.lexsort((np.arange(4000), -plain))[:5]
+        assert rows.tolist() == best.tolist() and scores.tolist() == plain[best].tolist()
+    assert sum(len(q) for q, _ in scored) < 0.01 * 50 * 4000
+
+
 class CountedRows(np.ndarray):
     def __new__(cls, rows, read):
         out = rows.view(cls)
