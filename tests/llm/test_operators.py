@@ -605,7 +605,7 @@ def test_seeds_that_no_text_asks_for_go_before_their_words(spark, monkeypatch):
 
     monkeypatch.setattr(passages, "stage", staged)
     schema = "uid long, place long, seed long"
-    mine = spark.createDataFrame([(9, 0, 1), (9, 20, 2), (9, 20, 2), (9, 60, 3), (9, 75, 4)], schema)
+    mine = spark.createDataFrame([(9, 0, 1), (9, 20, 2), (9, 20, 2), (9, 70, 3), (9, 85, 4)], schema)
     theirs = [(uid, 100 + at, seed) for uid in range(20, 60) for at, seed in ((0, 1), (20, 2))]  # later than the text that asks
     theirs += [(uid, at, 5 + at) for uid in range(1, 6) for at in range(0, 60, 2)]  # seeds in pairs that nobody asks for
     theirs = spark.createDataFrame([*theirs, (7, 5, 1), (7, 25, 2)], schema)
