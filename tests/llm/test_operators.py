@@ -612,3 +612,32 @@ def test_seeds_that_no_text_asks_for_go_before_their_words(spark, monkeypatch):
     met = passages.meeting_seeds(mine, theirs, 40)
     assert [tuple(row) for row in met.select("uid", "at", "first_uid", "first_at").collect()] == [(9, 0, 7, 5)]
     assert (rows["later-pairs"], rows["earlier-pairs"], rows["meeting-pairs"]) == (2, 1, 1)
+
+
+def test_two_seeds_meet_once_a_block_and_only_about_equally_far_apart(spark):
+    schema = "uid long, place long, seed long"
+    repeated = [(place, 1 + (place >= 40)) for place in range(80)]  # two seeds, each at forty places in a row
+    mine = spark.createDataFrame([(9, *row) for row in repeated] + [(8, 0, 3), (8, 40, 4)], schema)
+    far = [(uid, at, seed) for uid in range(10) for at, seed in ((3, 3), (11, 4))]  # 8 words apart, where the text has 40
+    theirs = spark.createDataFrame([(7, *row) for row in repeated] + [(7, 600, 3), (7, 630, 4), *far], schema)
+    met = [tuple(row) for row in passages.meeting_seeds(mine, theirs, 40).collect()]
+    assert {(uid, first_uid) for uid, _, first_uid, _ in met} == {(9, 7), (8, 7)}
+    assert len(met) < 20  # each two equal seeds of both texts made 640,000 rows
+
+
+def test_seeds_beside_their_first_and_last_earlier_text(spark):
+    rng = random.Random(8)
+    line = " ".join(f"c{i}" for i in range(12))
+    docs = [(uid, f"{line} " * rng.randint(1, 2) + " ".join(rng.choice("abcdefgh") for _ in range(30))) for uid in range(12)]
+    units = spark.createDataFrame([*docs, docs[3]], "uid long, text string")
+    shared = seeds.shared_places(units.dropDuplicates(), passages.word_hashes, 4, 3, 2)
+    found_rows = {(r.uid, r.first_uid, r.places >> 32, r.places & 0xFFFFFFFF) for r in seeds.earlier_seeds(shared).collect()}
+    places = defaultdict(lambda: defaultdict(list))
+    for r in shared.collect():
+        places[r.seed][r.uid].append(r.place)
+    expected = set()
+    for of in places.values():
+        for uid in of:
+            before = [u for u in of if u < uid]
+            expected |= {(uid, u, place, min(of[u])) for place in of[uid] for u in (min(before), max(before)) if before} if before else set()
+    assert found_rows == expected and expected
