@@ -641,3 +641,13 @@ def test_seeds_beside_their_first_and_last_earlier_text(spark):
             before = [u for u in of if u < uid]
             expected |= {(uid, u, place, min(of[u])) for place in of[uid] for u in (min(before), max(before)) if before} if before else set()
     assert found_rows == expected and expected
+
+
+def test_a_run_of_one_word_is_found_in_an_earlier_text_between_the_first_and_the_last(spark):
+    line = " ".join(f"c{i}" for i in range(13))
+    own = lambda uid, n: " ".join(f"u{uid}x{i}" for i in range(n))
+    lengths = {1: 8, 2: 50, 3: 8}  # of the run of one word; only the second text has enough of it
+    rows = [(uid, f"{line} {'nt ' * n}{own(uid, 40)}") for uid, n in lengths.items()]
+    rows.append((4, f"{line} {own(4, 20)} {'nt ' * 50}{own(5, 60)}"))
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.other_doc_id) for r in found} == {(4, 2)}
