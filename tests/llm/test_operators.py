@@ -651,3 +651,62 @@ def test_a_run_of_one_word_is_found_in_an_earlier_text_between_the_first_and_the
     rows.append((4, f"{line} {own(4, 20)} {'nt ' * 50}{own(5, 60)}"))
     found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {(r.doc_id, r.other_doc_id) for r in found} == {(4, 2)}
+
+
+def lined_texts(rng, n, line, others):
+    """Texts that share a line, with own words around it, and ``others`` that repeat some of the words of a text before them."""
+    rows = [f"{' '.join(f'u{i}x{rng.randrange(900)}' for _ in range(30))} {line} {' '.join(f'v{i}x{k}' for k in range(60))}" for i in range(n)]
+    for _ in range(others):
+        own = rows[rng.randrange(1, n - 1)].split()
+        rows.append(" ".join(w if rng.random() < 0.88 else f"y{rng.randrange(9_000)}" for w in own))
+    return list(enumerate(rows))
+
+
+def test_pairs_of_texts_with_a_common_line_are_not_written(spark, monkeypatch):
+    rows = {}
+
+    def staged(df, name):
+        found = df.localCheckpoint()
+        rows[name] = max(rows.get(name, 0), found.count())
+        return found
+
+    monkeypatch.setattr(passages, "stage", staged)
+    line = " ".join(f"c{i}" for i in range(24))
+    docs = spark.createDataFrame(lined_texts(random.Random(16), 50, line, 0), "doc_id long, text string")
+    assert passages.repeated_passages(docs).count() == 0
+    assert rows["met"] <= 2 * 50 and rows["block-words"] <= 2 * 50  # 1,225 pairs of texts before
+
+
+@pytest.mark.parametrize("group", [1, passages.GROUP_BLOCKS])
+def test_blocks_meet_in_groups(spark, monkeypatch, group):
+    monkeypatch.setattr(passages, "GROUP_BLOCKS", group)
+    monkeypatch.setattr(passages, "MET_AT_ONCE", 7)
+    monkeypatch.setattr(passages, "BLOCKS_AT_ONCE", 3)
+    rng = random.Random(17)
+    rows = lined_texts(rng, 12, " ".join(f"c{i}" for i in range(24)), 10)
+    rows += [(100 + i, " ".join(f"w{rng.randrange(300)}" for _ in range(700)) + " " + rows[i][1]) for i in range(12, 16)]
+    units = spark.createDataFrame(rows, "uid long, text string")
+    shared = seeds.shared_places(units, passages.word_hashes, 4, 3, 2).cache()
+    mine, theirs = shared.where("kind > 1").select("uid", "place", "seed"), shared.select("uid", "place", "seed")
+    expected, texts = set(), {uid: text.split() for uid, text in rows}
+    reach = sum(passages.pair_span(40)) + 4 + passages.MARGIN
+    block = lambda uid, at: texts[uid][max(at // 512 * 512 - 64, 0) : (at // 512 + 1) * 512 + reach]
+    met = passages.meeting_seeds(mine, theirs, 40).collect()
+    for uid, at, first_uid, first_at in met:
+        gains = np.where(np.isin(block(uid, at), block(first_uid, first_at)), 0.2, -0.8)
+        total = np.concatenate([[0], gains.cumsum()])
+        if any(total[j] - total[i] > -1e-6 for i in range(len(total)) for j in range(i + 40, len(total))):
+            expected.add((uid, first_uid))
+    pairs = passages.alike_pairs(units.withColumn("owner", F.col("uid")), *passages.asked_seeds(mine, theirs, 40), 40, 0.8).collect()
+    assert {(r.uid, r.first_uid) for r in pairs} == expected and len(pairs) == len(expected)
+    assert 0 < len(expected) < len({(uid, first_uid) for uid, _, first_uid, _ in met})
+
+
+def test_passages_are_the_same_without_broadcasts(spark, monkeypatch):
+    rng = random.Random(18)
+    rows = [*lined_texts(rng, 8, " ".join(f"c{i}" for i in range(24)), 8), (40, None), (41, "")]
+    docs = spark.createDataFrame([*rows, rows[9], (None, rows[10][1]), (2, rows[11][1])], "doc_id int, text string")
+    expected = found(passages.repeated_passages(docs), "doc_id", "start", "end", "other_doc_id", "n_equal"), found(passages.remove_passages(docs), "doc_id", "text")
+    monkeypatch.setattr(passages, "if_small", lambda table, *sizes: table)
+    assert found(passages.repeated_passages(docs), "doc_id", "start", "end", "other_doc_id", "n_equal") == expected[0] != Counter()
+    assert found(passages.remove_passages(docs), "doc_id", "text") == expected[1]
