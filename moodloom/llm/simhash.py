@@ -7,7 +7,8 @@ fingerprint to 64 others at once in carry-save counters, and drops the blocks th
 With 64 bits and a small radius, the ``radius + 1`` bands of ``EXACT`` lose no pair: one of them is equal. Texts that share
 four fifths of their shingles differ in about a seventh of the bits, which no such bands reach; ``WIDE`` takes 256 bits for them,
 whose distance is a sharper estimate, and 42 bands of 12 bits, one of which nearly all such pairs share (a band of 12 with 14 in 100). There the
-distance only proposes: with ``similarity`` the shingles of the linked texts are compared.
+distance only proposes: with ``similarity`` the shingles of the linked texts are compared. Pairs that no band or the radius loses, as it does
+where texts have few shingles, are found by ``missed_edges``: similar texts share one of their rarest shingles.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moodloom.llm.common import if_small, map_arrow, slices, text_key, texts_of
+from moodloom.llm.seeds import parts_for
 from moodloom.sources.staging import stage
 
 RADIUS = 2
@@ -36,6 +38,17 @@ BUCKET = ["band", "key", "sub", "sub_key", "part"]
 BUCKET_TYPES = "band int, key long, sub int, sub_key long, part long"
 # Each round of judged links takes so many times the forests of the round before.
 MORE_FORESTS = 4
+# Shingles that so many texts hold, of one in ``LOOKED_AT``, are looked up after all others; the most frequent ones up to a number.
+FREQUENT = 4
+LOOKED_AT = 32
+MOST_FREQUENT = 200_000
+# The most by which a bit of two texts differs that share four fifths of their shingles, by the smaller number of these: four of five,
+# and the angle between them with some room.
+MOST_CHANCE = {0: 0.1875, 16: 0.16}
+# Shingles gathered before they are dealt out, those of a part, and pairs looked at in one go.
+PREFIXES_AT_ONCE = 500_000
+PREFIXES_A_PART = 500_000
+PAIRS_AT_ONCE = 1 << 20
 # Odd factors that make further hashes of a hash, for fingerprints of more than 64 bits.
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
@@ -94,8 +107,11 @@ def majority(hashes: np.ndarray) -> int:
 def fingerprint(text: str, size: int = SHINGLE, seed: int = SEED, words: int = 1, sets: bool = False) -> list[int]:
     """``words`` times 64 bits, each set if it is set in over half of the hashes of the word shingles (``sets``: of the different ones)."""
     hashes = shingle_hashes(text, size, seed)
-    if sets:
-        hashes = np.unique(hashes)
+    return print_of(np.unique(hashes) if sets else hashes, words)
+
+
+def print_of(hashes: np.ndarray, words: int) -> list[int]:
+    """The fingerprint of a text with these hashes of shingles."""
     out = [majority(hashes)]
     for factor in FACTORS[: words - 1]:
         mixed = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(factor)
@@ -111,17 +127,69 @@ def columns_of(words: int) -> list[str]:
     return ["fp", "fp1", "fp2", "fp3"][:words]
 
 
-def add_fingerprints(docs: DataFrame, size: int = SHINGLE, seed: int = SEED, words: int = 1, sets: bool = False) -> DataFrame:
-    """``doc_id``, ``text_key`` and the bits as longs ``fp``, ``fp1`` ... of each row with ``doc_id`` and ``text``."""
+def add_fingerprints(
+    docs: DataFrame, size: int = SHINGLE, seed: int = SEED, words: int = 1, sets: bool = False, similarity: float | None = None
+) -> DataFrame:
+    """``doc_id``, ``text_key`` and the bits as longs ``fp``, ``fp1`` ... of each row with ``doc_id`` and ``text``.
+
+    With ``similarity`` also the number of different ``shingles`` and those of its ``prefix``.
+    """
     names = columns_of(words)
+    frequent = None if similarity is None else frequent_shingles(docs, size, seed)
     docs = docs.withColumn("text_key", text_key())
 
     def work(batches):
         for batch in slices(batches, "text"):
-            prints = [fingerprint(text, size, seed, words, sets) for text in batch.column("text").to_pylist()]
-            yield {c: batch.column(c) for c in ("doc_id", "text_key")} | {n: [signed(p[i]) for p in prints] for i, n in enumerate(names)}
+            hashes = [shingle_hashes(text, size, seed) for text in batch.column("text").to_pylist()]
+            different = [np.unique(h) for h in hashes] if sets or similarity is not None else hashes
+            prints = [print_of(h, words) for h in (different if sets else hashes)]
+            out = {c: batch.column(c) for c in ("doc_id", "text_key")} | {n: [signed(p[i]) for p in prints] for i, n in enumerate(names)}
+            if similarity is not None:
+                out |= {"shingles": [len(h) for h in different], "prefix": [prefix(h, frequent, similarity).view("<i8") for h in different]}
+            yield out
+
+    more = ", shingles int, prefix array<long>" * (similarity is not None)
+    return map_arrow(docs, work, "doc_id long, text_key string, " + ", ".join(f"{n} long" for n in names) + more)
 
-    return map_arrow(docs, work, "doc_id long, text_key string, " + ", ".join(f"{n} long" for n in names))
+
+def frequent_shingles(texts: DataFrame, size: int, seed: int) -> np.ndarray:
+    """Sorted hashes of shingles that many texts hold, as a part of the texts tells.
+
+    They decide only which shingles are looked up first, as rare ones have few partners. Every link is found with any of them, or none.
+    """
+
+    def work(batches):
+        held: list[np.ndarray] = []
+
+        def counted():
+            hashes, n = np.unique(np.concatenate(held), return_counts=True)
+            return {"h": hashes.view("<i8"), "n": n}
+
+        for batch in slices(batches, "text"):
+            held += [np.unique(shingle_hashes(text, size, seed)) for text in batch.column("text").to_pylist()]
+            if sum(map(len, held)) > PREFIXES_AT_ONCE:
+                yield counted()
+                held = []
+        if held:
+            yield counted()
+
+    part = texts.where(F.pmod(F.xxhash64("text"), F.lit(LOOKED_AT)) == 0).select("text")
+    counts = map_arrow(part, work, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT)
+    found = counts.orderBy(F.desc("n"), "h").limit(MOST_FREQUENT).select("h").toArrow().column("h").to_numpy()
+    return np.sort(found.astype("<i8").view("<u8"))
+
+
+def prefix(hashes: np.ndarray, frequent: np.ndarray, similarity: float) -> np.ndarray:
+    """The first of the different ``hashes`` in an order that all texts share, so many that similar texts have one in common.
+
+    Of n shingles, two texts share at least ``similarity * n``, so one of any n less that, and one more. Those not ``frequent`` come first.
+    """
+    n = len(hashes)
+    if not n:
+        return hashes
+    at = np.minimum(np.searchsorted(frequent, hashes), max(len(frequent) - 1, 0))
+    often = frequent[at] == hashes if len(frequent) else np.zeros(n, bool)
+    return np.concatenate([hashes[~often], hashes[often]])[: n - int(np.ceil(similarity * n - 1e-9)) + 1]
 
 
 def bit_planes(prints: np.ndarray) -> np.ndarray:
@@ -388,7 +456,7 @@ def judged_edges(edges: DataFrame, different: DataFrame, texts: DataFrame, size:
 def similar_edges(
     prints: DataFrame, scheme: Scheme, different: DataFrame, texts: DataFrame, size: int, seed: int, similarity: float
 ) -> DataFrame:
-    """``a, b``: edges whose components are those of all pairs that meet in a bucket, are close, and are similar by their texts.
+    """``a, b, held``: judged edges; the components of those that held are those of all similar texts that meet in a bucket and are close.
 
     Links are judged in rounds. A part of a bucket is done when all links it asked for held, as they join what its close pairs join, or
     when all its close pairs were asked for. The others ask again, for the shortest links between what their held links leave
@@ -414,13 +482,131 @@ def similar_edges(
         open_parts = new.join(unfinished, BUCKET, "left_semi").join(failed, ["a", "b"], "left_semi").select(*BUCKET).distinct()
         open_parts = stage(open_parts, "open-parts")
         if open_parts.isEmpty():
-            return known.where("held").select("a", "b")
+            return known
         small = if_small(open_parts, 40)
         ready = stage(rows.join(small, BUCKET, "left_semi"), "open-rows")  # else each round would repeat the joins before it
         asked = asked.join(small, BUCKET, "left_semi")
         forests *= MORE_FORESTS
 
 
+def dealt_prefixes(rows: DataFrame, parts: int) -> DataFrame:
+    """The shingles of all prefixes dealt out by hash into ``part``, in packed arrays; ``rows`` has ``node, root, shingles, prefix``."""
+
+    def work(batches):
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def packed():
+            hashes, row = (np.concatenate([h[i] for h in held]) for i in (0, 1))
+            nodes, roots, sizes = (np.concatenate([h[i] for h in held]) for i in (2, 3, 4))
+            row = row + np.repeat(np.cumsum([0, *(len(h[2]) for h in held[:-1])]), [len(h[1]) for h in held])
+            part = ((hashes >> np.uint64(32)) % np.uint64(parts)).astype("i8")
+            order = np.argsort(part, kind="stable")
+            cuts = np.searchsorted(part[order], np.arange(parts + 1))
+            out = {"part": [], "low": [], "nodes": [], "roots": [], "sizes": []}
+            for p in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+                here = order[cuts[p] : cuts[p + 1]]
+                at = row[here]
+                values = (p, hashes[here].astype("u4"), nodes[at], roots[at], sizes[at].astype("u4"))
+                for key, value in zip(out, values):
+                    out[key].append(value if key == "part" else value.tobytes())
+            return out
+
+        for batch in batches:
+            prefixes = batch.column("prefix")
+            row = np.repeat(np.arange(batch.num_rows), prefixes.value_lengths().to_numpy())
+            held.append((prefixes.flatten().to_numpy().view("u8"), row, *(np.asarray(batch.column(c)).astype("i8") for c in ("node", "root", "shingles"))))
+            if sum(len(h[1]) for h in held) >= PREFIXES_AT_ONCE:
+                yield packed()
+                held = []
+        if held:
+            yield packed()
+
+    return map_arrow(rows.select("node", "root", "shingles", "prefix"), work, "part int, low binary, nodes binary, roots binary, sizes binary")
+
+
+def pairs_of_prefixes(dealt: DataFrame, parts: int, similarity: float) -> DataFrame:
+    """``a, b, least``: nodes of different roots with a shingle in both prefixes, the smaller number of shingles of the two.
+
+    The numbers of shingles of the two allow the similarity.
+    """
+
+    def pairs(rows: list[dict]):
+        low, nodes, roots, sizes = (
+            np.frombuffer(b"".join(r[c] for r in rows), kind) for c, kind in (("low", "u4"), ("nodes", "i8"), ("roots", "i8"), ("sizes", "u4"))
+        )
+        order = np.lexsort((nodes, roots, low))
+        low, nodes, roots, sizes = (c[order] for c in (low, nodes, roots, sizes))
+        new = low[1:] != low[:-1]
+        ends = np.append(np.flatnonzero(new) + 1, len(low))  # of the rows of a shingle, and of those of one root
+        root_ends = np.append(np.flatnonzero(new | (roots[1:] != roots[:-1])) + 1, len(low))
+        at = np.arange(len(low))
+        first = root_ends[np.searchsorted(root_ends, at, side="right")]
+        counts = ends[np.searchsorted(ends, at, side="right")] - first
+        total = np.cumsum(counts)
+        start = 0
+        while start < len(counts):
+            stop = max(int(np.searchsorted(total, total[start] - counts[start] + PAIRS_AT_ONCE, side="right")), start + 1)
+            n = counts[start:stop]
+            one = np.repeat(np.arange(start, stop), n)
+            two = np.arange(len(one)) - np.repeat(np.cumsum(n) - n, n) + first[one]
+            fits = np.minimum(sizes[one], sizes[two]) >= similarity * np.maximum(sizes[one], sizes[two]) - 1e-6
+            one, two = one[fits], two[fits]
+            ends_of = np.sort(np.stack([nodes[one], nodes[two]], axis=1), axis=1)
+            found, chosen = np.unique(ends_of, axis=0, return_index=True)
+            yield {"a": found[:, 0], "b": found[:, 1], "least": np.minimum(sizes[one], sizes[two])[chosen]}
+            start = stop
+
+    def work(batches):
+        held: list[dict] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if held and held[0]["part"] != row["part"]:
+                    yield from pairs(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield from pairs(held)
+
+    in_order = dealt.repartition(parts, "part").sortWithinPartitions("part")
+    return map_arrow(in_order, work, "a long, b long, least long").distinct()
+
+
+def far_apart(bits: int, chance: float) -> int:
+    """So many bits differ by a chance of about one in a million millions, where each differs by ``chance``."""
+    return int(np.ceil(bits * chance + 7 * np.sqrt(bits * chance * (1 - chance))))
+
+
+def missed_edges(
+    prints: DataFrame, different: DataFrame, known: DataFrame, roots: DataFrame, texts: DataFrame, scheme: Scheme, size: int, seed: int,
+    similarity: float,
+) -> DataFrame:
+    """``a, b``: the edges between different ``roots`` whose texts are similar and not in ``known``, whether they share a band or not.
+
+    Two similar texts have a shingle of their prefixes in common, so texts meet by these and are compared, if their fingerprints are
+    not so far apart that they cannot be similar: from 0.8 on each bit of two texts differs by a chance of ``MOST_CHANCE`` at most.
+    """
+    nodes = different.select("node", "sample.*").join(if_small(roots, 32), "node", "left").select(
+        F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "node", F.coalesce("root", "node").alias("root")
+    )
+    same = F.col("text_key").eqNullSafe(F.col("key")) & F.col("doc_id").eqNullSafe(F.col("id"))
+    rows = prints.select("doc_id", "text_key", "shingles", "prefix").join(if_small(stage(nodes, "nodes"), 88), same)
+    total = prints.agg(F.coalesce(F.sum(F.size("prefix").cast("long")), F.lit(0))).first()[0]
+    parts = parts_for(total, PREFIXES_A_PART)
+    pairs = pairs_of_prefixes(dealt_prefixes(rows, parts), parts, similarity)
+    names, distance = columns_of(scheme.words), F.lit(0)
+    bits = if_small(different.select("node", *names), 16 + 8 * len(names))
+    for end in "ab":
+        pairs = pairs.join(bits.select(F.col("node").alias(end), *[F.col(n).alias(f"{end}_{n}") for n in names]), end)
+    for n in names:
+        distance += F.bit_count(F.col(f"a_{n}").bitwiseXOR(F.col(f"b_{n}")))
+    reach = F.lit(64 * scheme.words)
+    for least, chance in MOST_CHANCE.items() if similarity >= 0.8 else ():
+        reach = F.when(F.col("least") >= least, far_apart(64 * scheme.words, chance)).otherwise(reach)
+    pairs = pairs.where(distance <= reach).select("a", "b").join(known.select("a", "b"), ["a", "b"], "left_anti")
+    pairs = stage(pairs, "missed-pairs")
+    return stage(judged_edges(pairs, different, texts, size, seed, similarity).where("held").select("a", "b"), "missed")
+
+
 def near_duplicates(
     docs: DataFrame,
     scheme: Scheme = EXACT,
@@ -429,18 +615,21 @@ def near_duplicates(
     id_column: str = "doc_id",
     text_column: str = "text",
     similarity: float | None = None,
+    whole: bool = False,
 ) -> DataFrame:
     """``doc_id``, ``text_key``, its bits (``fp`` ...) and ``component_id``, the smallest id that links lead to, for each row.
 
     With ``similarity`` a link between different fingerprints holds only if their texts share so much of their shingles. Close
-    pairs are compared until those that held join all that hold.
+    pairs are compared until those that held join all that hold. With ``whole`` no similar pair is missed, in a band or not (``far_apart``);
+    texts with equal fingerprints count as one.
 
     Null, empty and wordless texts have fingerprint 0 and are linked like any other. Rows without an id keep a null id;
     they link others but never name a component unless all of it lacks ids. Repeated rows each keep their row.
     """
     names = columns_of(scheme.words)
     texts = texts_of(docs, id_column, text_column)
-    prints = stage(add_fingerprints(texts, size, seed, scheme.words, scheme.sets), "fingerprints")
+    whole = whole and similarity is not None
+    prints = stage(add_fingerprints(texts, size, seed, scheme.words, scheme.sets, similarity if whole else None), "fingerprints")
     groups = prints.groupBy(*names).agg(
         F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"), F.min(F.struct("doc_id", "text_key")).alias("sample")
     )
@@ -449,8 +638,13 @@ def near_duplicates(
     if similarity is None:
         edges = near_edges(gathered(bits, scheme), scheme)
     else:
-        edges = similar_edges(bits, scheme, different, texts, size, seed, similarity)
+        known = similar_edges(bits, scheme, different, texts, size, seed, similarity)
+        edges = known.where("held").select("a", "b")
     roots = components(edges)
+    if whole:
+        missed = missed_edges(prints, different, known, roots, texts, scheme, size, seed, similarity)
+        if not missed.isEmpty():
+            roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(missed))
     rooted = different.drop("sample").join(if_small(roots, 32), "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = stage(rooted, "rooted")
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))

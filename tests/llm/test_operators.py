@@ -710,3 +710,30 @@ def test_passages_are_the_same_without_broadcasts(spark, monkeypatch):
     monkeypatch.setattr(passages, "if_small", lambda table, *sizes: table)
     assert found(passages.repeated_passages(docs), "doc_id", "start", "end", "other_doc_id", "n_equal") == expected[0] != Counter()
     assert found(passages.remove_passages(docs), "doc_id", "text") == expected[1]
+
+
+def short_variants(rng, n):
+    """Texts of few words, of which many pairs are similar but have fingerprints far apart."""
+    texts = []
+    for i in range(n):
+        own = [f"s{i}w{k}" for k in range(8)]
+        texts += [" ".join(own), " ".join([*own, f"s{i}x"]), " ".join([*own[1:], f"s{i}y", f"s{i}z"])]
+    line = " ".join(f"c{k}" for k in range(30))
+    return texts + [f"{line} " + " ".join(f"t{i}w{rng.randrange(9_000)}" for _ in range(rng.randrange(1, 12))) for i in range(40)]
+
+
+def test_no_similar_pair_is_missed(spark, monkeypatch, tmp_path):
+    import corpus_pipeline as cp
+
+    monkeypatch.setattr(simhash, "LOOKED_AT", 1)
+    monkeypatch.setattr(simhash, "PAIRS_AT_ONCE", 50)
+    monkeypatch.setattr(simhash, "PREFIXES_A_PART", 100)
+    texts = short_variants(random.Random(19), 60)
+    docs = spark.createDataFrame([*enumerate(texts), (None, texts[3]), (5, texts[5])], "doc_id long, text string")
+    classes = classes_of(texts)
+    far = {i for i in range(len(texts)) if classes[i] != i}
+    near = {r.doc_id for r in simhash.near_duplicates(docs, simhash.WIDE, 5, similarity=0.8).collect() if r.doc_id not in (None, r.component_id)}
+    assert near < far  # fingerprints alone miss some
+    left = cp.drop_near_duplicates(spark, docs, str(tmp_path))
+    assert found(left, "doc_id") == Counter([(i,) for i in range(len(texts)) if i not in far] + [(None,)] + [(5,)] * (5 not in far))
+    assert simhash.near_duplicates(docs.limit(0), simhash.WIDE, 5, similarity=0.8, whole=True).count() == 0
