@@ -674,7 +674,7 @@ def test_pairs_of_texts_with_a_common_line_are_not_written(spark, monkeypatch):
     line = " ".join(f"c{i}" for i in range(24))
     docs = spark.createDataFrame(lined_texts(random.Random(16), 50, line, 0), "doc_id long, text string")
     assert passages.repeated_passages(docs).count() == 0
-    assert rows["met"] <= 2 * 50 and rows["block-words"] <= 2 * 50  # 1,225 pairs of texts before
+    assert rows["met"] <= 2 * 50 and rows["block-words"] <= 2 * 50  # 1,222 pairs of blocks before
 
 
 @pytest.mark.parametrize("group", [1, passages.GROUP_BLOCKS])
